@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from skyledger import constants as K
 from skyledger.functions.numeric import money, rate, ratio
 
-ALL = Window.partitionBy()
+
+
+def whole(*order: Column) -> WindowSpec:
+    """A window over all rows of an already aggregated frame."""
+    return Window.partitionBy().orderBy(*order) if order else Window.partitionBy()
 
 
 def severe() -> Column:
@@ -61,7 +65,7 @@ def fare(part: str = "revenue", whole: str = "passengers") -> Column:
 
 
 def share(column: str) -> Column:
-    return rate(ratio(F.col(column), F.sum(column).over(ALL)))
+    return rate(ratio(F.col(column), F.sum(column).over(whole())))
 
 
 def _sums_and_counts() -> list[Column]:
@@ -71,7 +75,7 @@ def _sums_and_counts() -> list[Column]:
 
 
 def _ranked(*order: Column) -> Column:
-    return F.rank().over(ALL.orderBy(*order)).cast("bigint")
+    return F.rank().over(whole(*order)).cast("bigint")
 
 
 def with_flights(bookings: DataFrame, flights: DataFrame, *columns: str) -> DataFrame:
@@ -255,7 +259,7 @@ def monthly_passengers(flights: DataFrame, bookings: DataFrame) -> DataFrame:
         "month",
         **{name: _of_cabin(cabin, "passengers") for cabin, name in names.items()},
     )
-    before = F.lag("passengers").over(ALL.orderBy("month"))
+    before = F.lag("passengers").over(whole("month"))
     return sums.select(
         "month",
         "passengers",
@@ -342,8 +346,8 @@ def high_demand_poor_performance(flights: DataFrame, bookings: DataFrame) -> Dat
         delay(),
         cancellation(),
     )
-    network = ratio(F.sum("on_time_flights").over(ALL), F.sum("operated").over(ALL))
-    quartile = F.ntile(4).over(ALL.orderBy(F.desc("passengers"), F.asc("route")))
+    network = ratio(F.sum("on_time_flights").over(whole()), F.sum("operated").over(whole()))
+    quartile = F.ntile(4).over(whole(F.desc("passengers"), F.asc("route")))
     return (
         routes.withColumn("network", network)
         .withColumn("quartile", quartile)

@@ -5,15 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import constants as K
 from skyledger.functions.numeric import ratio
 from skyledger.functions.text import cabin_rank, month_date
-from skyledger.plans.kpis import disrupted
-
-ALL = Window.partitionBy()
+from skyledger.plans.kpis import disrupted, whole
 
 
 def _with_keys(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -151,7 +149,7 @@ def month_labels(flights: DataFrame) -> DataFrame:
     """``Mar`` when the data covers one year, else ``Mar 2025``."""
     months = flights.where(F.col("month").isNotNull()).select("month").distinct()
     year = F.left("month", F.lit(4))
-    one_year = F.min(year).over(ALL) == F.max(year).over(ALL)
+    one_year = F.min(year).over(whole()) == F.max(year).over(whole())
     day = month_date(F.col("month"))
     return months.select(
         "month",
@@ -189,7 +187,7 @@ def airline_delay(flights: DataFrame) -> DataFrame:
 def delayed_routes(flights: DataFrame, floor: int = 20, top: int = 10) -> DataFrame:
     """Most delayed routes among those with enough flights: the lower quartile, but at least ``floor``."""
     routes = flight_metrics(flights, "route")
-    quartile = F.floor(F.percentile("flights", 0.25).over(ALL)).cast("bigint")
+    quartile = F.floor(F.percentile("flights", 0.25).over(whole())).cast("bigint")
     return (
         routes.withColumn("min_flights", F.greatest(F.lit(floor).cast("bigint"), quartile))
         .where(F.col("flights") >= F.col("min_flights"))
@@ -221,7 +219,7 @@ def delay_distribution(flights: DataFrame) -> DataFrame:
         for i, label in enumerate(K.DELAY_CATEGORIES, 1)
     ]
     return counts.select(F.inline(F.array(*cells))).withColumn(
-        "share", ratio(F.col("flights"), F.sum("flights").over(ALL))
+        "share", ratio(F.col("flights"), F.sum("flights").over(whole()))
     )
 
 
@@ -238,11 +236,11 @@ def demand_vs_punctuality(flights: DataFrame, floor: int = 20, at_least: int = 4
     routes = _with_keys(flights, ("route",)).groupBy("route").agg(
         *_flight_measures(), F.sum("is_on_time").alias("on_time_flights"), F.count("is_on_time").alias("operated")
     )
-    overall = ratio(F.sum("on_time_flights").over(ALL), F.sum("operated").over(ALL))
+    overall = ratio(F.sum("on_time_flights").over(whole()), F.sum("operated").over(whole()))
     eligible = routes.withColumn("slice_on_time_rate", overall).where(F.col("flights") >= floor)
     return (
-        eligible.withColumn("busy_from", F.percentile("passengers", 0.75).over(ALL))
-        .withColumn("listed", F.count(F.lit(1)).over(ALL))
+        eligible.withColumn("busy_from", F.percentile("passengers", 0.75).over(whole()))
+        .withColumn("listed", F.count(F.lit(1)).over(whole()))
         .where(F.col("listed") >= at_least)
         .select(
             "route",
@@ -264,8 +262,8 @@ def demand_vs_punctuality(flights: DataFrame, floor: int = 20, at_least: int = 4
 
 def cabin_mix(enriched: DataFrame) -> DataFrame:
     """Cabins in their fixed order, with the business share of all revenue."""
-    business = F.sum(F.when(F.col("cabin_class") == "Business", F.col("revenue"))).over(ALL)
-    total = F.greatest(F.sum("revenue").over(ALL), F.lit(1.0))
+    business = F.sum(F.when(F.col("cabin_class") == "Business", F.col("revenue"))).over(whole())
+    total = F.greatest(F.sum("revenue").over(whole()), F.lit(1.0))
     return (
         booking_metrics(enriched, "cabin_class")
         .withColumn("business_share", ratio(F.coalesce(business, F.lit(0.0)), total))
@@ -298,7 +296,7 @@ def top_routes_by_revenue(enriched: DataFrame, top: int = 15) -> DataFrame:
     )
     return (
         by_route.withColumn("revenue", F.col("money").cast("double"))
-        .withColumn("revenue_share", ratio(F.col("money"), F.sum("money").over(ALL)))
+        .withColumn("revenue_share", ratio(F.col("money"), F.sum("money").over(whole())))
         .withColumn(
             "avg_ticket_price", F.when(F.col("passengers") > 0, ratio(F.col("revenue"), F.col("passengers")))
         )
