@@ -38,17 +38,27 @@ def flight_metrics(flights: DataFrame, *keys: str) -> DataFrame:
     return flights.agg(*_flight_measures()).withColumn("flights", F.nullif("flights", F.lit(0)))
 
 
-def booking_metrics(bookings: DataFrame, *keys: str) -> DataFrame:
+def _sold(bookings: DataFrame, *keys: str) -> DataFrame:
+    """Passengers and exact money per key."""
     return (
         _with_keys(bookings, keys)
         .groupBy(*keys)
-        .agg(F.sum("passengers").alias("passengers"), F.sum("revenue").cast("double").alias("revenue"))
-        .withColumn(
-            "avg_ticket_price", F.when(F.col("passengers") > 0, ratio(F.col("revenue"), F.col("passengers")))
-        )
+        .agg(F.sum("passengers").alias("passengers"), F.sum("revenue").alias("money"))
     )
 
 
+def _sales_columns() -> list[Column]:
+    return [
+        F.col("passengers"),
+        F.col("money").cast("double").alias("revenue"),
+        F.when(F.col("passengers") > 0, ratio(F.col("money"), F.col("passengers"))).alias("avg_ticket_price"),
+    ]
+
+
+def booking_metrics(bookings: DataFrame, *keys: str) -> DataFrame:
+    return _sold(bookings, *keys).select(*keys, *_sales_columns())
+
+
 def executive_metrics(flights: DataFrame, bookings: DataFrame) -> DataFrame:
     """Seven headline values; operations from flights, money from bookings."""
     ops = flight_metrics(flights).select(
@@ -262,12 +272,16 @@ def demand_vs_punctuality(flights: DataFrame, floor: int = 20, at_least: int = 4
 
 def cabin_mix(enriched: DataFrame) -> DataFrame:
     """Cabins in their fixed order, with the business share of all revenue."""
-    business = F.sum(F.when(F.col("cabin_class") == "Business", F.col("revenue"))).over(whole())
-    total = F.greatest(F.sum("revenue").over(whole()), F.lit(1.0))
+    business = F.sum(F.when(F.col("cabin_class") == "Business", F.col("money")).otherwise(0)).over(whole())
+    total = F.greatest(F.sum("money").over(whole()), F.lit(1))
     return (
-        booking_metrics(enriched, "cabin_class")
-        .withColumn("business_share", ratio(F.coalesce(business, F.lit(0.0)), total))
-        .withColumn("cabin_rank", cabin_rank(F.col("cabin_class")).cast("bigint"))
+        _sold(enriched, "cabin_class")
+        .select(
+            "cabin_class",
+            *_sales_columns(),
+            ratio(business, total).alias("business_share"),
+            cabin_rank(F.col("cabin_class")).cast("bigint").alias("cabin_rank"),
+        )
         .where(F.col("cabin_rank").isNotNull())
         .orderBy("cabin_rank")
     )
@@ -291,17 +305,11 @@ def monthly_cabins(enriched: DataFrame, labels: DataFrame) -> DataFrame:
 
 def top_routes_by_revenue(enriched: DataFrame, top: int = 15) -> DataFrame:
     """Shares are of the whole slice, rows without a route included."""
-    by_route = enriched.groupBy("route").agg(
-        F.sum("passengers").alias("passengers"), F.sum("revenue").alias("money")
-    )
+    by_route = enriched.groupBy("route").agg(F.sum("passengers").alias("passengers"), F.sum("revenue").alias("money"))
+    share = ratio(F.col("money"), F.sum("money").over(whole()))
     return (
-        by_route.withColumn("revenue", F.col("money").cast("double"))
-        .withColumn("revenue_share", ratio(F.col("money"), F.sum("money").over(whole())))
-        .withColumn(
-            "avg_ticket_price", F.when(F.col("passengers") > 0, ratio(F.col("revenue"), F.col("passengers")))
-        )
+        by_route.select("route", *_sales_columns(), share.alias("revenue_share"))
         .where(F.col("route").isNotNull())
-        .select("route", "passengers", "revenue", "avg_ticket_price", "revenue_share")
         .orderBy(F.desc("revenue"), "route")
         .limit(top)
     )
