@@ -13,7 +13,8 @@ from skyledger import constants as K
 from skyledger.functions import text as X
 from skyledger.plans import cleaning as C
 from skyledger.plans import geo, insights, kpis, metrics, model, pipeline, quality, reports
-from skyledger.session import fresh_path, stage
+from skyledger.session import fresh_path, stage_all
+from skyledger.operators.rows import metric_rows
 from skyledger.sources import bridge, feed, outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,13 +86,9 @@ def src_param_sql(spark, sf):
     )
 
 
-def _enriched(spark, sf):
-    return model.enrich_bookings(bridge.bookings(spark, sf), bridge.flights(spark, sf))
-
-
 @register()
 def src_bookings_enriched(spark, sf):
-    return _enriched(spark, sf)
+    return model.enrich_bookings(bridge.bookings(spark, sf), bridge.flights(spark, sf))
 
 
 def _text_id(df: DataFrame) -> DataFrame:
@@ -122,7 +119,7 @@ def sink_csv_roundtrip(spark, sf):
 def sink_json_report(spark, sf):
     path = fresh_path(spark, "report")
     outputs.write_report_json(_cleaned(spark, sf).report, path)
-    return C.as_metric_rows(outputs.read_report_json(spark, path), K.REPORT_COUNTERS, "bigint")
+    return metric_rows(outputs.read_report_json(spark, path), K.REPORT_COUNTERS, "bigint")
 
 
 def _results(flights, bookings):
@@ -150,7 +147,7 @@ def sink_insights_text(spark, sf):
 @register()
 def mart_report_index(spark, sf):
     folder = fresh_path(spark, "report")
-    small = {name: stage(df, name) for name, df in _results(*_stored_model(spark, sf)).items()}
+    small = stage_all(_results(*_stored_model(spark, sf)))
     pipeline.write_report(small, insights.all_insights(small), _cleaned(spark, sf).report, folder)
     return reports.read_index(spark, folder)
 
@@ -299,25 +296,32 @@ def impute_price_median(spark, sf):
     return _imputed(spark, sf, "ticket_price")
 
 
-def _derived(*columns: str) -> Query:
-    return lambda spark, sf: _cleaned(spark, sf).rows.select("src_row", *columns)
+def _derived(step, *columns: str) -> Query:
+    return lambda spark, sf: _cleaned(spark, sf).settled.transform(step).select("src_row", *columns)
 
 
-for _name, _columns in {
-    "derive_keys": ("flight_id", "month", "day_of_week", "route"),
-    "derive_time_of_day": ("departure_hour", "time_of_day"),
-    "derive_delay_floor": ("departure_variance", "delay_minutes"),
-    "derive_on_time": ("is_cancelled", "is_on_time"),
-    "derive_delay_category": ("delay_minutes", "delay_category"),
-    "derive_revenue": ("passengers", "ticket_price", "revenue"),
-    "derive_cabin_order": ("cabin_class", "cabin_rank"),
+for _name, _query in {
+    "derive_keys": _derived(C.derive_keys, "flight_id", "month", "day_of_week", "route"),
+    "derive_time_of_day": _derived(C.derive_delay, "departure_hour", "time_of_day"),
+    "derive_delay_floor": _derived(C.derive_delay, "departure_variance", "delay_minutes"),
+    "derive_on_time": _derived(C.derive_delay, "is_cancelled", "is_on_time"),
+    "derive_delay_category": _derived(C.derive_delay, "delay_minutes", "delay_category"),
+    "derive_cabin_order": _derived(
+        lambda rows: C.in_report_order(rows.transform(C.derive_keys)),
+        "flight_date", "scheduled_departure", "flight_number", "cabin_class", "cabin_rank",
+    ),
 }.items():
-    register(_name)(_derived(*_columns))
+    register(_name)(_query)
+
+
+@register()
+def derive_revenue(spark, sf):
+    return _cleaned(spark, sf).rows.select("src_row", "passengers", "ticket_price", "revenue")
 
 
 @register()
 def clean_pipeline(spark, sf):
-    return C.in_report_order(_cleaned(spark, sf).rows)
+    return _cleaned(spark, sf).rows
 
 
 @register()
@@ -413,7 +417,7 @@ def reconcile_by_airline(spark, sf):
 
 def _kpi(name: str) -> Query:
     params = {"min_flights": ROUTE_FLOOR} if name == "top_delayed_routes" else {}
-    return lambda spark, sf: kpis.KPI_QUERIES[name](bridge.flights(spark, sf), bridge.bookings(spark, sf), **params)
+    return lambda spark, sf: kpis.KPI_QUERIES[name](bridge.flights(spark, sf), bridge.sales(spark, sf), **params)
 
 
 for _name in kpis.KPI_QUERIES:
@@ -428,7 +432,7 @@ def _on_flights(build, *args) -> Query:
 
 
 def _on_bookings(build, *args) -> Query:
-    return lambda spark, sf: build(_enriched(spark, sf), *args)
+    return lambda spark, sf: build(bridge.sales(spark, sf), *args)
 
 
 for _name, _query in {
@@ -462,13 +466,13 @@ def metric_executive(spark, sf):
 
 @register()
 def slice_filter(spark, sf):
-    _, chosen = SLICE.apply(bridge.flights(spark, sf), _enriched(spark, sf))
-    return chosen
+    _, chosen = SLICE.apply(bridge.flights(spark, sf), bridge.sales(spark, sf))
+    return chosen.drop("is_cancelled")
 
 
 @register()
 def slice_vs_network(spark, sf):
-    return metrics.slice_vs_network(bridge.flights(spark, sf), _enriched(spark, sf), SLICE)
+    return metrics.slice_vs_network(bridge.flights(spark, sf), bridge.sales(spark, sf), SLICE)
 
 
 @register()
@@ -479,12 +483,12 @@ def panel_monthly_flights(spark, sf):
 
 @register()
 def panel_monthly_passengers(spark, sf):
-    return metrics.monthly_passengers(_enriched(spark, sf), metrics.month_labels(bridge.flights(spark, sf)))
+    return metrics.monthly_passengers(bridge.sales(spark, sf), metrics.month_labels(bridge.flights(spark, sf)))
 
 
 @register()
 def panel_monthly_cabin(spark, sf):
-    return metrics.monthly_cabins(_enriched(spark, sf), metrics.month_labels(bridge.flights(spark, sf)))
+    return metrics.monthly_cabins(bridge.sales(spark, sf), metrics.month_labels(bridge.flights(spark, sf)))
 
 
 # --- insights and report tables -------------------------------------------------------------
@@ -492,7 +496,7 @@ def panel_monthly_cabin(spark, sf):
 
 def _insight(build, *names: str, drop: tuple[str, ...] = ()) -> Query:
     def run(spark, sf):
-        tables = (bridge.flights(spark, sf), bridge.bookings(spark, sf))
+        tables = (bridge.flights(spark, sf), bridge.sales(spark, sf))
         return build(*[kpis.KPI_QUERIES[n](*tables) for n in names]).drop(*drop)
 
     return run

@@ -333,7 +333,7 @@ for _name, _columns in {
     "derive_on_time": "is_cancelled, is_on_time",
     "derive_delay_category": "delay_minutes, delay_category",
     "derive_revenue": "passengers, ticket_price, CAST(revenue AS DOUBLE) AS revenue",
-    "derive_cabin_order": "cabin_class, cabin_rank",
+    "derive_cabin_order": "strftime(flight_date, '%Y-%m-%d') AS flight_date, scheduled_departure, flight_number, cabin_class, cabin_rank",
 }.items():
     on_clean(_name, f"SELECT src_row, {_columns} FROM clean", "clean")
 on_clean(
@@ -417,7 +417,8 @@ ALL_COUNTS = {
     "out_of_range": f"SELECT count(*) FROM {{t}} WHERE {BAD_PASSENGERS} OR {BAD_PRICE}",
     "operated_without_delay": NO_DELAY,
     "cancelled_with_passengers": STILL_SOLD,
-    "inconsistent_attributes": "SELECT " + " + ".join(f"({sql})" for sql in VARYING.values()),
+    "inconsistent_flights": f"SELECT count(*) FROM (SELECT flight_id FROM (SELECT DISTINCT flight_id, {', '.join(SHARED)} FROM {{t}} "
+    "WHERE flight_id IS NOT NULL) GROUP BY flight_id HAVING count(*) > 1)",
 }
 on_both("check_all", lambda s, t: listed(s, t, ALL_COUNTS))
 on_clean(

@@ -25,6 +25,7 @@ from skyledger import constants as K
 from skyledger.functions import text as X
 from skyledger.functions.numeric import floored_at_zero, half_even, to_number
 from skyledger.operators.medians import grouped_median
+from skyledger.operators.rows import metric_rows, side_by_side
 from skyledger.session import stage
 from skyledger.sources.feed import rename
 
@@ -101,23 +102,27 @@ def flag_invalid(df: DataFrame) -> DataFrame:
 
 def repair_times(df: DataFrame) -> DataFrame:
     """Delay and actual time each rebuild the other, on operated rows."""
-    scheduled, actual = (X.clock_minutes(F.col(c)) for c in ("scheduled_departure", "actual_departure"))
-    gap = actual - scheduled
+    # Parsed times become columns first, so each is computed once per row.
+    timed = _replace(
+        df,
+        scheduled=X.clock_minutes(F.col("scheduled_departure")),
+        gap=X.clock_minutes(F.col("actual_departure")) - X.clock_minutes(F.col("scheduled_departure")),
+        operated=F.coalesce(F.col("is_cancelled") == 0, F.lit(False)),
+    )
+    gap, operated = F.col("gap"), F.col("operated")
     derived = F.when(gap > K.EARLIEST_DEPARTURE, gap).otherwise(gap + K.MINUTES_PER_DAY)
-    operated = F.coalesce(F.col("is_cancelled") == 0, F.lit(False))
     with_delay = _replace(
-        df,
-        delay_derived=operated & F.col("departure_variance").isNull() & derived.isNotNull(),
+        timed,
+        delay_derived=operated & F.col("departure_variance").isNull() & gap.isNotNull(),
         departure_variance=F.coalesce(F.col("departure_variance"), F.when(operated, derived)),
     )
     rebuild = operated & F.col("actual_departure").isNull() & F.col("departure_variance").isNotNull()
+    rebuilt = X.clock_text(F.col("scheduled") + F.col("departure_variance"))
     return _replace(
         with_delay,
         actual_rebuilt=rebuild,
-        actual_departure=F.when(rebuild, X.clock_text(scheduled + F.col("departure_variance"))).otherwise(
-            F.col("actual_departure")
-        ),
-    )
+        actual_departure=F.when(rebuild, rebuilt).otherwise(F.col("actual_departure")),
+    ).drop("scheduled", "gap", "operated")
 
 
 def prepare(raw: DataFrame) -> DataFrame:
@@ -243,28 +248,45 @@ def impute(settled: DataFrame, medians: DataFrame, measures: tuple[str, ...] = M
     return finish_amounts(marked.where(~has_gap).unionByName(filled))
 
 
-def derive(df: DataFrame) -> DataFrame:
-    """Identifiers, calendar parts, delay measures, integers and revenue."""
-    operated = F.col("is_cancelled") == 0
-    hour = F.floor(X.clock_minutes(F.col("scheduled_departure")) / 60).cast("int")
-    delay = floored_at_zero(F.col("departure_variance"))
-    keyed = _replace(
+def derive_keys(df: DataFrame) -> DataFrame:
+    """Flight identifier, month, weekday and route; null where a part is missing."""
+    return _replace(
         df,
         flight_id=F.concat("flight_number", F.lit("_"), F.date_format("flight_date", "yyyyMMdd")),
         month=F.date_format("flight_date", "yyyy-MM"),
         day_of_week=F.date_format("flight_date", "EEEE"),
         route=F.concat("origin", F.lit("-"), "destination"),
-        departure_hour=hour,
-        time_of_day=X.time_of_day(hour),
-        delay_minutes=delay,
-        delay_category=X.delay_category(delay, F.col("is_cancelled")),
-        is_on_time=F.when(operated, (delay < K.ON_TIME_MINUTES).cast("int")),
+        cabin_rank=X.cabin_rank(F.col("cabin_class")),
+    )
+
+
+def derive_delay(df: DataFrame) -> DataFrame:
+    """Scheduled hour, part of day, and the delay measures."""
+    hour = F.floor(X.clock_minutes(F.col("scheduled_departure")) / 60).cast("int")
+    timed = _replace(df, departure_hour=hour, delay_minutes=floored_at_zero(F.col("departure_variance")))
+    delay, cancelled = F.col("delay_minutes"), F.col("is_cancelled")
+    return _replace(
+        timed,
+        time_of_day=X.time_of_day(F.col("departure_hour")),
+        delay_category=X.delay_category(delay, cancelled),
+        is_on_time=F.when(cancelled == 0, (delay < K.ON_TIME_MINUTES).cast("int")),
+    )
+
+
+def derive_amounts(df: DataFrame) -> DataFrame:
+    """Whole numbers, money in cents, revenue."""
+    typed = _replace(
+        df,
         passengers=F.col("passengers").cast("bigint"),
         distance_miles=F.col("distance_miles").cast("int"),
         ticket_price=F.col("ticket_price").cast(CENTS),
-        cabin_rank=X.cabin_rank(F.col("cabin_class")),
     )
-    return _replace(keyed, revenue=(F.col("passengers") * F.col("ticket_price")).cast(CENTS))
+    return _replace(typed, revenue=(F.col("passengers") * F.col("ticket_price")).cast(CENTS))
+
+
+def derive(df: DataFrame) -> DataFrame:
+    """All row-local columns."""
+    return df.transform(derive_keys).transform(derive_delay).transform(derive_amounts)
 
 
 CLEAN_COLUMNS = [
@@ -353,17 +375,7 @@ def cleaning_report(prepared: DataFrame, settled: DataFrame) -> DataFrame:
         total("rows").alias("clean_rows"),
         F.count(F.lit(1)).alias("flights"),
     )
-    # Both sides are single rows.
-    one_row = early.join(late, F.lit(True)).withColumn(
+    counters = side_by_side(early, late).withColumn(
         "rows_dropped_no_departure_data", F.col("usable_rows") - F.col("clean_rows")
     )
-    return as_metric_rows(one_row, K.REPORT_COUNTERS, "bigint")
-
-
-def as_metric_rows(one_row: DataFrame, names, value_type: str) -> DataFrame:
-    """One wide row to (position, metric, value) rows in the given order."""
-    cells = [
-        F.struct(F.lit(i).cast("bigint").alias("position"), F.lit(n).alias("metric"), F.col(n).cast(value_type).alias("value"))
-        for i, n in enumerate(names, 1)
-    ]
-    return one_row.select(F.inline(F.array(*cells)))
+    return metric_rows(counters, K.REPORT_COUNTERS, "bigint")

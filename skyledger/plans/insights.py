@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.numeric import ratio, rounded
 from skyledger.functions.text import month_date
+from skyledger.operators.rows import side_by_side
 
 FACTOR_PLACES = 6
 RATE = "decimal(10,4)"
@@ -72,9 +73,10 @@ def disruption(airport_performance: DataFrame) -> DataFrame:
 
 def cancellation(airport_performance: DataFrame, executive_kpis: DataFrame) -> DataFrame:
     top = airport_performance.agg(_highest("cancellation_rate", _row("airport", "cancellation_rate")).alias("top"))
-    return top.select(
-        F.col("top.airport").alias("airport"), F.col("top.cancellation_rate").alias("cancellation_rate")
-    ).join(executive_kpis.select(F.col("cancellation_rate").alias("network_cancellation_rate")), F.lit(True))
+    return side_by_side(
+        top.select(F.col("top.airport").alias("airport"), F.col("top.cancellation_rate").alias("cancellation_rate")),
+        executive_kpis.select(F.col("cancellation_rate").alias("network_cancellation_rate")),
+    )
 
 
 def revenue_concentration(top_revenue_routes: DataFrame) -> DataFrame:
@@ -104,16 +106,11 @@ def risky_routes(high_demand_poor_performance: DataFrame, executive_kpis: DataFr
             ).alias("top")
         )
     )
+    network = executive_kpis.select(F.col("on_time_rate").alias("network_on_time_rate"))
     return (
-        one.where(F.col("routes") > 0)
-        .join(biggest, F.lit(True))
-        .join(executive_kpis.select("on_time_rate"), F.lit(True))
-        .select(
-            "routes",
-            F.col("on_time_rate").alias("network_on_time_rate"),
-            F.array_join("top.route", ", ").alias("biggest"),
-            "top",
-        )
+        side_by_side(one, network, biggest)
+        .where(F.col("routes") > 0)
+        .select("routes", "network_on_time_rate", F.array_join("top.route", ", ").alias("biggest"), "top")
     )
 
 

@@ -79,6 +79,9 @@ def _ranked(*order: Column) -> Column:
 
 
 def with_flights(bookings: DataFrame, flights: DataFrame, *columns: str) -> DataFrame:
+    """Bookings with flight attributes; bookings that already carry them need no join."""
+    if set(columns) <= set(bookings.columns):
+        return bookings
     return bookings.join(flights.select("flight_id", *columns), "flight_id")
 
 
@@ -226,8 +229,8 @@ def _of_cabin(cabin: str, column: str) -> Column:
 
 
 def cabin_class_summary(flights: DataFrame, bookings: DataFrame) -> DataFrame:
-    operated = flights.where(F.col("is_cancelled") == 0)
-    sums = _booking_sums(with_flights(bookings, operated), "cabin_class")
+    operated = with_flights(bookings, flights, "is_cancelled").where(F.col("is_cancelled") == 0)
+    sums = _booking_sums(operated, "cabin_class")
     return sums.select(
         "cabin_class",
         "passengers",
@@ -272,12 +275,8 @@ def monthly_passengers(flights: DataFrame, bookings: DataFrame) -> DataFrame:
 
 def top_revenue_routes(flights: DataFrame, bookings: DataFrame, top: int = 10) -> DataFrame:
     """Shares are of all revenue; flights are counted once whatever cabins they sell."""
-    per_flight = _booking_sums(bookings, "flight_id")
-    sums = (
-        with_flights(per_flight, flights, "route")
-        .groupBy("route")
-        .agg(passengers(), F.sum("money").alias("money"), flight_count())
-    )
+    per_flight = _booking_sums(with_flights(bookings, flights, "route"), "flight_id", "route")
+    sums = per_flight.groupBy("route").agg(passengers(), F.sum("money").alias("money"), flight_count())
     return (
         sums.select(
             "route",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyledger import constants as K
 from skyledger.functions.numeric import ratio
 from skyledger.functions.text import cabin_rank, month_date
+from skyledger.operators.rows import side_by_side
 from skyledger.plans.kpis import disrupted, whole
 
 
@@ -68,8 +69,7 @@ def executive_metrics(flights: DataFrame, bookings: DataFrame) -> DataFrame:
         F.coalesce(F.sum("passengers"), F.lit(0)).alias("total_passengers"),
         F.coalesce(F.sum("revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
     ).withColumn("avg_fare", ratio(F.col("total_revenue"), F.col("total_passengers")))
-    # Both sides are single rows.
-    return ops.join(sold, F.lit(True))
+    return side_by_side(ops, sold)
 
 
 # --- slices -----------------------------------------------------------------------
@@ -138,7 +138,7 @@ def slice_vs_network(flights: DataFrame, enriched: DataFrame, chosen: Slice) ->
         ]
     )
     points = lambda c: ((F.col(c) - F.col(f"network_{c}")) * 100).alias(f"{c}_pp")
-    return ops.join(money, F.lit(True)).select(
+    return side_by_side(ops, money).select(
         "*",
         points("on_time_rate"),
         points("cancellation_rate"),

@@ -92,11 +92,12 @@ def split_bookings(clean_rows: DataFrame) -> DataFrame:
     return clean_rows.select(*BOOKING_COLUMNS)
 
 
-def enrich_bookings(bookings: DataFrame, flights: DataFrame) -> DataFrame:
-    """Bookings with the attributes of their flight."""
-    return bookings.join(
-        flights.select("flight_id", "airline", "route", "origin", "destination", "month"), "flight_id"
-    )
+SLICE_ATTRIBUTES = ("airline", "route", "origin", "destination", "month")
+
+
+def enrich_bookings(bookings: DataFrame, flights: DataFrame, *more: str) -> DataFrame:
+    """Bookings with the attributes of their flight that selections and reports use."""
+    return bookings.join(flights.select("flight_id", *SLICE_ATTRIBUTES, *more), "flight_id")
 
 
 def write_model(flights: DataFrame, bookings: DataFrame, folder: str) -> None:

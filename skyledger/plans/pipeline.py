@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.plans import insights as I
 from skyledger.plans import kpis, metrics, model, quality, reports
 from skyledger.plans.cleaning import Cleaned, clean
-from skyledger.session import stage
+from skyledger.session import overlapping, stage, stage_all
 from skyledger.sources import outputs
 from skyledger.sources.feed import read_feed
 
@@ -19,6 +19,7 @@ class PipelineResult:
     cleaned: Cleaned
     flights: DataFrame
     bookings: DataFrame
+    sales: DataFrame
     results: dict[str, DataFrame]
     insights: DataFrame
 
@@ -28,34 +29,45 @@ def run_sql(spark: SparkSession, sql: str, params: dict | None = None, **tables:
     return spark.sql(sql, args=params or {}, **tables)
 
 
-def build_model(cleaned: Cleaned, folder: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Check the clean rows, store both tables once, hand back their scans."""
-    rows = stage(cleaned.rows, "clean")
-    if strict:
-        quality.raise_if_any(quality.all_checks(rows))
-    model.write_model(model.split_flights(rows), model.split_bookings(rows), folder)
-    return model.read_model(rows.sparkSession, folder)
+def checked(rows: DataFrame) -> DataFrame:
+    """The same rows, or an error that names every broken assumption."""
+    quality.raise_if_any(quality.all_checks(rows))
+    return rows
 
 
 def run(spark: SparkSession, raw_path: str, folder: str, strict: bool = True, **params: dict) -> PipelineResult:
-    """Read a raw CSV, write every output below ``folder``; ``strict`` stops on a failed check."""
+    """Read a raw CSV, write every output below ``folder``; ``strict`` stops on a failed check.
+
+    Large tables are written once each: prepared rows, clean rows, the two model
+    tables and the joined sales table that four KPI queries and the panels share.
+    """
     cleaned = clean(read_feed(spark, raw_path))
-    flights, bookings = build_model(cleaned, f"{folder}/model", strict)
-    results = kpis.run_all(flights, bookings, **params)
-    small = {name: stage(df, name) for name, df in results.items()}
+    rows = stage(cleaned.rows, "clean")
+    if strict:
+        checked(rows)
+    model.write_model(model.split_flights(rows), model.split_bookings(rows), f"{folder}/model")
+    flights, bookings = model.read_model(spark, f"{folder}/model")
+    sales = stage(model.enrich_bookings(bookings, flights, "is_cancelled"), "sales")
+
+    results = stage_all(kpis.run_all(flights, sales, **params))
     quality.raise_if_apart(
-        quality.reconcile_headline(metrics.executive_metrics(flights, bookings), small["executive_kpis"]),
-        quality.reconcile_by_airline(metrics.flight_metrics(flights, "airline"), small["airline_performance"]),
+        quality.reconcile_headline(metrics.executive_metrics(flights, bookings), results["executive_kpis"]),
+        quality.reconcile_by_airline(metrics.flight_metrics(flights, "airline"), results["airline_performance"]),
     )
-    insights = stage(I.all_insights(small), "insights")
-    outputs.write_clean_outputs(cleaned.rows, flights, bookings, cleaned.report, f"{folder}/processed")
-    outputs.write_tables(small, f"{folder}/kpis")
+    insights = stage(I.all_insights(results), "insights")
+    report = stage(cleaned.report, "report")
+
+    outputs.write_clean_outputs(rows, flights, bookings, report, f"{folder}/processed")
+    outputs.write_tables(results, f"{folder}/kpis")
     outputs.write_insights(insights, f"{folder}/insights")
-    write_report(small, insights, cleaned.report, f"{folder}/report")
-    return PipelineResult(cleaned, flights, bookings, small, insights)
+    write_report(results, insights, report, f"{folder}/report")
+    return PipelineResult(cleaned, flights, bookings, sales, results, insights)
 
 
 def write_report(results: dict[str, DataFrame], insights: DataFrame, cleaning: DataFrame, folder: str) -> None:
-    for sheet, tables in reports.report_tables(results, insights, cleaning).items():
-        for name, table in tables.items():
-            outputs.write_csv(table, reports.sheet_path(folder, sheet, name))
+    placed = [
+        (reports.sheet_path(folder, sheet, name), table)
+        for sheet, tables in reports.report_tables(results, insights, cleaning).items()
+        for name, table in tables.items()
+    ]
+    overlapping(lambda item: outputs.write_csv(item[1], item[0]), placed)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import constants as K
-from skyledger.plans.cleaning import as_metric_rows
+from skyledger.operators.rows import metric_rows, side_by_side
 from skyledger.plans.model import NOT_NULL_FLIGHT
 
 SHARED_ATTRIBUTES = ("airline", "origin", "destination", "is_cancelled", "delay_minutes")
@@ -25,7 +25,7 @@ def _count(condition: Column) -> Column:
 def required_nulls(rows: DataFrame) -> DataFrame:
     """(position, metric = column, value = nulls) for the required columns, in one pass."""
     counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in K.REQUIRED_COLUMNS])
-    return as_metric_rows(counts, K.REQUIRED_COLUMNS, "bigint")
+    return metric_rows(counts, K.REQUIRED_COLUMNS, "bigint")
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def inconsistent_flights(rows: DataFrame) -> DataFrame:
     )
     varies = lambda c: _varies(F.col(f"{c}_low"), F.col(f"{c}_high"), F.col(f"{c}_n"), F.col("rows"))
     counts = per_flight.agg(*[F.count_if(varies(c)).alias(c) for c in SHARED_ATTRIBUTES])
-    return as_metric_rows(counts, SHARED_ATTRIBUTES, "bigint")
+    return metric_rows(counts, SHARED_ATTRIBUTES, "bigint")
 
 
 ALL_CHECKS = (
@@ -95,56 +95,44 @@ ALL_CHECKS = (
     "out_of_range",
     "operated_without_delay",
     "cancelled_with_passengers",
-    "inconsistent_attributes",
+    "inconsistent_flights",
 )
 
 
 def all_checks(rows: DataFrame) -> DataFrame:
-    """Every check in one scan, (position, metric = check, value = violations).
+    """Every check in one result, (position, metric = check, value = violations).
 
-    Rows collapse to (flight, cabin), those to flights, those to one row.
+    One aggregate by (flight, cabin) with counters only, which hashes, and one
+    by flight for the attributes; both are combined on the map side.
     """
     nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in K.REQUIRED_COLUMNS])
-    bad_range = ~F.coalesce(F.col("passengers") >= 0, F.lit(False)) | ~F.coalesce(F.col("ticket_price") > 0, F.lit(False))
-    cancelled = F.col("is_cancelled") != 0
+    out = ~F.coalesce(F.col("passengers") >= 0, F.lit(False)) | ~F.coalesce(F.col("ticket_price") > 0, F.lit(False))
+    sold = ~F.coalesce(F.col("passengers") == 0, F.lit(False))
+    counted = {
+        "required_nulls": F.sum(nulls),
+        "out_of_range": F.count_if(out),
+        "operated_without_delay": _count((F.col("is_cancelled") == 0) & F.col("delay_minutes").isNull()),
+        "cancelled_with_passengers": _count((F.col("is_cancelled") != 0) & sold),
+    }
     per_cabin = rows.groupBy("flight_id", "cabin_class").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(nulls).alias("required_nulls"),
-        F.count_if(bad_range).alias("out_of_range"),
-        _count((F.col("is_cancelled") == 0) & F.col("delay_minutes").isNull()).alias("operated_without_delay"),
-        _count(cancelled & ~F.coalesce(F.col("passengers") == 0, F.lit(False))).alias("cancelled_with_passengers"),
-        *[
-            f(c).alias(f"{c}_{name}")
-            for c in SHARED_ATTRIBUTES
-            for name, f in (("low", F.min), ("high", F.max), ("n", F.count))
-        ],
+        F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in counted.items()]
     )
     known = F.coalesce(F.col("cabin_class").isin(*K.CABINS), F.lit(False))
-    carried = ("required_nulls", "out_of_range", "operated_without_delay", "cancelled_with_passengers")
-    per_flight = per_cabin.groupBy("flight_id").agg(
-        F.sum("rows").alias("rows"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    by_row = per_cabin.agg(
         F.count_if(F.col("rows") > 1).alias("duplicate_keys"),
-        F.sum(F.when(known, 0).otherwise(F.col("rows"))).alias("unknown_cabins"),
-        *[F.sum(c).alias(c) for c in carried],
-        *[
-            f(f"{c}_{name}").alias(f"{c}_{name}")
-            for c in SHARED_ATTRIBUTES
-            for name, f in (("low", F.min), ("high", F.max), ("n", F.sum))
-        ],
+        total(F.when(known, 0).otherwise(F.col("rows"))).alias("unknown_cabins"),
+        *[total(name).alias(name) for name in counted],
     )
-    varies = reduce(
-        lambda a, b: a + b,
-        [
-            _varies(F.col(f"{c}_low"), F.col(f"{c}_high"), F.col(f"{c}_n"), F.col("rows")).cast("bigint")
-            for c in SHARED_ATTRIBUTES
-        ],
-    )
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
-    counts = per_flight.agg(
-        *[total(c) for c in ("duplicate_keys", "unknown_cabins", *carried)],
-        F.coalesce(F.sum(F.when(F.col("flight_id").isNotNull(), varies)), F.lit(0)).alias("inconsistent_attributes"),
+    # Struct comparison counts null as a value, so unequal ends mean a difference.
+    shared = F.struct(*SHARED_ATTRIBUTES)
+    by_flight = (
+        rows.where(F.col("flight_id").isNotNull())
+        .groupBy("flight_id")
+        .agg(F.min(shared).alias("low"), F.max(shared).alias("high"))
+        .agg(F.count_if(~F.col("low").eqNullSafe(F.col("high"))).alias("inconsistent_flights"))
     )
-    return as_metric_rows(counts, ALL_CHECKS, "bigint")
+    return metric_rows(side_by_side(by_row, by_flight), ALL_CHECKS, "bigint")
 
 
 def raise_if_any(checks: DataFrame) -> None:
@@ -187,7 +175,7 @@ def flight_constraints(flights: DataFrame) -> DataFrame:
         *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL_FLIGHT],
         _count(~F.col("is_cancelled").isin(0, 1)).alias("is_cancelled_not_0_or_1"),
     )
-    return as_metric_rows(counts, names, "bigint")
+    return metric_rows(counts, names, "bigint")
 
 
 # --- reconciliation -----------------------------------------------------------
@@ -206,8 +194,8 @@ AIRLINE_TOLERANCE = 1e-4
 
 def reconcile_headline(metrics: DataFrame, kpis: DataFrame) -> DataFrame:
     """Six headline measures from the metric layer and from the KPI query, side by side."""
-    ours = as_metric_rows(metrics, TOLERANCES, "double").withColumnRenamed("value", "metric_value")
-    theirs = as_metric_rows(kpis, TOLERANCES, "double").select("metric", F.col("value").alias("kpi_value"))
+    ours = metric_rows(metrics, TOLERANCES, "double").withColumnRenamed("value", "metric_value")
+    theirs = metric_rows(kpis, TOLERANCES, "double").select("metric", F.col("value").alias("kpi_value"))
     limit = reduce(
         lambda acc, item: acc.when(F.col("metric") == item[0], F.lit(item[1])), TOLERANCES.items(), F.when(F.lit(False), 0.0)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.plans.cleaning import as_metric_rows
+from skyledger.operators.rows import metric_rows
 
 HEADLINES = (
     "total_flights",
@@ -32,7 +32,7 @@ SHEETS = {
 
 
 def headline_rows(executive_kpis: DataFrame) -> DataFrame:
-    return as_metric_rows(executive_kpis, HEADLINES, "double")
+    return metric_rows(executive_kpis, HEADLINES, "double")
 
 
 def cabin_revenue(cabin_class_summary: DataFrame) -> DataFrame:

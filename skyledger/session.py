@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "skyledger", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
@@ -57,3 +60,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def overlapping(action: Callable, items: Iterable, workers: int = 6) -> list:
+    """Run independent small jobs side by side, so the cluster is not idle between them."""
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(action, items))
+
+
+def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    staged = overlapping(lambda item: stage(item[1], item[0]), tables.items())
+    return dict(zip(tables, staged))

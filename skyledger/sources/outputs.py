@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger import constants as K
 from skyledger.plans.cleaning import in_report_order
+from skyledger.session import overlapping
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -47,10 +46,9 @@ def read_report_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def write_tables(tables: dict[str, DataFrame], folder: str, workers: int = 4) -> None:
-    """Each result to its own CSV folder; the small jobs overlap."""
-    with ThreadPoolExecutor(workers) as pool:
-        list(pool.map(lambda item: write_csv(item[1], f"{folder}/{item[0]}"), tables.items()))
+def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each result to its own CSV folder."""
+    overlapping(lambda item: write_csv(item[1], f"{folder}/{item[0]}"), tables.items())
 
 
 def write_insights(insights: DataFrame, path: str) -> None:
