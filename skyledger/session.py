@@ -35,20 +35,23 @@ def local_session(cores: int | str = 8, app: str = "skyledger", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own.
+    Where that is unset, a checkpoint folder set on the context counts; only a
+    local master may fall back to a temporary folder of its own.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/skyledger/{label}-{uuid.uuid4().hex[:12]}"
+    """A new path below one folder per application, which can be dropped when the application is done."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/skyledger/{application}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
