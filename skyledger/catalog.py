@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from skyledger import constants as K
 from skyledger.functions import text as X
+from skyledger.operators.rows import metric_rows
 from skyledger.plans import cleaning as C
 from skyledger.plans import geo, insights, kpis, metrics, model, pipeline, quality, reports
-from skyledger.session import fresh_path, stage_all
-from skyledger.operators.rows import metric_rows
+from skyledger.session import fresh_path, stage, stage_all
 from skyledger.sources import bridge, feed, outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,18 +347,24 @@ def model_bookings(spark, sf):
     return model.split_bookings(_cleaned(spark, sf).rows)
 
 
-def _delivered(spark, sf):
+def _delivered(raw: DataFrame) -> DataFrame:
     """Typed rows before any repair: what the checks find in the feed as it comes."""
-    return _typed(spark, sf).transform(C.derive)
+    return _chain(raw, feed.rename, C.strip_text, C.standardise_case, C.parse_types, C.derive)
+
+
+def _raw(spark, sf) -> DataFrame:
+    """The feed as a stored table, for queries that read it more than once."""
+    return stage(bridge.dirty_feed(spark, sf), "feed")
 
 
 def _before_and_after(check) -> Query:
     """A check on the feed as delivered and on the clean rows."""
 
     def both(spark, sf):
+        raw = _raw(spark, sf)
         found = [
             check(rows).select(F.lit(label).alias("stage"), "*")
-            for label, rows in (("delivered", _delivered(spark, sf)), ("clean", _cleaned(spark, sf).rows))
+            for label, rows in (("delivered", _delivered(raw)), ("clean", C.clean(raw).rows))
         ]
         return found[0].unionByName(found[1])
 
@@ -387,8 +393,9 @@ def check_pk(spark, sf):
 @register()
 def check_fk_orphans(spark, sf):
     """Delivered bookings whose flight did not survive cleaning."""
-    delivered = model.split_bookings(_delivered(spark, sf))
-    return quality.orphan_bookings(model.split_flights(_cleaned(spark, sf).rows), delivered)
+    raw = _raw(spark, sf)
+    delivered = model.split_bookings(_delivered(raw))
+    return quality.orphan_bookings(model.split_flights(C.clean(raw).rows), delivered)
 
 
 @register()
@@ -398,26 +405,33 @@ def check_check01(spark, sf):
 
 @register()
 def reconcile_headline(spark, sf):
-    flights, bookings = bridge.flights(spark, sf), bridge.bookings(spark, sf)
+    flights = bridge.flights(spark, sf)
     return quality.reconcile_headline(
-        metrics.executive_metrics(flights, bookings), kpis.executive_kpis(flights, bookings)
+        metrics.executive_metrics(flights, bridge.bookings(spark, sf)), kpis.executive_kpis(flights, None)
     )
 
 
 @register()
 def reconcile_by_airline(spark, sf):
-    flights, bookings = bridge.flights(spark, sf), bridge.bookings(spark, sf)
+    flights = bridge.flights(spark, sf)
     return quality.reconcile_by_airline(
-        metrics.flight_metrics(flights, "airline"), kpis.airline_performance(flights, bookings)
+        metrics.flight_metrics(flights, "airline"), kpis.airline_performance(flights, None)
     )
 
 
 # --- named queries --------------------------------------------------------------------
 
 
-def _kpi(name: str) -> Query:
+def _result(spark, sf, name: str) -> DataFrame:
+    """A named query on the one table it reads; sales carry what booking queries need of a flight."""
     params = {"min_flights": ROUTE_FLOOR} if name == "top_delayed_routes" else {}
-    return lambda spark, sf: kpis.KPI_QUERIES[name](bridge.flights(spark, sf), bridge.sales(spark, sf), **params)
+    if name in kpis.BOOKING_QUERIES:
+        return kpis.KPI_QUERIES[name](None, bridge.sales(spark, sf), **params)
+    return kpis.KPI_QUERIES[name](bridge.flights(spark, sf), None, **params)
+
+
+def _kpi(name: str) -> Query:
+    return lambda spark, sf: _result(spark, sf, name)
 
 
 for _name in kpis.KPI_QUERIES:
@@ -495,11 +509,7 @@ def panel_monthly_cabin(spark, sf):
 
 
 def _insight(build, *names: str, drop: tuple[str, ...] = ()) -> Query:
-    def run(spark, sf):
-        tables = (bridge.flights(spark, sf), bridge.sales(spark, sf))
-        return build(*[kpis.KPI_QUERIES[n](*tables) for n in names]).drop(*drop)
-
-    return run
+    return lambda spark, sf: build(*[_result(spark, sf, n) for n in names]).drop(*drop)
 
 
 for _name, _query in {

@@ -402,6 +402,11 @@ KPI_QUERIES: dict[str, Callable[..., DataFrame]] = {
     )
 }
 
+# The queries over bookings; all others read flights only.
+BOOKING_QUERIES = frozenset(
+    f.__name__ for f in (cabin_class_summary, airline_revenue, monthly_passengers, top_revenue_routes)
+)
+
 
 def run_all(flights: DataFrame, bookings: DataFrame, **params: dict) -> dict[str, DataFrame]:
     """Every named query as a lazy DataFrame; ``params`` maps a query name to its arguments."""

@@ -24,6 +24,8 @@ def local_session(cores: int | str = 8, app: str = "skyledger", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Cleaning alone compiles more classes than the default cache of 100 holds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -6,9 +6,11 @@ One order is one flight; its lines, grouped by return flag, are the cabins.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger import constants as K
 from skyledger.functions.numeric import floored_at_zero, money
@@ -18,8 +20,15 @@ CABIN_BY_FLAG = {"N": "Economy", "R": "Premium Economy", "A": "Business"}
 CENTS = "decimal(18,2)"
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Reading file footers costs a job, so the schema of a source is looked up once per session."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _cabin_sums(lineitem: DataFrame) -> DataFrame:
