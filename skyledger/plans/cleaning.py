@@ -7,7 +7,8 @@ Shape of the full job (``clean``):
    side, so a group of copies of any size leaves each map task as one row.
    The result is staged: everything after reads it more than once.
 2. ``settle_departures``, ``impute``  only the few rows with a gap meet a join
-   (donor of the same flight, medians); all other rows pass through without a shuffle.
+   (donor of the same flight, medians); whole rows pass through without a shuffle.
+   The staged table is laid out by that state, so each row is read once.
 3. ``derive``  row-local columns.
 
 Counters travel as columns of the prepared rows, so the report is a plain
@@ -125,6 +126,20 @@ def repair_times(df: DataFrame) -> DataFrame:
     ).drop("scheduled", "gap", "operated")
 
 
+MEASURES = ("distance_miles", "passengers", "ticket_price")
+WHOLE, GAP, UNUSABLE = "whole", "gap", "unusable"
+
+
+def _needs_donor() -> Column:
+    return (F.col("is_cancelled") == 0) & F.col("departure_variance").isNull()
+
+
+def mark_state(df: DataFrame) -> DataFrame:
+    """Tell apart rows that are whole, rows with a gap to fill, and rows to drop."""
+    has_gap = reduce(lambda a, b: a | b, [F.col(m).isNull() for m in MEASURES], _needs_donor())
+    return df.withColumn("state", F.when(~F.col("is_usable"), UNUSABLE).when(has_gap, GAP).otherwise(WHOLE))
+
+
 def prepare(raw: DataFrame) -> DataFrame:
     """All steps up to the point where rows need other rows to be repaired."""
     steps = (
@@ -136,16 +151,13 @@ def prepare(raw: DataFrame) -> DataFrame:
         keep_first_per_key,
         flag_invalid,
         repair_times,
+        mark_state,
     )
     return reduce(lambda df, step: df.transform(step), steps, raw)
 
 
 def _usable(prepared: DataFrame) -> DataFrame:
-    return prepared.where("is_usable")
-
-
-def _needs_donor() -> Column:
-    return (F.col("is_cancelled") == 0) & F.col("departure_variance").isNull()
+    return prepared.where(F.col("state").isin(WHOLE, GAP))
 
 
 def find_donors(prepared: DataFrame) -> DataFrame:
@@ -154,10 +166,10 @@ def find_donors(prepared: DataFrame) -> DataFrame:
     Rows are narrowed to the flights in need and reduced by a combined aggregate;
     the result has at most one row per flight in need.
     """
-    rows = _usable(prepared)
-    wanted = rows.where(_needs_donor()).select(*FLIGHT_KEY).distinct()
+    wanted = prepared.where((F.col("state") == GAP) & _needs_donor()).select(*FLIGHT_KEY).distinct()
     return (
-        rows.where(F.col("departure_variance").isNotNull())
+        _usable(prepared)
+        .where(F.col("departure_variance").isNotNull())
         .select(*FLIGHT_KEY, "src_row", "departure_variance")
         .join(wanted, FLIGHT_KEY, "left_semi")
         .groupBy(*FLIGHT_KEY)
@@ -165,33 +177,35 @@ def find_donors(prepared: DataFrame) -> DataFrame:
     )
 
 
+def _borrow(rows: DataFrame, donors: DataFrame) -> DataFrame:
+    borrowed = F.when(_needs_donor(), F.col("donated")).otherwise(F.col("departure_variance"))
+    return rows.join(donors, FLIGHT_KEY, "left").withColumn("departure_variance", borrowed).select(*rows.columns)
+
+
 def borrow_delay(prepared: DataFrame, donors: DataFrame) -> DataFrame:
-    """Rows without a delay take the donated one; all others skip the join.
+    """Rows without a delay take the donated one; whole rows skip the join.
 
     ``departure_variance`` stays null where no row of the flight has one.
     """
-    rows = _usable(prepared)
-    repaired = (
-        rows.where(_needs_donor())
-        .drop("departure_variance")
-        .join(donors, FLIGHT_KEY, "left")
-        .withColumnRenamed("donated", "departure_variance")
-        .select(*rows.columns)
+    return prepared.where(F.col("state") == WHOLE).unionByName(
+        _borrow(prepared.where(F.col("state") == GAP), donors)
     )
-    return rows.where(~_needs_donor()).unionByName(repaired)
 
 
-def settle_departures(prepared: DataFrame, donors: DataFrame) -> DataFrame:
-    """Borrow delays, drop operated rows that still have none, blank cancelled rows."""
+def _settle(rows: DataFrame) -> DataFrame:
+    """Drop operated rows that still have no delay, blank the times of cancelled rows."""
     operated = F.col("is_cancelled") == 0
-    settled = borrow_delay(prepared, donors).where(~_needs_donor())
     return _replace(
-        settled,
+        rows.where(~_needs_donor()),
         departure_variance=F.when(operated, F.col("departure_variance")),
         actual_departure=F.when(operated, F.col("actual_departure")),
     )
 
 
+def settle_departures(prepared: DataFrame, donors: DataFrame) -> DataFrame:
+    return _settle(borrow_delay(prepared, donors))
+
+
 # Measure with gaps -> the columns whose group's median fills it. The month of
 # the year pools all years.
 MEDIAN_KEYS = {
@@ -199,7 +213,6 @@ MEDIAN_KEYS = {
     "passengers": ("flight_number", "cabin_class"),
     "ticket_price": ("origin", "destination", "cabin_class", "month_of_year"),
 }
-MEASURES = tuple(MEDIAN_KEYS)
 KEY_SLOTS = ["key_1", "key_2", "key_3", "key_4"]
 
 
@@ -241,11 +254,11 @@ def finish_amounts(df: DataFrame) -> DataFrame:
 
 
 def impute(settled: DataFrame, medians: DataFrame, measures: tuple[str, ...] = MEASURES) -> DataFrame:
-    """Fill the measures; rows without a gap bypass every join."""
+    """Fill the measures; rows stored as whole bypass every join."""
     marked = _with_month(_replace(settled, **{f"{m}_missing": F.col(m).isNull() for m in measures}))
-    has_gap = reduce(lambda a, b: a | b, [F.col(m).isNull() for m in measures])
-    filled = reduce(lambda df, m: fill(df, medians, m), measures, marked.where(has_gap))
-    return finish_amounts(marked.where(~has_gap).unionByName(filled))
+    gaps = marked.where(F.col("state") == GAP)
+    filled = reduce(lambda df, m: fill(df, medians, m), measures, gaps)
+    return finish_amounts(marked.where(F.col("state") == WHOLE).unionByName(filled))
 
 
 def derive_keys(df: DataFrame) -> DataFrame:
@@ -342,7 +355,7 @@ class Cleaned:
 
 def clean(raw: DataFrame) -> Cleaned:
     """Run the shared part of the job once and stage it."""
-    return Cleaned(stage(prepare(raw), "prepared"))
+    return Cleaned(stage(prepare(raw), "prepared", "state"))
 
 
 def cleaning_report(prepared: DataFrame, settled: DataFrame) -> DataFrame:

@@ -56,15 +56,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/skyledger/{application}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, *layout: str) -> DataFrame:
     """Cut the lineage: write a table once, hand back its scan.
 
     A written table survives lost executors, and unlike a checkpointed RDD its
-    readers still prune columns and push filters down.
+    readers still prune columns and push filters down. ``layout`` names columns
+    whose values get a folder each, for readers that want one value.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*layout) if layout else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def overlapping(action: Callable, items: Iterable, workers: int = 6) -> list:
