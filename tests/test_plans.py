@@ -61,3 +61,17 @@ def test_counts_of_a_median_are_shuffled_once(spark):
     medians.collect()
     # In the executed plan the second use of the counts is a reused stage.
     assert "ReusedExchange" in plan(medians)
+
+
+def test_results_do_not_depend_on_broadcasts(spark):
+    """Beyond the size threshold every lookup is shuffled; the rows stay the same."""
+    cleaned = staged(spark)
+    expected = sorted(map(str, cleaned.rows.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        again = cleaning.Cleaned(cleaned.prepared).rows
+        assert "SortMergeJoin" in plan(again)
+        assert sorted(map(str, again.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
