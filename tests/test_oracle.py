@@ -3,7 +3,9 @@
 import pytest
 from compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from skyledger.catalog import QUERIES
+from skyledger.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {"sink_insights_text", "insights_all"}
@@ -15,18 +17,18 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, con, name):
-    assert difference(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only(spark, name):
-    assert queries()[name](spark, SF).count() == 8
+    assert QUERIES[name](spark, SF).count() == 8
 
 
 def test_entry(spark):
