@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, mixing, secrets, toxicity
+from skyledger.llm import decontamination, jaccard_join, language_id, mixing, secrets, substrings, top_k, toxicity
 from skyledger.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,39 @@ def op1_source_mix(spark, sf):
     )
 
 
+@register
+def op2_top_k(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return top_k.top_k(vectors.where("vec_id % 100 = 0"), vectors)
+
+
+ORACLES["op2_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@register
+def op3_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = language_id.learn(docs.where(~held_out(4, 2)).select("doc_id", "text", "lang"))
+    found = language_id.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @register
 def op4_secret_scan(spark, sf):
     found = secrets.scanned(table(spark, sf, "documents").select("doc_id", "text"))
@@ -48,6 +81,11 @@ def op4_secret_scan(spark, sf):
     )
 
 
+@register
+def op6_substring_dedup(spark, sf):
+    return substrings.digests(table(spark, sf, "documents"))
+
+
 @register
 def op7_benchmark_overlap(spark, sf):
     return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
