@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, language_id, mixing, secrets, substrings, top_k, toxicity
+from skyledger.llm import (
+    decontamination,
+    html_text,
+    jaccard_join,
+    language_id,
+    mixing,
+    secrets,
+    substrings,
+    token_rollup,
+    top_k,
+    toxicity,
+)
 from skyledger.llm.tables import table
+from skyledger.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +93,27 @@ def op4_secret_scan(spark, sf):
     )
 
 
+@register
+def op5_token_rollup(spark, sf):
+    """Documents enter with an estimate of a token per four characters; a second batch revises it to the exact
+    counts of both tokenizers, and the first batch is sent once more."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    rollup = token_rollup.Rollup(spark, fresh_path(spark, "rollup"))
+    bytes_50k = token_rollup.BytePairs("byte-bpe-50k-1")
+    estimate = docs.select(
+        F.lit("insert").alias("change"),
+        "doc_id",
+        "source",
+        "lang",
+        F.lit(bytes_50k.version).alias("tokenizer"),
+        F.floor(F.coalesce(F.length("text"), F.lit(0)) / 4).cast("long").alias("tokens"),
+    )
+    rollup.commit("estimate", estimate)
+    rollup.commit("exact", token_rollup.counted(docs, (bytes_50k,)).withColumn("change", F.lit("revise")))
+    rollup.commit("estimate", estimate)
+    return rollup.totals()
+
+
 @register
 def op6_substring_dedup(spark, sf):
     return substrings.digests(table(spark, sf, "documents"))
@@ -91,6 +124,11 @@ def op7_benchmark_overlap(spark, sf):
     return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@register
+def op8_main_text(spark, sf):
+    return html_text.extracted(table(spark, sf, "pages"))
+
+
 @register
 def op9_toxicity(spark, sf):
     docs = table(spark, sf, "documents")
