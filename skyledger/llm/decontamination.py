@@ -6,7 +6,7 @@ hit names a diagonal (where the item would start in the document); on it all tok
 those of the document, and the stretch with the best score (+1 for an equal token, -2 for a changed one) is
 verified: it needs min(``least_tokens``, 80 % of the item) equal tokens, and at least 80 % of it equal.
 
-Texts are lower-cased; tokens are runs of ASCII letters, digits and all non-ASCII characters; so quotes and punctuation
+Texts are lower-cased; tokens are runs of ASCII letters, digits and all non-ASCII characters; so ASCII quotes and punctuation
 do not matter. Items shorter than the masks have themselves as their one seed, without ignored places; items with
 fewer than ``shortest_item`` tokens (4) can't be told from chance and are not looked for.
 
