@@ -21,8 +21,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-# The small test data has no route with 100 flights; 20 keeps the query non-empty.
-ROUTE_FLOOR = 20
 # The registered slice: two years, two airlines, two cabins.
 SLICE = metrics.Slice(
     first_month="1996-01", last_month="1997-12", airlines=("BUILDING", "MACHINERY"), cabins=("Economy", "Business")
@@ -123,7 +121,7 @@ def sink_json_report(spark, sf):
 
 
 def _results(flights, bookings):
-    return kpis.run_all(flights, bookings, top_delayed_routes={"min_flights": ROUTE_FLOOR})
+    return kpis.run_all(flights, bookings)
 
 
 @register()
@@ -424,10 +422,9 @@ def reconcile_by_airline(spark, sf):
 
 def _result(spark, sf, name: str) -> DataFrame:
     """A named query on the one table it reads; sales carry what booking queries need of a flight."""
-    params = {"min_flights": ROUTE_FLOOR} if name == "top_delayed_routes" else {}
     if name in kpis.BOOKING_QUERIES:
-        return kpis.KPI_QUERIES[name](None, bridge.sales(spark, sf), **params)
-    return kpis.KPI_QUERIES[name](bridge.flights(spark, sf), None, **params)
+        return kpis.KPI_QUERIES[name](None, bridge.sales(spark, sf))
+    return kpis.KPI_QUERIES[name](bridge.flights(spark, sf), None)
 
 
 def _kpi(name: str) -> Query:
@@ -438,6 +435,12 @@ for _name in kpis.KPI_QUERIES:
     register(_name)(_kpi(_name))
 
 
+@register()
+def top_delayed_routes_from_20(spark, sf):
+    """The same query with its floor as a parameter."""
+    return kpis.KPI_QUERIES["top_delayed_routes"](bridge.flights(spark, sf), None, min_flights=20)
+
+
 # --- metric layer and panels ------------------------------------------------------------
 
 
@@ -556,4 +559,6 @@ def calendar_spine(spark, sf):
 
 @register()
 def cabin_fanout(spark, sf):
-    return geo.cabin_fanout(bridge.flights(spark, sf))
+    flights = bridge.flights(spark, sf)
+    seats = geo.most_seated(flights, bridge.bookings(spark, sf).select("flight_id", "cabin_class", "passengers"))
+    return geo.cabin_fanout(flights, seats).select("flight_id", "aircraft", "cabin_class", "seats")

@@ -62,15 +62,6 @@ SHOULDER_MONTHS = (3, 4, 5, 9, 10, 11)
 
 EARTH_RADIUS_MILES = 3958.8
 
-# aircraft -> seats per cabin
-AIRCRAFT_SEATS = {
-    "E175": {"Economy": 64, "Business": 12},
-    "A320": {"Economy": 126, "Premium Economy": 12, "Business": 12},
-    "B737-800": {"Economy": 138, "Premium Economy": 12, "Business": 16},
-    "A321": {"Economy": 158, "Premium Economy": 16, "Business": 16},
-    "B737 MAX 9": {"Economy": 150, "Premium Economy": 18, "Business": 20},
-}
-
 # Counters of the cleaning report, in report order.
 REPORT_COUNTERS = (
     "raw_rows",

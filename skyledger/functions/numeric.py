@@ -10,7 +10,7 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 def rounded(value: Column, places: int) -> Column:
     """Round half away from zero on a decimal, so a tie never depends on binary noise."""
-    return F.round(value.cast("decimal(28,8)"), places).cast("double")
+    return F.round(value.try_cast("decimal(28,8)"), places).cast("double")
 
 
 def rate(value: Column) -> Column:
@@ -33,11 +33,12 @@ def half_even(value: Column, places: int = 0) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Text to double; anything that is not a plain number becomes null.
+    """Text to double; anything that is not a plain, finite number becomes null.
 
-    The pattern is needed because a bare cast also accepts ``12d`` and ``NaN``.
+    The pattern is needed because a bare cast also accepts ``12d`` and ``NaN``; ``1e400`` overflows to infinity.
     """
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def floored_at_zero(value: Column) -> Column:

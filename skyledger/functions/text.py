@@ -56,7 +56,7 @@ def clock_minutes(text: Column) -> Column:
 
 def clock_text(minutes: Column) -> Column:
     """Minutes, wrapped into one day, to ``HH:MM``."""
-    whole = F.pmod(minutes, F.lit(K.MINUTES_PER_DAY)).cast("int")
+    whole = F.pmod(minutes, F.lit(K.MINUTES_PER_DAY)).try_cast("int")
     two = lambda part: F.lpad(part.cast("string"), 2, "0")
     return F.concat(two(F.floor(whole / 60)), F.lit(":"), two(whole % 60))
 

@@ -16,7 +16,7 @@ def _bucket(value):
     Never null for the values it is used on. The coalesce tells the planner so; it
     then adds no null filter on one side only, and the counts are shuffled once.
     """
-    return F.coalesce(F.floor(F.signum(value) * F.log1p(F.abs(value)) * STEPS_PER_E).cast("int"), F.lit(0))
+    return F.coalesce(F.floor(F.signum(value) * F.log1p(F.abs(value)) * STEPS_PER_E).try_cast("int"), F.lit(0))
 
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, alias: str = "median") -> DataFrame:

@@ -66,7 +66,7 @@ BRIDGE = {
         FROM lineitem GROUP BY ALL""",
     "legs": """
         SELECT f.flight_id, f.flight_date, 'F' || f.o_custkey AS flight_number, c.c_mktsegment AS airline,
-               a.n_name AS origin, b.n_name AS destination, c.c_nationkey AS from_key, s.s_nationkey AS to_key,
+               a.n_name AS origin, b.n_name AS destination, c.c_nationkey AS from_key, s.s_nationkey AS to_key, suppkey,
                (f.flight_id * 7919 + f.o_custkey * 104729) % 1000003 AS h, f.status
         FROM first_orders f
         JOIN order_supplier USING (flight_id)
@@ -83,9 +83,8 @@ BRIDGE = {
     "operations": f"""
         SELECT flight_id, flight_number, flight_date, strftime(flight_date, '%Y-%m') AS month,
                dayname(flight_date) AS day_of_week, airline, origin, destination, origin || '-' || destination AS route,
-               CASE WHEN distance_miles < 650 THEN 'E175'
-                    WHEN distance_miles < 1500 THEN CASE WHEN h % 2 = 0 THEN 'A320' ELSE 'B737-800' END
-                    ELSE CASE WHEN h % 2 = 0 THEN 'A321' ELSE 'B737 MAX 9' END END AS aircraft,
+               CASE suppkey % 4 WHEN 0 THEN 'Commuter' WHEN 1 THEN 'Short haul' WHEN 2 THEN 'Medium haul'
+                    ELSE 'Long haul' END AS aircraft,
                {hhmm('sched')} AS scheduled_departure,
                CASE WHEN is_cancelled = 0 THEN {hhmm('sched + planned')} END AS actual_departure,
                sched // 60 AS departure_hour, {DAYPART.format(h='(sched // 60)')} AS time_of_day,
@@ -515,7 +514,7 @@ KPI = {
                rank() OVER (ORDER BY sum(passengers) DESC) AS passenger_rank
         FROM flights GROUP BY route, origin, destination""",
     "top_delayed_routes": f"""
-        SELECT route, count(*) AS flights, {DELAY}, {OTR}, {CANCEL} FROM flights GROUP BY route HAVING count(*) >= 20
+        SELECT route, count(*) AS flights, {DELAY}, {OTR}, {CANCEL} FROM flights GROUP BY route HAVING count(*) >= 100
         ORDER BY avg_delay_minutes DESC NULLS LAST, route LIMIT 10""",
     "high_demand_poor_performance": f"""
         SELECT route, passengers, CAST(money AS DOUBLE) AS revenue, {rnd('punctuality', 4)} AS on_time_rate,
@@ -529,6 +528,7 @@ KPI = {
 }
 for _name, _sql in KPI.items():
     on_model(_name, _sql)
+on_model("top_delayed_routes_from_20", KPI["top_delayed_routes"].replace(">= 100", ">= 20"))
 
 # --- metric layer and panels -----------------------------------------------------------------------
 
@@ -767,10 +767,6 @@ on_model(
 on_model(
     "cabin_fanout",
     """SELECT flight_id, aircraft, cabin_class, seats FROM flights
-       JOIN (VALUES ('E175', 'Economy', 64), ('E175', 'Business', 12),
-                    ('A320', 'Economy', 126), ('A320', 'Premium Economy', 12), ('A320', 'Business', 12),
-                    ('B737-800', 'Economy', 138), ('B737-800', 'Premium Economy', 12), ('B737-800', 'Business', 16),
-                    ('A321', 'Economy', 158), ('A321', 'Premium Economy', 16), ('A321', 'Business', 16),
-                    ('B737 MAX 9', 'Economy', 150), ('B737 MAX 9', 'Premium Economy', 18), ('B737 MAX 9', 'Business', 20))
-            AS cabins(aircraft, cabin_class, seats) USING (aircraft)""",
+       JOIN (SELECT aircraft, cabin_class, max(bookings.passengers) AS seats FROM flights JOIN bookings USING (flight_id)
+             GROUP BY aircraft, cabin_class) USING (aircraft)""",
 )

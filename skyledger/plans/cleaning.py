@@ -60,6 +60,7 @@ def parse_types(df: DataFrame, date_patterns: tuple[str, ...] = K.DATE_PATTERNS)
     return _replace(
         df,
         flight_date=X.parsed_date(F.col("flight_date"), date_patterns),
+        bad_date=F.col("flight_date").isNotNull() & X.parsed_date(F.col("flight_date"), date_patterns).isNull(),
         is_cancelled=X.cancelled_flag(F.col("is_cancelled")),
         had_symbol=F.coalesce(F.contains(price, F.lit("$")), F.lit(False)),
         ticket_price=to_number(F.replace(price, F.lit("$"), F.lit(""))),
@@ -71,11 +72,13 @@ def keep_first_per_key(df: DataFrame) -> DataFrame:
     """The first row, in file order, of each flight number, date and cabin.
 
     An aggregate rather than a window: map tasks send one row per key, however
-    many copies a key has. The sizes of the dropped copies ride along.
+    many copies a key has. The sizes of the dropped copies ride along. A row whose
+    date could not be read has no key, so it is nobody's copy: it stays, and the checks report it.
     """
-    kept = [c for c in df.columns if c not in {*ROW_KEY, "copies", "had_symbol"}]
+    kept = [c for c in df.columns if c not in {*ROW_KEY, "copies", "had_symbol", "bad_date"}]
     return (
-        df.groupBy(*ROW_KEY)
+        df.withColumn("keyless", F.when(F.col("bad_date"), F.to_json(F.struct("src_row"))))
+        .groupBy(*ROW_KEY, "keyless")
         .agg(
             F.min_by(F.struct(*kept), "src_row").alias("first"),
             F.sum("copies").alias("raw_rows"),
@@ -275,7 +278,7 @@ def derive_keys(df: DataFrame) -> DataFrame:
 
 def derive_delay(df: DataFrame) -> DataFrame:
     """Scheduled hour, part of day, and the delay measures."""
-    hour = F.floor(X.clock_minutes(F.col("scheduled_departure")) / 60).cast("int")
+    hour = F.floor(X.clock_minutes(F.col("scheduled_departure")) / 60).try_cast("int")
     timed = _replace(df, departure_hour=hour, delay_minutes=floored_at_zero(F.col("departure_variance")))
     delay, cancelled = F.col("delay_minutes"), F.col("is_cancelled")
     return _replace(
@@ -287,14 +290,14 @@ def derive_delay(df: DataFrame) -> DataFrame:
 
 
 def derive_amounts(df: DataFrame) -> DataFrame:
-    """Whole numbers, money in cents, revenue."""
+    """Whole numbers, money in cents, revenue; what does not fit its type is null, which the checks report."""
     typed = _replace(
         df,
-        passengers=F.col("passengers").cast("bigint"),
-        distance_miles=F.col("distance_miles").cast("int"),
-        ticket_price=F.col("ticket_price").cast(CENTS),
+        passengers=F.col("passengers").try_cast("bigint"),
+        distance_miles=F.col("distance_miles").try_cast("int"),
+        ticket_price=F.col("ticket_price").try_cast(CENTS),
     )
-    return _replace(typed, revenue=(F.col("passengers") * F.col("ticket_price")).cast(CENTS))
+    return _replace(typed, revenue=F.try_multiply(F.col("passengers"), F.col("ticket_price")).try_cast(CENTS))
 
 
 def derive(df: DataFrame) -> DataFrame:

@@ -53,21 +53,12 @@ def airline_calendar(flights: DataFrame) -> DataFrame:
     )
 
 
-def cabin_seats(aircraft: Column) -> Column:
-    """Array of (cabin, seats) of an aircraft; null for an unknown type."""
-    configurations = F.create_map(
-        *[
-            item
-            for name, cabins in K.AIRCRAFT_SEATS.items()
-            for item in (
-                F.lit(name),
-                F.array(*[F.struct(F.lit(c).alias("cabin_class"), F.lit(s).alias("seats")) for c, s in cabins.items()]),
-            )
-        ]
-    )
-    return F.try_element_at(configurations, aircraft)
+def cabin_fanout(flights: DataFrame, seats: DataFrame) -> DataFrame:
+    """One row per flight and cabin of its aircraft, by a table (aircraft, cabin_class, seats)."""
+    return flights.select("flight_id", "aircraft").join(seats, "aircraft")
 
 
-def cabin_fanout(flights: DataFrame) -> DataFrame:
-    """One row per flight and cabin of its aircraft; the seat list is a literal, so nothing is joined."""
-    return flights.select("flight_id", "aircraft", F.inline(cabin_seats(F.col("aircraft"))))
+def most_seated(flights: DataFrame, bookings: DataFrame) -> DataFrame:
+    """(aircraft, cabin_class, seats): the most passengers of one flight, where no seat table is known."""
+    flown = flights.select("flight_id", "aircraft").join(bookings, "flight_id")
+    return flown.groupBy("aircraft", "cabin_class").agg(F.max("passengers").alias("seats"))

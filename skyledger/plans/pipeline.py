@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.plans import insights as I
 from skyledger.plans import kpis, metrics, model, quality, reports
@@ -22,6 +24,7 @@ class PipelineResult:
     sales: DataFrame
     results: dict[str, DataFrame]
     insights: DataFrame
+    checks: DataFrame
 
 
 def run_sql(spark: SparkSession, sql: str, params: dict | None = None, **tables: DataFrame) -> DataFrame:
@@ -36,32 +39,58 @@ def checked(rows: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, raw_path: str, folder: str, strict: bool = True, **params: dict) -> PipelineResult:
-    """Read a raw CSV, write every output below ``folder``; ``strict`` stops on a failed check.
+    """Read a raw CSV, write every output below ``folder``.
+
+    Checks of the clean rows, the constraints of the stored tables and the reconciliation always run and are
+    written to ``checks``; ``strict`` stops at what they find.
 
     Large tables are written once each: prepared rows, clean rows, the two model
     tables and the joined sales table that four KPI queries and the panels share.
     """
     cleaned = clean(read_feed(spark, raw_path))
     rows = stage(cleaned.rows, "clean")
+    checks = stage(quality.all_checks(rows).withColumn("stage", F.lit("clean")), "checks")
     if strict:
-        checked(rows)
+        quality.raise_if_any(checks)
     model.write_model(model.split_flights(rows), model.split_bookings(rows), f"{folder}/model")
     flights, bookings = model.read_model(spark, f"{folder}/model")
+    stored = {
+        "not_null": quality.flight_constraints(flights),
+        "keys": quality.keys_as_checks(quality.primary_key_violations(flights, bookings)),
+    }
+    constraints = stage_all({name: df.withColumn("stage", F.lit(name)) for name, df in stored.items()})
+    if strict:
+        for found in constraints.values():
+            quality.raise_if_any(found)
     sales = stage(model.enrich_bookings(bookings, flights, "is_cancelled"), "sales")
 
     results = stage_all(kpis.run_all(flights, sales, **params))
-    quality.raise_if_apart(
-        quality.reconcile_headline(metrics.executive_metrics(flights, bookings), results["executive_kpis"]),
-        quality.reconcile_by_airline(metrics.flight_metrics(flights, "airline"), results["airline_performance"]),
+    compared = stage_all(
+        {
+            "headline": quality.reconcile_headline(metrics.executive_metrics(flights, bookings), results["executive_kpis"]),
+            "by_airline": quality.reconcile_by_airline(
+                metrics.flight_metrics(flights, "airline"), results["airline_performance"]
+            ),
+        }
     )
+    if strict:
+        quality.raise_if_apart(*compared.values())
+    apart = [
+        df.agg(F.count_if(~F.col("agrees")).alias("value")).select(
+            F.lit(0).alias("position"), F.lit(f"{name}_apart").alias("metric"), "value", F.lit("reconciled").alias("stage")
+        )
+        for name, df in compared.items()
+    ]
+    checks = stage(reduce(DataFrame.unionByName, [checks, *constraints.values(), *apart]), "checks")
     insights = stage(I.all_insights(results), "insights")
     report = stage(cleaned.report, "report")
 
     outputs.write_clean_outputs(rows, flights, bookings, report, f"{folder}/processed")
     outputs.write_tables(results, f"{folder}/kpis")
     outputs.write_insights(insights, f"{folder}/insights")
+    outputs.write_csv(checks, f"{folder}/checks")
     write_report(results, insights, report, f"{folder}/report")
-    return PipelineResult(cleaned, flights, bookings, sales, results, insights)
+    return PipelineResult(cleaned, flights, bookings, sales, results, insights, checks)
 
 
 def write_report(results: dict[str, DataFrame], insights: DataFrame, cleaning: DataFrame, folder: str) -> None:

@@ -6,11 +6,9 @@ One order is one flight; its lines, grouped by return flag, are the cabins.
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from skyledger import constants as K
 from skyledger.functions.numeric import floored_at_zero, money
@@ -18,17 +16,21 @@ from skyledger.functions.text import clock_text, delay_category, time_of_day
 
 CABIN_BY_FLAG = {"N": "Economy", "R": "Premium Economy", "A": "Business"}
 CENTS = "decimal(18,2)"
+FLEET = ("Commuter", "Short haul", "Medium haul", "Long haul")
 
 
-@lru_cache(maxsize=256)
-def _schema(spark: SparkSession, path: str) -> StructType:
-    """Reading file footers costs a job, so the schema of a source is looked up once per session."""
-    return spark.read.parquet(path).schema
+# The columns read of each source; a given schema spares a job that reads file footers.
+SOURCES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey long, s_nationkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _cabin_sums(lineitem: DataFrame) -> DataFrame:
@@ -101,12 +103,8 @@ def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _aircraft() -> Column:
-    even = F.col("h") % 2 == 0
-    return (
-        F.when(F.col("distance_miles") < 650, "E175")
-        .when(F.col("distance_miles") < 1500, F.when(even, "A320").otherwise("B737-800"))
-        .otherwise(F.when(even, "A321").otherwise("B737 MAX 9"))
-    )
+    """A supplier flies one class of aircraft."""
+    return F.element_at(F.array(*map(F.lit, FLEET)), (F.col("suppkey") % len(FLEET) + 1).cast("int"))
 
 
 def _across_cabins(prefix: str) -> Column:

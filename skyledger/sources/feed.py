@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger import constants as K
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Columns are taken by header name; ``src_row`` orders rows as they stand in the files.
 
-    The order is (file, block, row within the read), so it is the same however
-    the files are split over tasks. Literal ``NA`` stays text.
+    All files must have the header of the first; the read stops with a message at one that has not, and at a row
+    with too many or too few fields. Values with line breaks in quotes need ``multi_line``, which keeps a file in
+    one task. The order is (file, block, row within the read), so it is the same however the files are split over
+    tasks. Literal ``NA`` stays text.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .csv(path)
-    )
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    raw = spark.read.options(**options, enforceSchema=False, mode="FAILFAST").schema(schema).csv(path)
     return raw.select(
         *[F.col(f"`{name}`") for name in K.SOURCE_COLUMNS],
         F.struct(

@@ -231,8 +231,7 @@ def test_calendar_has_every_day(flights_of):
     assert (found.count(), found.agg(F.sum("flights")).first()[0]) == (32, 2)
 
 
-def test_fanout_follows_the_aircraft(flights_of):
-    found = rows(geo.cabin_fanout(flights_of({}, {"aircraft": "A320"}, {"aircraft": "??"})), "flight_id", "cabin_class", "seats")
-    assert sorted(found) == [
-        ("0", "Business", 12), ("0", "Economy", 64), ("1", "Business", 12), ("1", "Economy", 126), ("1", "Premium Economy", 12)
-    ]
+def test_fanout_follows_the_aircraft(spark, flights_of):
+    seats = spark.createDataFrame([("E175", "Economy", 64), ("E175", "Business", 12), ("A320", "Economy", 126)], "aircraft string, cabin_class string, seats int")
+    found = rows(geo.cabin_fanout(flights_of({}, {"aircraft": "A320"}, {"aircraft": "??"}), seats), "flight_id", "cabin_class", "seats")
+    assert sorted(found) == [("0", "Business", 12), ("0", "Economy", 64), ("1", "Economy", 126)]

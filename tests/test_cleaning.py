@@ -213,3 +213,24 @@ def test_empty_feed(feed_of):
 def test_text_in_a_number_column_is_missing(feed_of, column):
     prepared = C.prepare(feed_of({"Delay (min)": "12d", "Distance (mi)": "NaN", "Passengers": "1,200", "Actual Departure": ""}))
     assert prepared.collect()[0][column] is None
+
+
+def test_rows_without_a_readable_date_are_nobodys_copies(feed_of):
+    from skyledger.plans import cleaning, quality
+
+    dates = ("14.03.2025", "15.03.2025", "16.03.2025", "2025-03-17")
+    cleaned = cleaning.clean(feed_of(*({"Date": d} for d in dates)))
+    report = {r["metric"]: r["value"] for r in cleaned.report.collect()}
+    assert cleaned.rows.count() == 4 and report["key_duplicates_removed"] == 0
+    checks = {r["metric"]: r["value"] for r in quality.all_checks(cleaned.rows).collect()}
+    assert checks["required_nulls"] >= 3
+
+
+def test_values_out_of_range_become_null(feed_of):
+    from skyledger.plans import cleaning
+
+    odd = ({"Distance (mi)": "1e30"}, {"Passengers": "1e400"}, {"Scheduled Departure": "1e12:00"}, {"Delay (min)": "1e400"}, {"Ticket Price": "1e300"})
+    rows = cleaning.clean(feed_of(*({"Flight": f"NS{i}", **o} for i, o in enumerate(odd)))).rows.collect()
+    found = {r.flight_number: r for r in rows}
+    assert len(found) == 5 and found["NS0"].distance_miles is None and found["NS2"].departure_hour is None
+    assert found["NS4"].revenue is None

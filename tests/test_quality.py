@@ -92,4 +92,4 @@ def test_reconciliation_reports_and_raises(spark):
     left = spark.createDataFrame([("A", 0.5), ("B", 0.6)], "airline string, on_time_rate double")
     right = spark.createDataFrame([("A", 0.7), ("C", 0.6)], "airline string, on_time_rate double")
     agrees = {r["airline"]: r["agrees"] for r in quality.reconcile_by_airline(left, right).collect()}
-    assert agrees == {"A": False, "B": True, "C": True}
+    assert agrees == {"A": False, "B": False, "C": False}

@@ -2,6 +2,7 @@ import json
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger import constants as K
 from skyledger import session
@@ -70,11 +71,62 @@ def test_whole_pipeline_writes_every_output(spark, tmp_path):
     assert len(lines) == 8 and all(r["value"].startswith("- ") for r in lines)
     csv = spark.read.option("header", True).csv(f"{out}/processed/clean")
     assert csv.count() == counters["clean_rows"] and "src_row" not in csv.columns
-    # Some fares of this feed cannot be imputed, so the strict run must stop.
+    # Some fares of this feed cannot be imputed: the run that is not strict says so, the strict run must stop.
+    found = {(r.stage, r.metric): r.value for r in result.checks.collect()}
+    assert found["clean", "required_nulls"] > 0 and found["keys", "flights_duplicate_keys"] == 0
+    assert spark.read.option("header", True).csv(f"{out}/checks").count() == len(found)
     with pytest.raises(quality.DataQualityError, match="required_nulls"):
         pipeline.checked(result.cleaned.rows)
 
 
+LINE = "NS{n},{date},Blue Air,AAA,BBB,A320,{sched},10:05,5,No,{miles},Economy,100,99.50"
+
+
+def feed_file(folder, lines, name="a.csv", header=tuple(K.SOURCE_COLUMNS)):
+    pathlib.Path(folder).mkdir(exist_ok=True)
+    pathlib.Path(folder, name).write_text("\n".join([",".join(header), *lines]) + "\n")
+    return str(folder)
+
+
+def good_lines(**changes):
+    return [LINE.format(**({"n": i, "date": f"2025-03-{i:02}", "sched": "10:00", "miles": 500} | changes)) for i in range(1, 20)]
+
+
+def test_strict_run_that_succeeds(spark, tmp_path):
+    result = pipeline.run(spark, feed_file(tmp_path / "raw", good_lines()), str(tmp_path / "out"))
+    assert result.flights.count() == 19 and result.checks.where("value > 0").count() == 0
+
+
+@pytest.mark.parametrize("change, check", [({"sched": "25:10"}, "time_of_day"), ({"sched": ""}, "departure_hour"), ({"miles": "1e30"}, "required_nulls")])
+def test_bad_values_stop_a_strict_run_and_are_counted_otherwise(spark, tmp_path, change, check):
+    raw = feed_file(tmp_path / "raw", [*good_lines()[:-1], good_lines(n=99, **change)[0]])
+    with pytest.raises(quality.DataQualityError, match=check):
+        pipeline.run(spark, raw, str(tmp_path / "strict"))
+    result = pipeline.run(spark, raw, str(tmp_path / "out"), strict=False)
+    assert result.checks.where("value > 0").where(F.col("metric") == check).count() == 1
+    assert result.cleaned.rows.count() == 19
+
+
+def test_headers_must_agree(spark, tmp_path):
+    swapped = list(K.SOURCE_COLUMNS)
+    i, j = swapped.index("Origin"), swapped.index("Destination")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    raw = feed_file(tmp_path / "one", good_lines(), header=swapped)
+    assert {r["Origin"] for r in read_feed(spark, raw).collect()} == {"BBB"}
+    feed_file(tmp_path / "one", good_lines(), "b.csv")
+    with pytest.raises(Exception, match="header"):
+        read_feed(spark, raw).collect()
+
+
+def test_malformed_rows_stop_and_line_breaks_need_an_option(spark, tmp_path):
+    for line in (LINE + ",more", "NS1,2025-03-01"):
+        raw = feed_file(tmp_path / str(len(line)), [line.format(n=1, date="2025-03-01", sched="10:00", miles=1)])
+        with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+            read_feed(spark, raw).collect()
+    raw = feed_file(tmp_path / "break", [good_lines()[0].replace("Blue Air", '"Blue\nAir"')])
+    assert [r["Airline"] for r in read_feed(spark, raw, multi_line=True).collect()] == ["Blue\nAir"]
+
+
 def test_parameterised_sql(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
     assert pipeline.run_sql(spark, "SELECT s FROM {t} WHERE n = :n", {"n": 2}, t=df).first()["s"] == "b"
