@@ -139,7 +139,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         at[0].alias("position"),
         F.array_compact(F.array(*at)).alias("positions"),
     )
-    return result.orderBy(F.col("position").asc_nulls_last())
+    # Documents that are not taken have no position; their ids keep them from one range.
+    return result.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def taken_only(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
