@@ -53,28 +53,28 @@ CATEGORY = (
 )
 
 BRIDGE = {
-    "first_orders": """
-        SELECT o_custkey, CAST(o_orderdate AS DATE) AS flight_date, min(o_orderkey) AS flight_id,
-               arg_min(o_orderstatus, o_orderkey) AS status
-        FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)""",
-    "order_supplier": "SELECT l_orderkey AS flight_id, min(l_suppkey) AS suppkey FROM lineitem GROUP BY l_orderkey",
-    "order_cabins": """
-        SELECT l_orderkey AS flight_id,
+    "placed": """
+        SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS flight_date, min(o_orderkey) OVER day AS flight_id,
+               first_value(o_orderstatus) OVER (day ORDER BY o_orderkey) AS status
+        FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) WINDOW day AS (PARTITION BY o_custkey, CAST(o_orderdate AS DATE))""",
+    "sold_lines": "SELECT p.flight_id, l.* FROM lineitem l JOIN placed p ON p.o_orderkey = l.l_orderkey",
+    "flight_supplier": "SELECT flight_id, min(l_suppkey) AS suppkey FROM sold_lines GROUP BY flight_id",
+    "flight_cabins": """
+        SELECT flight_id,
                CASE l_returnflag WHEN 'N' THEN 'Economy' WHEN 'R' THEN 'Premium Economy' ELSE 'Business' END AS cabin_class,
                CASE l_returnflag WHEN 'N' THEN 0 WHEN 'R' THEN 1 ELSE 2 END AS cabin_no,
                sum(l_quantity) AS seats, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS amount
-        FROM lineitem GROUP BY ALL""",
+        FROM sold_lines GROUP BY ALL""",
     "legs": """
         SELECT f.flight_id, f.flight_date, 'F' || f.o_custkey AS flight_number, c.c_mktsegment AS airline,
                a.n_name AS origin, b.n_name AS destination, c.c_nationkey AS from_key, s.s_nationkey AS to_key, suppkey,
                (f.flight_id * 7919 + f.o_custkey * 104729) % 1000003 AS h, f.status
-        FROM first_orders f
-        JOIN order_supplier USING (flight_id)
+        FROM (SELECT * FROM placed WHERE o_orderkey = flight_id) f
+        JOIN flight_supplier USING (flight_id)
         JOIN customer c ON c.c_custkey = f.o_custkey
         JOIN supplier s ON s.s_suppkey = suppkey
         JOIN nation a ON a.n_nationkey = c.c_nationkey
-        JOIN nation b ON b.n_nationkey = s.s_nationkey
-        WHERE c.c_nationkey <> s.s_nationkey""",
+        JOIN nation b ON b.n_nationkey = s.s_nationkey""",
     "timed": """
         SELECT *, CASE WHEN status = 'P' AND h % 4 = 0 THEN 1 ELSE 0 END AS is_cancelled,
                360 + (h * 31) % 960 AS sched, 100 + 90 * abs(from_key - to_key) AS distance_miles,
@@ -97,7 +97,7 @@ BRIDGE = {
         SELECT flight_id, cabin_class, cabin_no, CASE WHEN is_cancelled = 0 THEN CAST(seats AS BIGINT) ELSE 0 END AS passengers,
                {rnd('CAST(amount AS DOUBLE) / seats', 2)} AS ticket_price,
                CASE WHEN is_cancelled = 0 THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END AS revenue
-        FROM order_cabins JOIN operations USING (flight_id)""",
+        FROM flight_cabins JOIN operations USING (flight_id)""",
     "flights": """
         SELECT o.*, t.passengers, t.revenue FROM operations o
         JOIN (SELECT flight_id, CAST(sum(passengers) AS BIGINT) AS passengers, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
@@ -432,7 +432,7 @@ on_clean(
 on_clean(
     "check_fk_orphans",
     """SELECT flight_id, cabin_class, passengers, CAST(CAST(ticket_price AS DECIMAL(18,2)) AS DOUBLE) AS ticket_price, CAST(revenue AS DOUBLE) AS revenue
-       FROM delivered WHERE NOT EXISTS (SELECT 1 FROM model_flights m WHERE m.flight_id = delivered.flight_id)""",
+       FROM delivered ANTI JOIN (SELECT flight_id FROM model_flights) USING (flight_id)""",
 )
 FLIGHT_NOT_NULL = (
     "flight_id", "flight_number", "flight_date", "month", "day_of_week", "airline", "origin", "destination", "route",

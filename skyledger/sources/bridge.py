@@ -1,6 +1,7 @@
 """Flights, bookings and a messy raw feed derived from order tables.
 
-One order is one flight; its lines, grouped by return flag, are the cabins.
+A customer's orders of one day are one flight; their lines, grouped by return flag, are the cabins. Every order
+with lines takes part.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _cabin_parts(prefix: str) -> list[str]:
+    return [f"{prefix}_{rank}" for rank in range(len(CABIN_BY_FLAG))]
+
+
 def _cabin_sums(lineitem: DataFrame) -> DataFrame:
     """One row per order with the sums of each cabin side by side.
 
@@ -46,31 +51,47 @@ def _cabin_sums(lineitem: DataFrame) -> DataFrame:
             F.sum(F.when(own, F.col("l_quantity"))).alias(f"seats_{rank}"),
             F.sum(F.when(own, F.col("cents"))).alias(f"cents_{rank}"),
         ]
-    amounts = [
-        (F.col(f"cents_{rank}") * F.lit(Decimal("0.01"))).cast(CENTS).alias(f"amount_{rank}")
-        for rank in range(len(CABIN_BY_FLAG))
-    ]
-    seats = [f"seats_{rank}" for rank in range(len(CABIN_BY_FLAG))]
-    # Whole cents sum exactly and fast in a long; decimals are made once per order.
     return (
         lineitem.withColumn("cents", F.rint(F.col("l_extendedprice") * 100).cast("bigint"))
-        .groupBy(F.col("l_orderkey").alias("flight_id"))
+        .groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(*sums)
-        .select("flight_id", "suppkey", *seats, *amounts)
     )
 
 
-def _first_orders(orders: DataFrame) -> DataFrame:
-    """The lowest order key of each customer and day."""
-    day = F.to_date("o_orderdate")
-    return orders.groupBy(F.col("o_custkey").alias("custkey"), day.alias("flight_date")).agg(
-        F.min("o_orderkey").alias("flight_id"),
-        F.min_by(F.col("o_orderstatus") == "P", F.col("o_orderkey")).alias("pending"),
+def _by_customer_and_day(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """All orders of a customer and day as one flight, named and marked pending by the lowest order key.
+
+    Whole cents sum exactly and fast in a long; decimals are made once per flight.
+    """
+    placed = orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("custkey"),
+        F.to_date("o_orderdate").alias("flight_date"),
+        (F.col("o_orderstatus") == "P").alias("pending"),
     )
+    merged = (
+        placed.join(_cabin_sums(lineitem), "order_id")
+        .groupBy("custkey", "flight_date")
+        .agg(
+            F.min("order_id").alias("flight_id"),
+            F.min_by("pending", "order_id").alias("pending"),
+            F.min("suppkey").alias("suppkey"),
+            *[F.sum(c).alias(c) for c in _cabin_parts("seats") + _cabin_parts("cents")],
+        )
+    )
+    amounts = [
+        (F.col(cents) * F.lit(Decimal("0.01"))).cast(CENTS).alias(amount)
+        for cents, amount in zip(_cabin_parts("cents"), _cabin_parts("amount"))
+    ]
+    return merged.select("custkey", "flight_date", "flight_id", "pending", "suppkey", *_cabin_parts("seats"), *amounts)
 
 
 def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per flight with its cabins still side by side."""
+    """One row per flight with its cabins still side by side.
+
+    A customer and supplier of one nation make a flight that lands where it took off: the model keeps it,
+    cleaning drops its rows from the feed as invalid.
+    """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("from_key"), F.col("c_mktsegment").alias("airline")
@@ -79,11 +100,9 @@ def departures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("suppkey"), F.col("s_nationkey").alias("to_key")
     )
     joined = (
-        _first_orders(table(spark, sf_dir, "orders"))
+        _by_customer_and_day(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
         .join(customer, "custkey")
-        .join(_cabin_sums(table(spark, sf_dir, "lineitem")), "flight_id")
         .join(supplier, "suppkey")
-        .where(F.col("from_key") != F.col("to_key"))
         .join(nation.toDF("from_key", "origin"), "from_key")
         .join(nation.toDF("to_key", "destination"), "to_key")
     )

@@ -53,6 +53,17 @@ def test_totals_and_first_rows_make_up_the_flights(spark):
     assert sorted(map(str, joined.collect())) == sorted(map(str, model.split_flights(rows).collect()))
 
 
+def test_every_order_with_lines_takes_part(spark):
+    lines, orders = bridge.table(spark, SF, "lineitem"), bridge.table(spark, SF, "orders")
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").agg(
+        F.sum("l_quantity"), F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double")
+    )
+    over = lambda prefix: sum(F.coalesce(F.col(f"{prefix}_{i}"), F.lit(0)) for i in range(3))
+    flown = bridge.departures(spark, SF).agg(F.sum(over("seats")), F.sum(over("amount")).cast("double"))
+    assert tuple(flown.first()) == tuple(sold.first())
+    assert bridge.flights(spark, SF).groupBy("flight_number", "flight_date").count().where("count > 1").isEmpty()
+
+
 def test_sales_equal_the_join(spark):
     joined = model.enrich_bookings(bridge.bookings(spark, SF), bridge.flights(spark, SF), "is_cancelled")
     assert sorted(map(str, joined.collect())) == sorted(map(str, bridge.sales(spark, SF).collect()))
@@ -64,7 +75,7 @@ def test_whole_pipeline_writes_every_output(spark, tmp_path):
     result = pipeline.run(spark, raw, out, strict=False, top_delayed_routes={"min_flights": 20})
     assert set(result.results) == set(kpis.KPI_QUERIES) and len(kpis.KPI_QUERIES) == 15
     counters = json.loads(next(pathlib.Path(out, "processed", "cleaning_report").glob("*.json")).read_text())
-    assert counters["raw_rows"] == 3195 and list(counters) == list(K.REPORT_COUNTERS)
+    assert counters["raw_rows"] == 3339 and list(counters) == list(K.REPORT_COUNTERS)
     index = {(r["sheet"], r["table_name"]): r["rows"] for r in reports.read_index(spark, f"{out}/report").collect()}
     assert len(index) == 18 and index["Executive Summary", "cleaning_report"] == 14
     lines = spark.read.text(f"{out}/insights").collect()
