@@ -126,28 +126,42 @@ def _results(flights, bookings):
 
 @register()
 def sink_kpi_tables(spark, sf):
+    """Every value of every result as it stands in the files, with its place in the result's order."""
     folder = fresh_path(spark, "kpis")
-    outputs.write_tables(_results(*_stored_model(spark, sf)), folder)
-    counts = [
-        spark.read.option("header", True).csv(f"{folder}/{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-        for name in kpis.KPI_QUERIES
+    results = _results(*_stored_model(spark, sf))
+    outputs.write_tables(results, folder)
+    found = [
+        outputs.read_cells(spark, f"{folder}/{name}", table.columns).select(F.lit(name).alias("table_name"), "*")
+        for name, table in results.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, found)
 
 
 @register()
 def sink_insights_text(spark, sf):
     path = fresh_path(spark, "insights")
-    outputs.write_insights(insights.all_insights(_results(*_stored_model(spark, sf))), path)
+    outputs.write_insights(insights.all_insights(stage_all(_results(*_stored_model(spark, sf)))), path)
     return spark.read.text(path)
 
 
-@register()
-def mart_report_index(spark, sf):
+def _written_report(spark, sf):
+    """The report's tables and the folder they were written to."""
     folder = fresh_path(spark, "report")
     small = stage_all(_results(*_stored_model(spark, sf)))
-    pipeline.write_report(small, insights.all_insights(small), _cleaned(spark, sf).report, folder)
-    return reports.read_index(spark, folder)
+    tables = small, insights.all_insights(small), _cleaned(spark, sf).report
+    pipeline.write_report(*tables, folder)
+    return reports.report_tables(*tables), folder
+
+
+@register()
+def mart_report_index(spark, sf):
+    return reports.read_index(spark, _written_report(spark, sf)[1])
+
+
+@register()
+def mart_report_cells(spark, sf):
+    tables, folder = _written_report(spark, sf)
+    return reports.read_cells(spark, folder, tables)
 
 
 # --- cleaning steps ---------------------------------------------------------------
@@ -534,7 +548,7 @@ for _name, _query in {
 
 @register()
 def insights_all(spark, sf):
-    return insights.all_insights(_results(*_stored_model(spark, sf)))
+    return insights.all_insights(stage_all(_results(*_stored_model(spark, sf))))
 
 
 # --- geography and calendar ---------------------------------------------------------------

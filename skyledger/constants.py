@@ -84,3 +84,6 @@ REQUIRED_COLUMNS = (
     "flight_id", "flight_date", "airline", "origin", "destination", "cabin_class",
     "passengers", "ticket_price", "distance_miles", "is_cancelled",
 )
+
+# Fixed value: the first line of the insights text.
+INSIGHTS_HEADING = "# Key Insights"

@@ -634,16 +634,24 @@ def on_results(name: str, body: str, *results: str) -> None:
     ORACLES[name] = with_steps(body, "enriched", **{f"r_{r}": KPI[r] for r in results})
 
 
-on_results(
-    "insight_airline_extremes",
+FINDINGS: dict[str, str] = {}
+
+
+def finding(name: str, body: str, *results: str) -> None:
+    FINDINGS[name] = body
+    on_results(f"insight_{name}", body, *results)
+
+
+finding(
+    "airline_extremes",
     """SELECT w.airline AS worst_airline, w.delay_rate AS worst_delay_rate, w.avg_delay_minutes AS worst_avg_delay,
               b.airline AS best_airline, b.delay_rate AS best_delay_rate
        FROM (SELECT * FROM r_airline_performance ORDER BY on_time_rate, airline LIMIT 1) w,
             (SELECT * FROM r_airline_performance ORDER BY on_time_rate DESC, airline DESC LIMIT 1) b""",
     "airline_performance",
 )
-on_results(
-    "insight_disruption",
+finding(
+    "disruption",
     f"""SELECT t.airport AS most_disrupted, t.disruption_rate AS most_rate, c.airport AS least_disrupted, c.disruption_rate AS least_rate,
                n.rate AS network_disruption_rate, {rnd(div('t.disruption_rate', 'n.rate'), 4)} AS times_network
         FROM (SELECT * FROM r_airport_performance ORDER BY disruption_rate DESC, airport LIMIT 1) t,
@@ -651,20 +659,20 @@ on_results(
              (SELECT {rnd(div('sum(CAST(disruption_rate AS DECIMAL(10,4)) * departures)', 'sum(departures)'), 6)} AS rate FROM r_airport_performance) n""",
     "airport_performance",
 )
-on_results(
-    "insight_cancellation",
+finding(
+    "cancellation",
     """SELECT airport, cancellation_rate, (SELECT cancellation_rate FROM r_executive_kpis) AS network_cancellation_rate
        FROM r_airport_performance ORDER BY cancellation_rate DESC, airport LIMIT 1""",
     "airport_performance", "executive_kpis",
 )
-on_results(
-    "insight_revenue_concentration",
+finding(
+    "revenue_concentration",
     """SELECT route, revenue, revenue_share, (SELECT CAST(sum(CAST(revenue_share AS DECIMAL(10,4))) AS DOUBLE) FROM r_top_revenue_routes) AS top_routes_share
        FROM r_top_revenue_routes ORDER BY revenue DESC, route LIMIT 1""",
     "top_revenue_routes",
 )
-on_results(
-    "insight_risky_routes",
+finding(
+    "risky_routes",
     """SELECT count(*) AS routes, (SELECT on_time_rate FROM r_executive_kpis) AS network_on_time_rate,
               (SELECT string_agg(route, ', ' ORDER BY passengers DESC, route) FROM
                   (SELECT * FROM r_high_demand_poor_performance ORDER BY passengers DESC, route LIMIT 3)) AS biggest
@@ -683,15 +691,15 @@ def _weighted(column: str, kind: str, hours: str) -> str:
     )
 
 
-on_results(
-    "insight_daypart",
+finding(
+    "daypart",
     f"""SELECT {_weighted('avg_delay_minutes', 'DECIMAL(18,2)', '< 9')} AS morning_delay, {_weighted('on_time_rate', 'DECIMAL(10,4)', '< 9')} AS morning_on_time_rate,
                {_weighted('avg_delay_minutes', 'DECIMAL(18,2)', '>= 18')} AS evening_delay, {_weighted('on_time_rate', 'DECIMAL(10,4)', '>= 18')} AS evening_on_time_rate
         FROM r_delay_by_hour""",
     "delay_by_hour",
 )
-on_results(
-    "insight_months",
+finding(
+    "months",
     """SELECT w.month AS worst_month, strftime(CAST(w.month || '-01' AS DATE), '%B') AS worst_month_name, w.on_time_rate AS worst_on_time_rate,
               b.month AS best_month, strftime(CAST(b.month || '-01' AS DATE), '%B') AS best_month_name, b.on_time_rate AS best_on_time_rate,
               p.month AS peak_month, strftime(CAST(p.month || '-01' AS DATE), '%B') AS peak_month_name, p.passengers AS peak_passengers
@@ -700,8 +708,8 @@ on_results(
             (SELECT * FROM r_monthly_trends ORDER BY passengers DESC, month DESC LIMIT 1) p""",
     "monthly_trends",
 )
-on_results(
-    "insight_business",
+finding(
+    "business",
     """SELECT b.passenger_share, b.revenue_share, b.avg_ticket_price AS business_fare, e.avg_ticket_price AS economy_fare
        FROM r_cabin_class_summary b, r_cabin_class_summary e WHERE b.cabin_class = 'Business' AND e.cabin_class = 'Economy'""",
     "cabin_class_summary",
@@ -709,17 +717,90 @@ on_results(
 HEADLINE_ORDER = (
     "total_flights", "total_passengers", "total_revenue", "avg_fare", "on_time_rate", "avg_delay_minutes", "cancellation_rate", "cancelled_flights",
 )
-on_results(
-    "report_headline_rows",
-    " UNION ALL ".join(
-        f"SELECT {i} AS position, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM r_executive_kpis" for i, m in enumerate(HEADLINE_ORDER, 1)
-    ),
-    "executive_kpis",
+HEADLINE_ROWS = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM r_executive_kpis" for i, m in enumerate(HEADLINE_ORDER, 1)
 )
-on_results("report_cabin_revenue", "SELECT cabin_class, revenue, revenue_share, avg_ticket_price FROM r_cabin_class_summary", "cabin_class_summary")
+on_results("report_headline_rows", HEADLINE_ROWS, "executive_kpis")
+CABIN_REVENUE = "SELECT cabin_class, revenue, revenue_share, avg_ticket_price FROM r_cabin_class_summary"
+on_results("report_cabin_revenue", CABIN_REVENUE, "cabin_class_summary")
+# The order in which each result is written.
+ORDER = {
+    "executive_kpis": "total_flights",
+    "airline_performance": "on_time_rate DESC NULLS LAST, airline",
+    "monthly_trends": "month",
+    "delay_by_time_of_day": "array_position(['Morning', 'Afternoon', 'Evening', 'Night'], time_of_day)",
+    "airport_performance": "disruption_rate DESC NULLS LAST, airport",
+    "delay_by_hour": "departure_hour",
+    "airport_seasonality": "winter_on_time_rate NULLS FIRST, airport",
+    "cabin_class_summary": "avg_ticket_price NULLS FIRST, cabin_class",
+    "airline_revenue": "revenue DESC, airline",
+    "monthly_passengers": "month",
+    "top_revenue_routes": "revenue DESC, route",
+    "route_performance": "revenue DESC, route",
+    "top_delayed_routes": "avg_delay_minutes DESC NULLS LAST, route",
+    "high_demand_poor_performance": "passengers DESC, route",
+    "route_airline_breakdown": "route, on_time_rate DESC NULLS LAST, airline",
+}
+
+
+def cells(label: str, source: str, order: str) -> str:
+    """One row per value of a table, numbered in its order."""
+    return f"""
+        SELECT {label}, row_no, column_name, CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text, TRY_CAST(value AS DOUBLE) AS number
+        FROM (UNPIVOT (SELECT CAST(COLUMNS(t.*) AS VARCHAR), row_number() OVER (ORDER BY {order}) AS row_no FROM {source} t)
+              ON COLUMNS(* EXCLUDE (row_no)) INTO NAME column_name VALUE value)"""
+
+
 on_results(
     "sink_kpi_tables",
-    " UNION ALL ".join(f"SELECT '{name}' AS table_name, (SELECT count(*) FROM r_{name}) AS rows" for name in KPI),
+    " UNION ALL ".join(cells(f"'{name}' AS table_name", f"r_{name}", ORDER[name]) for name in KPI),
+    *KPI,
+)
+
+
+def said(value: str, places: int = 1) -> str:
+    return f"format('{{:,.{places}f}}', {rnd(value, places)})"
+
+
+def percent(value: str) -> str:
+    return f"{said(f'{value} * 100')} || '%'"
+
+
+# Each finding's measures (the query of the same name) and its sentence.
+SENTENCES = {
+    "airline_extremes": "'Least punctual airline: ' || worst_airline || ', late on ' || " + percent("worst_delay_rate")
+    + " || ' of operated flights with ' || " + said("worst_avg_delay") + " || ' min average delay. Most punctual: ' || best_airline"
+    + " || ', late on ' || " + percent("best_delay_rate") + " || '.'",
+    "disruption": "'Most disrupted airport: ' || most_disrupted || ' at ' || " + percent("most_rate") + " || ' of departures, ' || "
+    + said("times_network") + " || ' times the network''s ' || " + percent("network_disruption_rate")
+    + " || '. Least disrupted: ' || least_disrupted || ' at ' || " + percent("least_rate") + " || '.'",
+    "cancellation": "'Most cancellations: ' || airport || ' at ' || " + percent("cancellation_rate") + " || ' of departures; network ' || "
+    + percent("network_cancellation_rate") + " || '.'",
+    "revenue_concentration": "'Leading route by revenue: ' || route || ' with $' || " + said("revenue / 1e6") + " || 'M or ' || "
+    + percent("revenue_share") + " || ' of the total; the leading routes together hold ' || " + percent("top_routes_share") + " || '.'",
+    "risky_routes": "'Busy routes below the network''s ' || " + percent("network_on_time_rate")
+    + " || ' on-time rate: ' || routes || '. Largest: ' || biggest || '.'",
+    "daypart": "'Departures before 09:00 average ' || " + said("morning_delay") + " || ' min delay (' || " + percent("morning_on_time_rate")
+    + " || ' on time); from 18:00 it is ' || " + said("evening_delay") + " || ' min (' || " + percent("evening_on_time_rate") + " || ' on time).'",
+    "months": "'Punctuality was lowest in ' || worst_month_name || ' (' || " + percent("worst_on_time_rate")
+    + " || ') and highest in ' || best_month_name || ' (' || " + percent("best_on_time_rate")
+    + " || '). Passengers peaked in ' || peak_month_name || ' with ' || format('{:,}', peak_passengers) || '.'",
+    "business": "'Business carries ' || " + percent("passenger_share") + " || ' of passengers and ' || " + percent("revenue_share")
+    + " || ' of revenue; its average fare is $' || " + said("business_fare", 0) + " || ', Economy''s $' || " + said("economy_fare", 0) + " || '.'",
+}
+LARGEST = (
+    "string_agg(route || ' with ' || format('{:,}', passengers) || ' passengers at ' || " + percent("on_time_rate")
+    + " || ' on time', '; ' ORDER BY passengers DESC, route)"
+)
+FINDINGS["risky_routes"] = FINDINGS["risky_routes"].replace("string_agg(route, ', ' ORDER BY passengers DESC, route)", LARGEST)
+INSIGHTS = " UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS insight_no, '{kind}' AS kind, {sentence} AS text FROM ({FINDINGS[kind]})"
+    for i, (kind, sentence) in enumerate(SENTENCES.items(), 1)
+)
+on_results("insights_all", INSIGHTS, *KPI)
+on_results(
+    "sink_insights_text",
+    f"SELECT '# Key Insights' AS value UNION ALL SELECT '' UNION ALL SELECT '- ' || text FROM ({INSIGHTS})",
     *KPI,
 )
 SHEET_TABLES = {
@@ -746,6 +827,20 @@ on_results(
     *KPI,
 )
 
+REPORT_SOURCES = {name: (f"r_{name}", ORDER[name]) for name in KPI} | {
+    "headline_kpis": (f"({HEADLINE_ROWS})", "position"),
+    "insights": (f"({INSIGHTS})", "insight_no"),
+    "cleaning_report": (f"({REPORT})", "position"),
+    "cabin_revenue": (f"({CABIN_REVENUE})", ORDER["cabin_class_summary"]),
+}
+ORACLES["mart_report_cells"] = with_steps(
+    " UNION ALL ".join(
+        cells(f"'{sheet}' AS sheet, '{name}' AS table_name", *REPORT_SOURCES[name]) for sheet, names in SHEET_TABLES.items() for name in names
+    ),
+    "clean",
+    **{f"r_{name}": sql for name, sql in KPI.items()},
+)
+
 # --- geography and calendar -------------------------------------------------------------------------
 
 on_model(

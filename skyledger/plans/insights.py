@@ -162,8 +162,13 @@ def business(cabin_class_summary: DataFrame) -> DataFrame:
     )
 
 
-def _percent(column: str) -> Column:
-    return F.format_string("%.1f%%", F.col(column) * 100)
+def _percent(value: Column) -> Column:
+    """One decimal, rounded on a decimal first so the text does not depend on binary noise."""
+    return F.format_string("%.1f%%", rounded(value * 100, 1))
+
+
+def _percent_of(column: str) -> Column:
+    return _percent(F.col(column))
 
 
 def _said(one: DataFrame, number: int, kind: str, pattern: str, *parts: Column) -> DataFrame:
@@ -177,7 +182,7 @@ def all_insights(r: dict[str, DataFrame]) -> DataFrame:
     top_names = F.array_join(
         F.transform(
             "top",
-            lambda t: F.format_string("%s with %,d passengers at %.1f%% on time", t.route, t.passengers, t.on_time_rate * 100),
+            lambda t: F.format_string("%s with %,d passengers at %s on time", t.route, t.passengers, _percent(t.on_time_rate)),
         ),
         "; ",
     )
@@ -185,44 +190,44 @@ def all_insights(r: dict[str, DataFrame]) -> DataFrame:
         _said(
             airline_extremes(r["airline_performance"]), 1, "airline_extremes",
             "Least punctual airline: %s, late on %s of operated flights with %.1f min average delay. Most punctual: %s, late on %s.",
-            F.col("worst_airline"), _percent("worst_delay_rate"), F.col("worst_avg_delay"), F.col("best_airline"), _percent("best_delay_rate"),
+            F.col("worst_airline"), _percent_of("worst_delay_rate"), rounded(F.col("worst_avg_delay"), 1), F.col("best_airline"), _percent_of("best_delay_rate"),
         ),
         _said(
             disruption(r["airport_performance"]), 2, "disruption",
             "Most disrupted airport: %s at %s of departures, %.1f times the network's %s. Least disrupted: %s at %s.",
-            F.col("most_disrupted"), _percent("most_rate"), F.col("times_network"), _percent("network_disruption_rate"),
-            F.col("least_disrupted"), _percent("least_rate"),
+            F.col("most_disrupted"), _percent_of("most_rate"), rounded(F.col("times_network"), 1), _percent_of("network_disruption_rate"),
+            F.col("least_disrupted"), _percent_of("least_rate"),
         ),
         _said(
             cancellation(r["airport_performance"], r["executive_kpis"]), 3, "cancellation",
             "Most cancellations: %s at %s of departures; network %s.",
-            F.col("airport"), _percent("cancellation_rate"), _percent("network_cancellation_rate"),
+            F.col("airport"), _percent_of("cancellation_rate"), _percent_of("network_cancellation_rate"),
         ),
         _said(
             revenue_concentration(r["top_revenue_routes"]), 4, "revenue_concentration",
             "Leading route by revenue: %s with $%,.1fM or %s of the total; the leading routes together hold %s.",
-            F.col("route"), F.col("revenue") / 1e6, _percent("revenue_share"), _percent("top_routes_share"),
+            F.col("route"), rounded(F.col("revenue") / 1e6, 1), _percent_of("revenue_share"), _percent_of("top_routes_share"),
         ),
         _said(
             risky_routes(r["high_demand_poor_performance"], r["executive_kpis"]), 5, "risky_routes",
             "Busy routes below the network's %s on-time rate: %d. Largest: %s.",
-            _percent("network_on_time_rate"), F.col("routes"), top_names,
+            _percent_of("network_on_time_rate"), F.col("routes"), top_names,
         ),
         _said(
             daypart(r["delay_by_hour"]), 6, "daypart",
             "Departures before 09:00 average %.1f min delay (%s on time); from 18:00 it is %.1f min (%s on time).",
-            F.col("morning_delay"), _percent("morning_on_time_rate"), F.col("evening_delay"), _percent("evening_on_time_rate"),
+            rounded(F.col("morning_delay"), 1), _percent_of("morning_on_time_rate"), rounded(F.col("evening_delay"), 1), _percent_of("evening_on_time_rate"),
         ),
         _said(
             months(r["monthly_trends"]), 7, "months",
             "Punctuality was lowest in %s (%s) and highest in %s (%s). Passengers peaked in %s with %,d.",
-            F.col("worst_month_name"), _percent("worst_on_time_rate"), F.col("best_month_name"), _percent("best_on_time_rate"),
+            F.col("worst_month_name"), _percent_of("worst_on_time_rate"), F.col("best_month_name"), _percent_of("best_on_time_rate"),
             F.col("peak_month_name"), F.col("peak_passengers"),
         ),
         _said(
             business(r["cabin_class_summary"]), 8, "business",
             "Business carries %s of passengers and %s of revenue; its average fare is $%,.0f, Economy's $%,.0f.",
-            _percent("passenger_share"), _percent("revenue_share"), F.col("business_fare"), F.col("economy_fare"),
+            _percent_of("passenger_share"), _percent_of("revenue_share"), rounded(F.col("business_fare"), 0), rounded(F.col("economy_fare"), 0),
         ),
     ]
     return reduce(DataFrame.unionByName, parts).orderBy("insight_no")

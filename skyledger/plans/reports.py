@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.rows import metric_rows
+from skyledger.sources import outputs
 
 HEADLINES = (
     "total_flights",
@@ -72,3 +75,15 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
         )
         counted = one if counted is None else counted.unionByName(one)
     return counted
+
+
+def read_cells(spark: SparkSession, folder: str, tables: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """(sheet, table_name, row_no, column_name, text, number): every value of a written report."""
+    found = [
+        outputs.read_cells(spark, sheet_path(folder, sheet, name), table.columns).select(
+            F.lit(sheet).alias("sheet"), F.lit(name).alias("table_name"), "*"
+        )
+        for sheet, named in tables.items()
+        for name, table in named.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +51,39 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
     overlapping(lambda item: write_csv(item[1], f"{folder}/{item[0]}"), tables.items())
 
 
+def read_cells(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """(row_no, column_name, text, number) of a written result, a row per cell with a value, in file order.
+
+    For results, which are small: the rows are numbered in one task.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    place = ("_file", "_block", "_row")
+    numbered = (
+        read_csv(spark, path, schema)
+        .select(
+            "*",
+            F.col("_metadata.file_name").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        .withColumn("row_no", F.row_number().over(Window.orderBy(*place)).cast("bigint"))
+    )
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in columns]
+    number = F.col("value").try_cast("double")
+    return (
+        numbered.select("row_no", F.inline(F.array(*cells)))
+        .where(F.col("value").isNotNull())
+        .select("row_no", "column_name", F.when(number.isNull(), F.col("value")).alias("text"), number.alias("number"))
+    )
+
+
 def write_insights(insights: DataFrame, path: str) -> None:
-    """A text list in insight order (at most eight lines, so one file)."""
-    lines = insights.orderBy("insight_no").select(F.concat(F.lit("- "), F.col("text")).alias("value"))
-    lines.coalesce(1).write.mode("overwrite").text(path)
+    """A heading and a text list in insight order (at most eight lines, so one file)."""
+    heading = F.when(F.col("first"), F.array(F.lit(K.INSIGHTS_HEADING), F.lit(""))).otherwise(F.array().cast("array<string>"))
+    lines = (
+        insights.coalesce(1)
+        .sortWithinPartitions("insight_no")
+        .withColumn("first", F.col("insight_no") == 1)
+        .select(F.explode(F.concat(heading, F.array(F.concat(F.lit("- "), F.col("text"))))).alias("value"))
+    )
+    lines.write.mode("overwrite").text(path)

@@ -79,7 +79,8 @@ def test_whole_pipeline_writes_every_output(spark, tmp_path):
     index = {(r["sheet"], r["table_name"]): r["rows"] for r in reports.read_index(spark, f"{out}/report").collect()}
     assert len(index) == 18 and index["Executive Summary", "cleaning_report"] == 14
     lines = spark.read.text(f"{out}/insights").collect()
-    assert len(lines) == 8 and all(r["value"].startswith("- ") for r in lines)
+    assert [r["value"] for r in lines[:2]] == ["# Key Insights", ""]
+    assert len(lines) == 10 and all(r["value"].startswith("- ") for r in lines[2:])
     csv = spark.read.option("header", True).csv(f"{out}/processed/clean")
     assert csv.count() == counters["clean_rows"] and "src_row" not in csv.columns
     # Some fares of this feed cannot be imputed: the run that is not strict says so, the strict run must stop.
