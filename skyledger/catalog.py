@@ -486,6 +486,9 @@ for _name, _query in {
     "panel_airline_revenue": _on_bookings(metrics.airline_revenue),
     "panel_fare_airline_cabin": _on_bookings(metrics.fare_by_airline_and_cabin),
     "panel_top_routes_revenue": _on_bookings(metrics.top_routes_by_revenue),
+    "panel_monthly_flights": _on_flights(metrics.monthly_flights),
+    "panel_monthly_passengers": _on_bookings(metrics.monthly_passengers),
+    "panel_monthly_cabin": _on_bookings(metrics.monthly_cabins),
 }.items():
     register(_name)(_query)
 
@@ -506,20 +509,23 @@ def slice_vs_network(spark, sf):
     return metrics.slice_vs_network(bridge.flights(spark, sf), bridge.sales(spark, sf), SLICE)
 
 
-@register()
-def panel_monthly_flights(spark, sf):
-    flights = bridge.flights(spark, sf)
-    return metrics.monthly_flights(flights, metrics.month_labels(flights))
+def _on_slice(build) -> Query:
+    """A panel on the chosen flights and sales, with the month labels of the whole network."""
 
+    def sliced(spark, sf):
+        flights = bridge.flights(spark, sf)
+        return build(*SLICE.apply(flights, bridge.sales(spark, sf)), metrics.month_labels(flights))
 
-@register()
-def panel_monthly_passengers(spark, sf):
-    return metrics.monthly_passengers(bridge.sales(spark, sf), metrics.month_labels(bridge.flights(spark, sf)))
+    return sliced
 
 
-@register()
-def panel_monthly_cabin(spark, sf):
-    return metrics.monthly_cabins(bridge.sales(spark, sf), metrics.month_labels(bridge.flights(spark, sf)))
+for _name, _query in {
+    "slice_flights": _on_slice(lambda flights, sales, labels: flights),
+    "panel_airline_delay_on_slice": _on_slice(lambda flights, sales, labels: metrics.airline_delay(flights)),
+    "panel_fare_airline_cabin_on_slice": _on_slice(lambda flights, sales, labels: metrics.fare_by_airline_and_cabin(sales)),
+    "panel_monthly_passengers_on_slice": _on_slice(lambda flights, sales, labels: metrics.monthly_passengers(sales, labels)),
+}.items():
+    register(_name)(_query)
 
 
 # --- insights and report tables -------------------------------------------------------------

@@ -612,6 +612,11 @@ for _name, _sql in {
     "panel_top_routes_revenue": f"""
         SELECT route, {SALES}, {div('sum(revenue)', 'sum(sum(revenue)) OVER ()')} AS revenue_share
         FROM enriched GROUP BY route ORDER BY revenue DESC, route LIMIT 15""",
+    "slice_flights": f"SELECT {FLIGHT_LIST}, {MONEY_LIST} FROM flights WHERE {CHOSEN}",
+    "panel_airline_delay_on_slice": f"SELECT airline, {FLIGHT_METRICS} FROM flights WHERE {CHOSEN} GROUP BY airline",
+    "panel_fare_airline_cabin_on_slice": f"SELECT airline, cabin_class, {SALES} FROM enriched WHERE {CHOSEN_SALES} GROUP BY airline, cabin_class",
+    "panel_monthly_passengers_on_slice": f"""
+        SELECT * FROM (SELECT month, {SALES} FROM enriched WHERE {CHOSEN_SALES} GROUP BY month) JOIN ({LABELS}) USING (month)""",
     "reconcile_headline": """
         SELECT position, metric, metric_value, kpi_value, tolerance, abs(metric_value - kpi_value) <= tolerance AS agrees FROM (
         SELECT 1 AS position, 'total_flights' AS metric, CAST(count(*) AS DOUBLE) AS metric_value, CAST(count(*) AS DOUBLE) AS kpi_value, 0.0::DOUBLE AS tolerance FROM flights

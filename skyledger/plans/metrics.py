@@ -155,31 +155,38 @@ def filter_values(flights: DataFrame) -> DataFrame:
     return seen.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull()).distinct().orderBy("field", "value")
 
 
+def _month_text(one_year: Column) -> Column:
+    day = month_date(F.col("month"))
+    return F.when(one_year, F.date_format(day, "MMM")).otherwise(F.date_format(day, "MMM yyyy")).alias("month_label")
+
+
+def _in_one_year() -> Column:
+    year = F.left("month", F.lit(4))
+    return F.min(year).over(whole()) == F.max(year).over(whole())
+
+
 def month_labels(flights: DataFrame) -> DataFrame:
     """``Mar`` when the data covers one year, else ``Mar 2025``."""
     months = flights.where(F.col("month").isNotNull()).select("month").distinct()
-    year = F.left("month", F.lit(4))
-    one_year = F.min(year).over(whole()) == F.max(year).over(whole())
-    day = month_date(F.col("month"))
-    return months.select(
-        "month",
-        F.when(one_year, F.date_format(day, "MMM")).otherwise(F.date_format(day, "MMM yyyy")).alias("month_label"),
-    )
+    return months.select("month", _month_text(_in_one_year()))
 
 
 # --- panels -------------------------------------------------------------------------
 
 
-def _labelled(by_month: DataFrame, labels: DataFrame) -> DataFrame:
-    return by_month.join(labels, "month").orderBy("month")
+def _labelled(by_month: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Labels of the whole network where a slice is shown, else those of the months at hand, without a second read."""
+    if labels is not None:
+        return by_month.join(labels, "month")
+    return by_month.select("*", _month_text(_in_one_year()))
 
 
-def monthly_flights(flights: DataFrame, labels: DataFrame) -> DataFrame:
-    return _labelled(flight_metrics(flights, "month"), labels)
+def monthly_flights(flights: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    return _labelled(flight_metrics(flights, "month"), labels).orderBy("month")
 
 
-def monthly_passengers(enriched: DataFrame, labels: DataFrame) -> DataFrame:
-    return _labelled(booking_metrics(enriched, "month"), labels)
+def monthly_passengers(enriched: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    return _labelled(booking_metrics(enriched, "month"), labels).orderBy("month")
 
 
 def airline_on_time(flights: DataFrame) -> DataFrame:
@@ -299,8 +306,8 @@ def fare_by_airline_and_cabin(enriched: DataFrame) -> DataFrame:
     return booking_metrics(enriched, "airline", "cabin_class").orderBy("airline", cabin_rank(F.col("cabin_class")))
 
 
-def monthly_cabins(enriched: DataFrame, labels: DataFrame) -> DataFrame:
-    return booking_metrics(enriched, "month", "cabin_class").join(labels, "month").orderBy("month", "cabin_class")
+def monthly_cabins(enriched: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    return _labelled(booking_metrics(enriched, "month", "cabin_class"), labels).orderBy("month", "cabin_class")
 
 
 def top_routes_by_revenue(enriched: DataFrame, top: int = 15) -> DataFrame:

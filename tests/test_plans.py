@@ -25,7 +25,7 @@ def test_no_cross_join_and_no_python(spark, name):
         assert unwanted not in text
 
 
-@pytest.mark.parametrize("name", ["executive_kpis", "airport_performance", "route_performance", "high_demand_poor_performance", "airline_revenue"])
+@pytest.mark.parametrize("name", ["executive_kpis", "airport_performance", "route_performance", "high_demand_poor_performance", "airline_revenue", "panel_monthly_flights", "panel_monthly_passengers", "panel_monthly_cabin"])
 def test_source_is_read_once_and_pruned(spark, name):
     text = plan(QUERIES[name](spark, SF))
     scans = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", text) if "l_orderkey" in s]
