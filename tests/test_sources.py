@@ -89,6 +89,15 @@ def test_whole_pipeline_writes_every_output(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{out}/checks").count() == len(found)
     with pytest.raises(quality.DataQualityError, match="required_nulls"):
         pipeline.checked(result.cleaned.rows)
+    assert found["clean", "inconsistent_flights"] == 0
+    assert "Join" not in result.sales._jdf.queryExecution().optimizedPlan().toString()
+    check_sales(result)
+
+
+def check_sales(result):
+    joined = model.enrich_bookings(result.bookings, result.flights, "is_cancelled")
+    assert result.sales.dtypes == joined.dtypes
+    assert sorted(map(str, result.sales.collect())) == sorted(map(str, joined.collect()))
 
 
 LINE = "NS{n},{date},Blue Air,AAA,BBB,A320,{sched},10:05,5,No,{miles},Economy,100,99.50"
@@ -109,6 +118,13 @@ def test_strict_run_that_succeeds(spark, tmp_path):
     assert result.flights.count() == 19 and result.checks.where("value > 0").count() == 0
 
 
+def test_flights_whose_rows_disagree_are_sold_as_their_first_row(spark, tmp_path):
+    other = good_lines()[0].replace("Economy", "Business").replace("Blue Air", "Red Air")
+    result = pipeline.run(spark, feed_file(tmp_path / "raw", [*good_lines(), other]), str(tmp_path / "out"), strict=False)
+    assert {r.airline for r in result.sales.collect()} == {"Blue Air"} and result.sales.count() == 20
+    check_sales(result)
+
+
 @pytest.mark.parametrize("change, check", [({"sched": "25:10"}, "time_of_day"), ({"sched": ""}, "departure_hour"), ({"miles": "1e30"}, "required_nulls")])
 def test_bad_values_stop_a_strict_run_and_are_counted_otherwise(spark, tmp_path, change, check):
     raw = feed_file(tmp_path / "raw", [*good_lines()[:-1], good_lines(n=99, **change)[0]])
