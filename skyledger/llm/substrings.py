@@ -13,7 +13,7 @@ Prefixes have variable length: a subtree of more than ``memory_rows`` suffixes i
 by the whole window, i.e. a prefix of ``window`` words, with sums of few values per window before any shuffle.
 Smaller subtrees are worked on where their suffixes meet, a stream of sorted rows at a time.
 
-Equality is that of 64 bits of the prefix and 32 bits of the window together.
+Equality is that of 64 bits of the prefix and 64 bits of the window together.
 
 Words are runs other than space and 0x09-0x0D. Null and empty texts, and texts shorter than a window, keep all
 words. Rows with the same doc_id do not remove words of each other. Rows with a null doc_id lose nothing and remove
@@ -60,7 +60,7 @@ def suffixes(texts: pa.Array, conf: Repeats) -> tuple[np.ndarray, np.ndarray, np
     n = len(h) - conf.window + 1
     whole = words.row[conf.window - 1 :] == words.row[: max(n, 0)] if n > 0 else np.zeros(0, bool)
     if not whole.any():
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.int32),)
+        return (np.zeros(0, np.int64),) * 5
     runs = W.range_hashes(h, np.arange(len(h) - conf.prefix + 1), np.arange(conf.prefix, len(h) + 1))
     anchor = _leftmost_smallest(runs, conf.window - conf.prefix + 1)[:n]
     at = np.flatnonzero(whole)
@@ -70,7 +70,7 @@ def suffixes(texts: pa.Array, conf: Repeats) -> tuple[np.ndarray, np.ndarray, np
     count = np.diff(np.append(begin, len(at)))
     start = at[begin]
     row = words.row[start]
-    windows = W.range_hashes(h, at, at + conf.window).astype(np.uint32).view(np.int32)
+    windows = W.signed(W.range_hashes(h, at, at + conf.window))
     return row, W.signed(runs[anchor[start]]), start - first[row], count, windows
 
 
@@ -93,7 +93,7 @@ def suffix_rows(docs: DataFrame, conf: Repeats) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(prefix), ids, keys, pa.array(place.astype(np.int32)), lists], names)
 
     names = ["prefix", "doc_id", "row_key", "place", "windows"]
-    schema = "prefix long, doc_id long, row_key long, place int, windows array<int>"
+    schema = "prefix long, doc_id long, row_key long, place int, windows array<long>"
     return _narrow(docs.where("doc_id IS NOT NULL")).mapInArrow(run, schema)
 
 

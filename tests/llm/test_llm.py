@@ -348,6 +348,17 @@ def test_substrings_in_repetitive_texts(spark):
     assert Counter(map(tuple, found)) == without_repeats(rows, 8)
 
 
+@pytest.mark.parametrize("memory_rows", [50_000, 1])
+def test_windows_that_share_32_bits_are_not_equal(spark, memory_rows):
+    head = " ".join(f"w{i}" for i in range(49))
+    rows = [(n, f"{head} x{i}") for n, i in enumerate((146065, 151078, 39381, 50257, 49125, 200979))]
+    _, prefix, _, _, windows = substrings.suffixes(pa.array([t for _, t in rows]), substrings.Repeats())
+    assert len(set(prefix)) == 1 and len({int(x) & 0xFFFFFFFF for x in windows}) == 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.digests(df, substrings.Repeats(memory_rows=memory_rows)).collect()
+    assert Counter(map(tuple, found)) == without_repeats(rows, 50) and not any(r.n_removed for r in found)
+
+
 # --- 7 decontamination ----------------------------------------------------------------
 
 
