@@ -3,8 +3,8 @@
 A seed is a fixed mask over consecutive tokens; the tokens at its zeros are ignored, so a hit survives a changed
 token there. The hashes of all masked token windows of the benchmark are looked up in those of every document. Each
 hit names a diagonal (where the item would start in the document); on it all tokens of the item are compared with
-those of the document, and the stretch with the best score (+1 for an equal token, -2 for a changed one) is
-verified: it needs min(``least_tokens``, 80 % of the item) equal tokens, and at least 80 % of it equal.
+those of the document. The stretch with the most equal tokens among all that are at least 80 % equal is reported if
+it has min(``least_tokens``, 80 % of the item) equal tokens, from its first equal token to its last.
 
 Texts are lower-cased; tokens are runs of ASCII letters, digits and all non-ASCII characters; so ASCII quotes and punctuation
 do not matter. Items shorter than the masks have themselves as their one seed, without ignored places; items with
@@ -38,7 +38,6 @@ class Seeds:
     masks: tuple[str, ...] = ("11101011011", "110110010111", "1010111001101")
     least_tokens: int = 13
     share: float = 0.8
-    changed: float = -2.0
     shortest_item: int = 4
     # Benchmark bytes in one slice: its seeds take about 30 times that in a task.
     slice_bytes: int = 1 << 20
@@ -47,6 +46,10 @@ class Seeds:
     def span(self) -> int:
         return max(map(len, self.masks))
 
+    @property
+    def per_mille(self) -> int:
+        return round(1000 * self.share)
+
 
 def _masked(h: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the masked window that starts at each place."""
@@ -91,13 +94,20 @@ def index_of(ids: list[int], texts: list[str | None], conf: Seeds) -> Index:
     return Index(np.array(ids, np.int64), h, first, seeds)
 
 
-def best_stretch(equal: np.ndarray, changed: float) -> tuple[int, int, int]:
-    """Start, end and equal tokens of the stretch with the largest score (the first of several)."""
-    score = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, changed))])
-    low = np.minimum.accumulate(score)
-    end = int(np.argmax(score - low))
-    start = int(np.argmin(score[: end + 1]))
-    return start, end, int(equal[start:end].sum())
+def largest_stretch(equal: np.ndarray, conf: Seeds) -> tuple[int, int, int]:
+    """Start, end and equal tokens of the stretch with the most equal tokens of those with the share of them (the
+    first of several), without changed tokens at its ends."""
+    p = conf.per_mille
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1000 - p, -p))])
+    total = np.concatenate([[0], np.cumsum(equal)])
+    # A stretch has the share if the score does not fall over it; the longest one to each end starts at the first
+    # place with no larger score.
+    start = np.searchsorted(-np.minimum.accumulate(score), -score)
+    n = total - total[start]
+    end = int(np.argmax(n))
+    x = int(start[end])
+    at = np.flatnonzero(equal[x:end])
+    return (x + int(at[0]), x + int(at[-1]) + 1, len(at)) if len(at) else (x, x, 0)
 
 
 def overlaps(texts: pa.Array, index: Index, conf: Seeds) -> list[tuple[int, int, int, int, int]]:
@@ -123,8 +133,8 @@ def overlaps(texts: pa.Array, index: Index, conf: Seeds) -> list[tuple[int, int,
         a, b = max(0, -start), min(length, words_here - start)
         mine = h[first[row] + start + a : first[row] + start + b]
         theirs = index.tokens[index.first[item] + a : index.first[item] + b]
-        x, y, equal = best_stretch(mine == theirs, conf.changed)
-        if equal >= min(conf.least_tokens, np.ceil(conf.share * length)) and equal >= conf.share * (y - x):
+        x, y, equal = largest_stretch(mine == theirs, conf)
+        if equal >= min(conf.least_tokens, np.ceil(conf.share * length)):
             found.append((int(row), int(item), int(start + a + x), y - x, equal))
     return found
 

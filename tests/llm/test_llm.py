@@ -391,6 +391,23 @@ def test_contamination_equals_word_search(spark, documents):
     assert want and want <= found
 
 
+def most_equal(pattern, need):
+    """Equal tokens of the best stretch that the rule accepts, 0 if there is none."""
+    n = len(pattern)
+    spans = ((sum(pattern[x:y]), y - x) for x in range(n) for y in range(x + 1, n + 1))
+    return max((e for e, size in spans if e >= need and 5 * e >= 4 * size), default=0)
+
+
+def test_valid_stretches_inside_of_longer_ones():
+    rng = random.Random(5)
+    patterns = [[True] * 20 + [True, True, True, False] * 24]
+    patterns += [[rng.random() < rate for _ in range(116)] for rate in (0.6, 0.7, 0.75, 0.8, 0.9) for _ in range(60)]
+    for p in patterns:
+        x, y, same = decontamination.largest_stretch(np.array(p), decontamination.Seeds())
+        assert same == most_equal(p, 1) == sum(p[x:y]) and 5 * same >= 4 * (y - x)
+    assert most_equal(patterns[0], 13) >= 20
+
+
 # --- 8 pages ------------------------------------------------------------------------
 
 
