@@ -1,14 +1,20 @@
-"""Benchmark decontamination with spaced seeds.
+"""Benchmark decontamination with spaced seeds that lose nothing the rule accepts.
 
-A seed is a fixed mask over consecutive tokens; the tokens at its zeros are ignored, so a hit survives a changed
-token there. The hashes of all masked token windows of the benchmark are looked up in those of every document. Each
-hit names a diagonal (where the item would start in the document); on it all tokens of the item are compared with
-those of the document. The stretch with the most equal tokens among all that are at least 80 % equal is reported if
-it has min(``least_tokens``, 80 % of the item) equal tokens, from its first equal token to its last.
+An overlap is a stretch of one diagonal (the item laid over the document at one place) with min(``least_tokens``,
+80 % of the item) equal tokens or more, and at least 80 % of it equal. The valid stretch with the most equal tokens
+is reported, from its first equal token to its last.
+
+A seed is a mask over consecutive tokens; the tokens at its zeros are ignored. All masks have four ones. By the
+pigeonhole principle 13 or more equal tokens with at most a fifth of the stretch changed hold four equal ones in a
+row, so ``1111`` finds every overlap of items of 16 or more tokens. Of shorter ones, those of 5, 6, 7, 10, 11 and 15
+tokens can have overlaps without four in a row, and get masks with one gap as well. The hashes of the seeds at all
+places of the benchmark are looked up in those of every document. Each hit names a diagonal, on which all tokens are
+compared. Before its stretches are looked at it must hold enough equal tokens, and, where 13 are needed, 13
+consecutive places with at most 5 changed, which every valid stretch of 13 or more places has.
 
 Texts are lower-cased; tokens are runs of ASCII letters, digits and all non-ASCII characters; so ASCII quotes and punctuation
-do not matter. Items shorter than the masks have themselves as their one seed, without ignored places; items with
-fewer than ``shortest_item`` tokens (4) can't be told from chance and are not looked for.
+do not matter. Inserted or left out tokens end a diagonal. Items with fewer than ``shortest_item`` tokens (4) can't be
+told from chance and are not looked for.
 
 The benchmark is cut into slices of bounded size by item; each slice's hashes go to all tasks, and documents are
 scanned once for each slice. Documents are never shuffled.
@@ -35,21 +41,30 @@ from skyledger.session import stage
 
 @dataclass(frozen=True)
 class Seeds:
-    masks: tuple[str, ...] = ("11101011011", "110110010111", "1010111001101")
+    masks: tuple[str, ...] = ("1111", "11101", "11011", "10111")
     least_tokens: int = 13
     share: float = 0.8
     shortest_item: int = 4
     # Benchmark bytes in one slice: its seeds take about 30 times that in a task.
     slice_bytes: int = 1 << 20
-
-    @property
-    def span(self) -> int:
-        return max(map(len, self.masks))
+    # Hits, and tokens on their diagonals, that are held at once.
+    block: int = 1 << 20
 
     @property
     def per_mille(self) -> int:
         return round(1000 * self.share)
 
+    def least(self, length: np.ndarray) -> np.ndarray:
+        """Equal tokens that an item of this length needs."""
+        return np.minimum(self.least_tokens, -(-length * self.per_mille // 1000))
+
+    def least_run(self, length: int) -> int:
+        """Equal tokens in a row that every overlap with an item of this length has."""
+        need, p = int(self.least(np.int64(length))), self.per_mille
+        # The fewest equal tokens around so many changed ones.
+        equal = ((c, max(need, -(-c * p // (1000 - p)))) for c in range(length))
+        return min(-(-e // (c + 1)) for c, e in equal if e + c <= length)
+
 
 def _masked(h: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the masked window that starts at each place."""
@@ -81,12 +96,11 @@ def index_of(ids: list[int], texts: list[str | None], conf: Seeds) -> Index:
     words = W.split_words(pa.array(texts, pa.string()), W.PUNCTUATION)
     h, count, first = W.word_hashes(words), words.per_row(), words.first_of_row()
     seeds = {}
-    span = conf.span
-    lengths = {int(n) for n in count[(count >= conf.shortest_item) & (count < span)]}
-    for mask in [*conf.masks, *("1" * n for n in sorted(lengths))]:
+    gapped = np.isin(count, [n for n in np.unique(count) if n >= conf.shortest_item and conf.least_run(int(n)) < 4])
+    for mask in conf.masks:
         at = np.flatnonzero(_rows_whole(words.row, len(mask)))
-        long = count[words.row[at]] >= span
-        at = at[long if mask in conf.masks else (count[words.row[at]] == len(mask))]
+        wanted = gapped if "0" in mask else count >= conf.shortest_item
+        at = at[wanted[words.row[at]]]
         key = _masked(h, mask)[at]
         order = np.argsort(key, kind="stable")
         at = at[order]
@@ -110,11 +124,49 @@ def largest_stretch(equal: np.ndarray, conf: Seeds) -> tuple[int, int, int]:
     return (x + int(at[0]), x + int(at[-1]) + 1, len(at)) if len(at) else (x, x, 0)
 
 
+def _blocks(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of places whose sizes have about ``limit`` together."""
+    if len(sizes):
+        group = (np.cumsum(sizes) - sizes) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(sizes)]
+        yield from zip(cuts, cuts[1:])
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... of n[0] places, then those of start[1], and so on."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _verified(hits: np.ndarray, h: np.ndarray, first: np.ndarray, index: Index, conf: Seeds) -> Iterator[tuple[int, int, int, int, int]]:
+    """The overlaps on the diagonals (row, item, start)."""
+    row, item, start = hits.T
+    length = index.first[item + 1] - index.first[item]
+    a = np.maximum(0, -start)
+    n = np.minimum(length, first[row + 1] - first[row] - start) - a
+    need = conf.least(length)
+    mine, theirs = first[row] + start + a, index.first[item] + a
+    wide = conf.least_tokens
+    # Of a stretch cut into such widths, one part has less than twice the changed share.
+    changed = max(0, -(-2 * wide * (1000 - conf.per_mille) // 1000) - 1)
+    for i, j in _blocks(n, conf.block):
+        equal = h[_ranges(mine[i:j], n[i:j])] == index.tokens[_ranges(theirs[i:j], n[i:j])]
+        sums = np.concatenate([[0], np.cumsum(equal)])
+        begin = np.cumsum(n[i:j]) - n[i:j]
+        for k in np.flatnonzero(sums[begin + n[i:j]] - sums[begin] >= need[i:j]):
+            here = equal[begin[k] : begin[k] + n[i + k]]
+            part = sums[begin[k] : begin[k] + n[i + k] + 1]
+            if need[i + k] == wide and (part[wide:] - part[:-wide]).max() < wide - changed:
+                continue
+            x, y, same = largest_stretch(here, conf)
+            if same >= need[i + k]:
+                yield int(row[i + k]), int(item[i + k]), int(start[i + k] + a[i + k] + x), y - x, same
+
+
 def overlaps(texts: pa.Array, index: Index, conf: Seeds) -> list[tuple[int, int, int, int, int]]:
     """(row, item, first token in the row, tokens, equal tokens) of each verified overlap."""
     words = W.split_words(texts, W.PUNCTUATION)
     h, first = W.word_hashes(words), words.first_of_row()
-    hits = []
+    found = set()
     for mask, (keys, items, places) in index.seeds.items():
         if not len(keys) or len(h) < len(mask):
             continue
@@ -124,19 +176,11 @@ def overlaps(texts: pa.Array, index: Index, conf: Seeds) -> list[tuple[int, int,
         maybe = np.flatnonzero(known[probe & np.uint64((1 << 20) - 1)] & _rows_whole(words.row, len(mask)))
         a, b = (np.searchsorted(keys, probe[maybe], side) for side in ("left", "right"))
         n = b - a
-        at = np.repeat(maybe, n)
-        seed = np.repeat(a, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-        hits.append(np.stack([words.row[at], items[seed], at - places[seed] - first[words.row[at]]], axis=1))
-    found = []
-    for row, item, start in np.unique(np.concatenate(hits), axis=0) if hits else ():
-        length, words_here = index.first[item + 1] - index.first[item], first[row + 1] - first[row]
-        a, b = max(0, -start), min(length, words_here - start)
-        mine = h[first[row] + start + a : first[row] + start + b]
-        theirs = index.tokens[index.first[item] + a : index.first[item] + b]
-        x, y, equal = largest_stretch(mine == theirs, conf)
-        if equal >= min(conf.least_tokens, np.ceil(conf.share * length)):
-            found.append((int(row), int(item), int(start + a + x), y - x, equal))
-    return found
+        for i, j in _blocks(n, conf.block):
+            at, seed = np.repeat(maybe[i:j], n[i:j]), _ranges(a[i:j], n[i:j])
+            hits = np.stack([words.row[at], items[seed], at - places[seed] - first[words.row[at]]], axis=1)
+            found.update(_verified(np.unique(hits, axis=0), h, first, index, conf))
+    return sorted(found)
 
 
 SCHEMA = "doc_id long, item_id long, first_token long, n_tokens long, n_equal long"

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -398,6 +399,26 @@ def most_equal(pattern, need):
     return max((e for e, size in spans if e >= need and 5 * e >= 4 * size), default=0)
 
 
+def overlaps_of(patterns, conf=decontamination.Seeds()):
+    """Equal tokens found for each pattern, laid over an item of its length between other words."""
+    item = [f"t{i}" for i in range(len(patterns[0]))]
+    index = decontamination.index_of([7], [" ".join(item)], conf)
+    texts = [" ".join(["before", *(t if same else "other" for t, same in zip(item, p)), "after"]) for p in patterns]
+    return {row: (first, n, same) for row, _, first, n, same in decontamination.overlaps(pa.array(texts), index, conf)}
+
+
+@pytest.mark.parametrize("length, changed", [*((n, n) for n in range(4, 15)), (15, 4), (16, 4), (17, 4), (20, 4), (21, 4)])
+def test_every_accepted_substitution_is_found(length, changed):
+    need = min(13, -(-4 * length // 5))
+    places = itertools.chain(*(itertools.combinations(range(length), c) for c in range(changed + 1)))
+    patterns = [[i not in gone for i in range(length)] for gone in map(set, places)]
+    want = {k: e for k, p in enumerate(patterns) if sum(p) >= need and (e := most_equal(p, need))}
+    found = overlaps_of(patterns)
+    assert want and {k: same for k, (_, _, same) in found.items()} == want
+    for k, (first, n, same) in found.items():
+        assert sum(patterns[k][first - 1 : first - 1 + n]) == same and 5 * same >= 4 * n
+
+
 def test_valid_stretches_inside_of_longer_ones():
     rng = random.Random(5)
     patterns = [[True] * 20 + [True, True, True, False] * 24]
@@ -408,6 +429,15 @@ def test_valid_stretches_inside_of_longer_ones():
     assert most_equal(patterns[0], 13) >= 20
 
 
+def test_valid_stretches_are_reached_by_the_seeds():
+    rng = random.Random(5)
+    patterns = [[True] * 20 + [True, True, True, False] * 24]
+    patterns += [[rng.random() < rate for _ in range(116)] for rate in (0.6, 0.7, 0.75, 0.8, 0.9) for _ in range(60)]
+    want = {k: e for k, p in enumerate(patterns) if (e := most_equal(p, 13))}
+    assert 0 in want and {k: same for k, (_, _, same) in overlaps_of(patterns).items()} == want
+    assert {k: same for k, (_, _, same) in overlaps_of(patterns, decontamination.Seeds(block=100)).items()} == want
+
+
 # --- 8 pages ------------------------------------------------------------------------
 
 
