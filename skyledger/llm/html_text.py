@@ -7,8 +7,10 @@ falls with the share of links, where zero counts are taken as one:
     C / T * log(C / LC * T / LT) / log(ln(C / (C - LC) * LC + LC_body / C_body * C + e))
 
 A node's density sum is the sum over its children. The lowest density on the path from the body to the node with the
-largest sum is the threshold; from the body down, the largest sum among nodes that reach the threshold marks the main
-subtree. If that lies inside an ``article`` or ``main``, the whole of it is taken, so its heading is not lost.
+largest sum is the threshold. From the body down, each node that reaches the threshold marks the node with the largest
+sum in its subtree, until it lies in a marked one itself; so the main text can be several subtrees, taken in page order.
+If the node with the largest sum lies inside an ``article`` or ``main``, the page says itself where its main text is:
+those tags that hold a marked node are taken as a whole, so headings are not lost, and marks outside of them are not.
 
 Left out beforehand: scripts, styles, the head, menus, page headers, footers, asides, forms, and elements whose class,
 id or role says they are navigation, advert, notice, comment or the like, unless they hold the article.
@@ -207,18 +209,30 @@ def main_text(source: str | None) -> str:
         path.append(v)
         v = page.parent[v]
     threshold = min((value[v] for v in [*path, body]), default=0.0)
-    reach = [v for v in range(n) if below[v] and value[v] >= threshold and total[v] > 0]
-    top = max(reach, key=lambda v: (total[v], -v)) if reach else body
-    v = top
-    while v != -1:
-        if page.tag[v] in HOLDERS:
-            top = v
-            break
-        v = page.parent[v]
+    largest = list(range(n))
+    for v in range(n - 1, body, -1):
+        if below[v]:
+            p = page.parent[v]
+            largest[p] = max(largest[p], largest[v], key=lambda x: (total[x], -x))
+    marked, covered, open_ = [False] * n, [False] * n, [False] * n
+    for v in range(body, n):
+        if below[v]:
+            covered[v] = marked[v] or v != body and covered[page.parent[v]]
+            open_[v] = value[v] >= threshold and not covered[v] and (v == body or open_[page.parent[v]])
+            if open_[v]:
+                marked[largest[v]] = True
+                covered[v] = marked[v]
+    holder = [-1] * n
+    for v in range(1, n):
+        holder[v] = v if page.tag[v] in HOLDERS else holder[page.parent[v]]
+    tops = [v for v in range(n) if marked[v]]
+    if holder[best] != -1:
+        tops = [holder[v] for v in tops if holder[v] != -1]
     taken = [False] * n
-    taken[top] = True
-    for v in range(top + 1, n):
-        taken[v] = taken[page.parent[v]] and not gone[v]
+    for v in tops:
+        taken[v] = True
+    for v in range(1, n):
+        taken[v] = (taken[v] or taken[page.parent[v]]) and not gone[v]
     blocks, line = [], []
     for v, text in page.pieces:
         if not taken[v]:

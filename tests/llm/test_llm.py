@@ -469,6 +469,27 @@ def test_main_text_of_the_table(spark):
         assert r.text == "\n".join(filter(None, (" ".join(html.unescape(b).split()) for b in blocks)))
 
 
+def test_main_text_in_several_containers():
+    def block(tag, k, n=4):
+        lines = [f"Part {k}, paragraph {i}: " + "some words of the text that go on for a while. " * 4 for i in range(n)]
+        return f"<{tag}>" + "".join(f"<p>{x}</p>" for x in lines) + f"</{tag}>", [x.strip() for x in lines]
+
+    menu = "<div>" + "".join(f"<a href={i}>Link {i}</a> " for i in range(12)) + "</div>"
+    for tag in ("section", "div"):
+        for sizes in ((4, 4), (4, 4, 4), (3, 5), (8, 8)):
+            for around in ("{}", "<div class=page>{}</div>"):
+                blocks = [block(tag, k, n) for k, n in enumerate(sizes)]
+                page = f"<html><body>{menu}" + around.format("".join(b for b, _ in blocks)) + f"{menu}</body></html>"
+                assert html_text.main_text(page).split("\n") == [x for _, lines in blocks for x in lines]
+    # The tag that a page gives its main text holds all of it, and nothing around it is taken.
+    (first, one), (second, two) = block("div", 0), block("div", 1)
+    for page, want in (
+        (f"<body><main>{first}{second}</main><p>Around</p>{menu}</body>", one + two),
+        (f"<body><article>{first}</article>{menu}<article>{second}</article></body>", one + two),
+    ):
+        assert html_text.main_text(page).split("\n") == want
+
+
 # --- 9 toxicity ----------------------------------------------------------------------
 
 
