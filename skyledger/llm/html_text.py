@@ -13,7 +13,10 @@ If the node with the largest sum lies inside an ``article`` or ``main``, the pag
 those tags that hold a marked node are taken as a whole, so headings are not lost, and marks outside of them are not.
 
 Left out beforehand: scripts, styles, the head, menus, page headers, footers, asides, forms, and elements whose class,
-id or role says they are navigation, advert, notice, comment or the like, unless they hold the article.
+id or role says they are navigation, advert, notice, comment or the like, unless they hold the article. A class or id
+says so if all words of one of its names are of that kind or say nothing but the place (``cookie-notice``,
+``sidebar-left``, but not ``has-sidebar``). On pages without ``article`` and ``main``, class, id and role don't remove an
+element with more than half of the page's characters outside of links.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are joined by a newline in
 page order; nothing else is dropped. ``br`` is white space. Null and empty pages, and pages without text, give ''.
@@ -58,6 +61,10 @@ NOISE_WORDS = frozenset(
     "newsletter subscribe subscription signup popup modal overlay cookie cookies consent gdpr notice alert toolbar "
     "pagination pager comment comments disqus respond replies login search skip".split()
 )
+PLACE_WORDS = frozenset(
+    "container box wrapper wrap inner outer left right top bottom primary secondary area block section list bar panel "
+    "unit slot site page item group links buttons".split()
+)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 HOLDERS = frozenset(("article", "main"))
 NAME = re.compile(r"[a-z]+")
@@ -143,15 +150,20 @@ def _is_noise(page: Page, node: int, holds: list[bool], inside: list[bool]) -> b
         return False
     if tag in NOISE_TAGS or (tag == "header" and not inside[node]):
         return not (holds[node] and tag not in ("head", "script", "style"))
-    if holds[node] or not page.attributes[node]:
+    return not holds[node] and any(m[1].lower() == "hidden" and not m[2] for m in ATTRIBUTE.finditer(page.attributes[node]))
+
+
+def _is_named_noise(page: Page, node: int, holds: list[bool]) -> bool:
+    if page.tag[node] in ("html", "body") or page.tag[node] in HOLDERS or holds[node] or not page.attributes[node]:
         return False
     for m in ATTRIBUTE.finditer(page.attributes[node]):
         key, value = m[1].lower(), (m[2] or "").lower()
-        names = NAME.findall(value)
-        if key == "hidden" and not m[2] or key == "role" and NOISE_ROLES.intersection(names):
-            return True
-        if key in ("class", "id") and NOISE_WORDS.intersection(names):
+        if key == "role" and NOISE_ROLES.intersection(NAME.findall(value)):
             return True
+        for name in value.strip("\"'").split() if key in ("class", "id") else ():
+            parts = NAME.findall(name)
+            if NOISE_WORDS.intersection(parts) and all(x in NOISE_WORDS or x in PLACE_WORDS for x in parts):
+                return True
     return False
 
 
@@ -179,6 +191,15 @@ def main_text(source: str | None) -> str:
     gone = [False] * n
     for v in range(1, n):
         gone[v] = gone[page.parent[v]] or _is_noise(page, v, holds, inside)
+    plain = [0] * n
+    for v, text in page.pieces:
+        if text and not gone[v] and not link[v]:
+            plain[v] += len("".join(text.split()))
+    for v in range(n - 1, 0, -1):
+        plain[page.parent[v]] += plain[v]
+    for v in range(1, n):
+        most = not holds[0] and 2 * plain[v] > plain[0]
+        gone[v] = gone[v] or gone[page.parent[v]] or not most and _is_named_noise(page, v, holds)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for v, text in page.pieces:
         if text and not gone[v]:

@@ -490,6 +490,20 @@ def test_main_text_in_several_containers():
         assert html_text.main_text(page).split("\n") == want
 
 
+def test_names_around_the_main_text_do_not_drop_it():
+    text = "".join(f"<p>Paragraph {i} of the text, which goes on for a while and then some more.</p>" for i in range(6))
+    want = [f"Paragraph {i} of the text, which goes on for a while and then some more." for i in range(6)]
+    for name in ("content has-sidebar", "post no-comments", "page-with-banner", "ad-free", "sidebar", "comments"):
+        page = f'<body><nav><a href=x>Menu</a></nav><div class="{name}">{text}</div><div class="ad">Buy it now</div></body>'
+        assert html_text.main_text(page).split("\n") == want
+    # A name that is no noise word by itself drops nothing, however little text the element has.
+    page = f'<body><div id=main>{text}<p class="with-notice">Short one.</p></div><div class="ad">Buy</div></body>'
+    assert html_text.main_text(page).split("\n") == [*want, "Short one."]
+    for name in ("ad", "ads top", "sidebar-left", "ad-container", "cookie_notice", "comments-area"):
+        page = f'<body><div>{text}</div><div class="{name}">{text[:160]}</div></body>'
+        assert html_text.main_text(page).split("\n") == want
+
+
 # --- 9 toxicity ----------------------------------------------------------------------
 
 
