@@ -8,11 +8,13 @@ from the distinct n-grams above, so text is gone through once.
 
 A model is stored per order as two sorted arrays of hashes: n-grams with their discounted probability, contexts with
 their back-off weight. Hashes have ``hash_bits`` bits, which bounds a model's size whatever the input; of n-grams
-with one hash the most probable stays. The language with the lowest cross-entropy per character wins.
+with one hash the most probable stays. The language with the lowest cross-entropy per character wins. A text shorter
+than ``order`` is judged by the lower orders, each character after the first given those before it.
 
-Rejection: on learnt documents kept from the counts, the gap in cross-entropy between the best two languages, times
+Rejection: a first model counts all learnt documents but one in ``calibration``. On those, the gap in cross-entropy between the best two languages, times
 the root of the length, is fitted to whether the best is right (a logistic curve, from counts in fixed bins). The
-curve's value is the score; below ``reject`` the answer is marked as not accepted.
+curve's value is the score; below ``reject`` the answer is marked as not accepted. The model that is returned counts
+all learnt documents. Documents of a language that the first model lacks don't take part in the fit.
 
 Null texts and texts without letters are ``und`` with score 0. Null languages or ids are not learnt from. Without a
 learnt language all texts are ``und``; with only one the score of texts with letters is the curve's at a gap of 0.
@@ -160,13 +162,13 @@ class Model:
 
     def costs(self, codes: np.ndarray) -> np.ndarray:
         """-ln probability of the last of each row's characters given the others: (n-grams, languages)."""
-        n = codes.shape[0]
+        n, width = codes.shape
         out = np.empty((n, len(self.languages)))
-        keys = [_hash_rows(codes[:, self.order - s :], self.bits) for s in range(1, self.order + 1)]
-        before = [_hash_rows(codes[:, self.order - s : -1], self.bits) for s in range(1, self.order + 1)]
+        keys = [_hash_rows(codes[:, width - s :], self.bits) for s in range(1, width + 1)]
+        before = [_hash_rows(codes[:, width - s : -1], self.bits) for s in range(1, width + 1)]
         for k in range(len(self.languages)):
             p = np.full(n, 1.0 / self.letters)
-            for s in range(self.order):
+            for s in range(width):
                 # A context not seen passes everything on.
                 back = self._look(self.contexts[k][s], before[s], 1.0)
                 p = self._look(self.grams[k][s], keys[s], 0.0) + back * p
@@ -189,6 +191,12 @@ class Model:
             for k in range(len(self.languages)):
                 total[rows, k] += np.add.reduceat(cost[keys, k], begin)
             count[rows] += np.diff(np.append(begin, len(at)))
+        for size in range(2, self.order):
+            rows = [i for i, t in enumerate(texts) if t and len(t) == size]
+            if rows:
+                codes = np.frombuffer("".join(texts[i] for i in rows).encode("utf-32-le"), np.uint32).reshape(-1, size)
+                total[rows] = sum(self.costs(codes[:, :width]) for width in range(2, size + 1))
+                count[rows] = size - 1
         return total / np.maximum(count, 1)[:, None], count
 
     def judged(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,7 +245,17 @@ def learn(docs: DataFrame, conf: Setting = Setting()) -> Model:
     """A model of every non-null language of (doc_id, text, lang)."""
     learnt = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL")
     kept = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(conf.calibration)) == 0
-    counts = stage(gram_counts(learnt.where(~kept), conf), "grams")
+    most = stage(gram_counts(learnt.where(~kept), conf), "grams")
+    rest = stage(gram_counts(learnt.where(kept), conf), "grams")
+    model = _fitted(most.union(rest).groupBy("lang", "gram").agg(F.sum("n").alias("n")), conf)
+    first = _fitted(most, conf)
+    if len(first.languages) > 1:
+        model.curve = _calibrated(learnt.where(kept & F.col("lang").cast("string").isin(first.languages)), first)
+    return model
+
+
+def _fitted(counts: DataFrame, conf: Setting) -> Model:
+    """The model of (lang, gram, n), without a curve."""
     # Bounded by the hashes: 2**hash_bits rows at most for each language, size and kind.
     table = hashed(levels(counts, conf.order), conf.hash_bits).toArrow().to_pandas()
     table = table.sort_values(["lang", "kind", "size", "key"])
@@ -254,10 +272,7 @@ def learn(docs: DataFrame, conf: Setting = Setting()) -> Model:
     grams, contexts = (
         [[arrays(lang, kind, size) for size in range(1, conf.order + 1)] for lang in languages] for kind in "pb"
     )
-    model = Model(languages, conf.order, conf.hash_bits, grams, contexts, letters, reject=conf.reject)
-    if len(languages) > 1:
-        model.curve = _calibrated(learnt.where(kept), model)
-    return model
+    return Model(languages, conf.order, conf.hash_bits, grams, contexts, letters, reject=conf.reject)
 
 
 def _calibrated(docs: DataFrame, model: Model) -> tuple[float, float]:

@@ -213,6 +213,19 @@ def test_kneser_ney_sums_to_one_and_long_texts_are_whole(spark):
     assert n == m and again == pytest.approx(whole)
 
 
+def test_all_learnable_documents_count_and_short_texts_are_judged(spark):
+    in_calibration = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(16)) == 0
+    ids = [r.id for r in spark.range(100).where(in_calibration).limit(2).collect()]
+    others = [i for i in range(100, 140)]
+    rows = [(i, "a banana and an apple pie " * 5, "aa") for i in others] + [(i, "он и она в доме у моря я " * 5, "bb") for i in others]
+    rows += [(i, "το δέντρο και η θάλασσα ω " * 5, "cc") for i in ids]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "bb", "cc"]
+    texts = ["και η θάλασσα", "она в доме", "a pie", "я", "a", "ω", "7"]
+    found = language_id.identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert [r.lang_pred for r in sorted(found)] == ["cc", "bb", "aa", "bb", "aa", "cc", "und"]
+
+
 # --- 4 secrets ---------------------------------------------------------------------
 
 
