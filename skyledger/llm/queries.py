@@ -13,6 +13,7 @@ from skyledger.llm import (
     jaccard_join,
     language_id,
     mixing,
+    packing,
     secrets,
     substrings,
     token_rollup,
@@ -141,3 +142,23 @@ def op9_toxicity(spark, sf):
 @register
 def op10_ngram_jaccard(spark, sf):
     return jaccard_join.joined(table(spark, sf, "documents"), jaccard_join.Similarity(3, 90, 100))
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file; it is the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register
+def op11_packing(spark, sf):
+    return packing.packed(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
