@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
+    alignment,
     decontamination,
     html_text,
     jaccard_join,
@@ -162,3 +163,9 @@ def op11_packing(spark, sf):
         "sequence_id",
         "offset",
     )
+
+
+@register
+def op13_token_alignment(spark, sf):
+    paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    return alignment.scored(table(spark, sf, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
