@@ -5,6 +5,7 @@ A vocabulary's file is read in the workers, so its path must be there on every m
 
 from __future__ import annotations
 
+import os
 import re
 from functools import lru_cache
 from itertools import chain
@@ -16,8 +17,8 @@ import pyarrow as pa
 from skyledger.llm import words as W
 from skyledger.llm.token_rollup import BYTE_BPE_PATTERN
 
-# Units whose ids a worker remembers, besides those of the piece at hand: some 100 MB.
-REMEMBERED = 600_000
+# Units whose ids a worker remembers, besides those of the piece at hand: some 40 MB.
+REMEMBERED = 1_000_000
 MARK = np.isin(np.arange(256), list(b".,;:!?"))
 LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 
@@ -33,47 +34,53 @@ class WordUnits:
     """A vocabulary that drops white space and case: a text's ids are those of its words, one after the other.
 
     Words lie between 0x09-0x0D and 0x20, and marks at the end of a word are units of their own. The vocabulary's
-    rules (normal form, lower case, split, special tokens) never look across these borders. Equal units, by 64-bit
-    hashes within a piece of 2 MB, are looked up once and those not yet known are encoded together.
+    rules (normal form, lower case, split, special tokens) never look across these borders. A unit is known by 64 bits
+    of hash and encoded when it is first met; of a million units, two share a hash once in 30 million times.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark runs a worker on each core; threads of their own would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, units: list[bytes]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+    def _learn(self, keys: np.ndarray, units: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
+        at = np.append(self.at, np.arange(len(self.first) - 1, len(self.first) - 1 + len(units)))
+        known = np.append(self.known, keys)
+        order = np.argsort(known, kind="stable")
+        self.known, self.at = known[order], at[order]
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
 
-    def _places(self, units: list[bytes]) -> np.ndarray:
-        """Where the ids of each unit lie."""
-        new = [u for u in units if u not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self._forget()
-            new = units
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+    def _is_known(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(keys), bool)
+        return self.known[np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)] == keys
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts with ``end_id`` after each, and the number of ids of each. Null texts are empty."""
-        words = W.split_words(texts)
-        words = _same_case(_without_marks(words))
-        keys, _ = pd.factorize(W.word_hashes(words))
-        some = np.zeros(keys.max() + 1 if len(keys) else 0, np.int64)
-        some[keys] = np.arange(len(keys))
-        raw = words.data.tobytes()
-        at = self._places([raw[a:b] for a, b in zip(words.start[some].tolist(), words.end[some].tolist())])[keys]
-        first, size = self.first[at], self.first[at + 1] - self.first[at]
+        words = _same_case(_without_marks(W.split_words(texts)))
+        codes, keys = pd.factorize(W.word_hashes(words))
+        new = np.flatnonzero(~self._is_known(keys))
+        if len(self.known) + len(new) > REMEMBERED:
+            self._forget()
+            new = np.arange(len(keys))
+        if len(new):
+            some = np.zeros(len(keys), np.int64)
+            some[codes] = np.arange(len(codes))
+            raw, some = words.data.tobytes(), some[new]
+            units = [raw[a:b].decode() for a, b in zip(words.start[some].tolist(), words.end[some].tolist())]
+            self._learn(keys[new], units)
+        at = self.at[np.searchsorted(self.known, keys)]
+        first, size = self.first[at][codes], (self.first[at + 1] - self.first[at])[codes]
         tokens = np.bincount(words.row, size, minlength=words.rows).astype(np.int64)
         out = np.full(int(tokens.sum()) + words.rows, end_id, np.uint32)
         row = np.repeat(words.row, size)

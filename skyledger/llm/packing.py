@@ -37,6 +37,8 @@ DEPTH = 3
 END_ID = 1
 # Steps of the solver at most; each touches as many strategies as have no length in common.
 STEPS = 250
+# Pieces placed at once: 4 MB of ids at most with whole windows.
+ROWS = 500
 # Rows of the table of ranks (8 MB) that may be broadcast.
 SMALL_CELLS = 300_000
 
@@ -253,18 +255,16 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
                 nth = np.empty(len(order), np.int64)
                 nth[order] = seen[sorted_] + np.arange(len(order)) - np.searchsorted(sorted_, sorted_)
                 seen += np.bincount(length, minlength=window + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(row), part, np.int32)),
-                        some.column("doc_id").take(pa.array(row)),
-                        pa.array(start),
-                        pa.array(length.astype(np.int32)),
-                        pa.array(nth),
-                        pa.array(tokens[row]),
-                        _binary(ids, length),
-                    ],
-                    ["part", "doc_id", "start", "length", "nth", "doc_tokens", "ids"],
-                )
+                found = {
+                    "part": pa.array(np.full(len(row), part, np.int32)),
+                    "doc_id": some.column("doc_id").take(pa.array(row)),
+                    "start": pa.array(start),
+                    "length": pa.array(length.astype(np.int32)),
+                    "nth": pa.array(nth),
+                    "doc_tokens": pa.array(tokens[row]),
+                    "ids": _binary(ids, length),
+                }
+                yield pa.RecordBatch.from_pydict(found)
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(run, PIECES)
@@ -287,25 +287,23 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW, depth: int = D
     ranks = F.broadcast(ranks) if cells.count() <= SMALL_CELLS else ranks
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length = batch.column("length").to_numpy()
-            row, begin, use, sequence, offset = lookup(length, batch.column("rank").to_numpy())
-            ids = batch.column("ids").cast(pa.large_binary())
-            flat = np.frombuffer(b"".join(ids.to_pylist()), "<u4")
-            first = (np.cumsum(length, dtype=np.int64) - length)[row] + begin
-            kept = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    kept.column("doc_id"),
-                    pa.array(kept.column("start").to_numpy() + begin),
-                    pa.array(use),
-                    kept.column("doc_tokens"),
-                    pa.array(sequence),
-                    pa.array(offset),
-                    _binary(flat[ragged(first, use)], use),
-                ],
-                ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
-            )
+        for whole in batches:
+            for batch in (whole.slice(i, ROWS) for i in range(0, len(whole), ROWS)):
+                length = batch.column("length").to_numpy()
+                row, begin, use, sequence, offset = lookup(length, batch.column("rank").to_numpy())
+                flat = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
+                first = (np.cumsum(length, dtype=np.int64) - length)[row] + begin
+                kept = batch.select(["doc_id", "start", "doc_tokens"]).take(pa.array(row))
+                found = {
+                    "doc_id": kept.column("doc_id"),
+                    "start": pa.array(kept.column("start").to_numpy() + begin),
+                    "length": pa.array(use),
+                    "doc_tokens": kept.column("doc_tokens"),
+                    "sequence_id": pa.array(sequence),
+                    "offset": pa.array(offset),
+                    "ids": _binary(flat[ragged(first, use)], use),
+                }
+                yield pa.RecordBatch.from_pydict(found)
 
     ranked = cut.join(ranks, ["length", "part"]).withColumn("rank", F.col("nth") + F.col("before"))
     return ranked.select("doc_id", "start", "length", "doc_tokens", "rank", "ids").mapInArrow(place, PLACED)

@@ -16,6 +16,7 @@ from skyledger.llm import (
     mixing,
     packing,
     secrets,
+    spelling,
     substrings,
     token_rollup,
     top_k,
@@ -165,6 +166,18 @@ def op11_packing(spark, sf):
     )
 
 
+@register
+def op12_spelling_variants(spark, sf):
+    """One letter is deleted from one in 199 of the documents' distinct words, as misspellings."""
+    runs = spelling.runs(table(spark, sf, "documents"))
+    mark = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary"))
+    place = F.pmod(F.col("mark"), F.length("run")).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), place), F.substring("run", place + 2, F.length("run")))
+    spelt = runs.withColumn("mark", mark).select(F.when(F.col("mark") % 199 == 0, less).otherwise(F.col("run")).alias("word"))
+    counts = spelt.where(F.length("word") >= 6).groupBy("word").agg(F.count("*").alias("n")).where("n >= 5")
+    return spelling.grouped(counts)
+
+
 @register
 def op13_token_alignment(spark, sf):
     paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
