@@ -17,8 +17,8 @@ import pyarrow as pa
 from skyledger.llm import words as W
 from skyledger.llm.token_rollup import BYTE_BPE_PATTERN
 
-# Units whose ids a worker remembers, besides those of the piece at hand: some 40 MB.
-REMEMBERED = 1_000_000
+# Units whose ids a worker remembers, besides those of the piece at hand: some 60 MB.
+REMEMBERED = 1_500_000
 MARK = np.isin(np.arange(256), list(b".,;:!?"))
 LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 
@@ -35,7 +35,7 @@ class WordUnits:
 
     Words lie between 0x09-0x0D and 0x20, and marks at the end of a word are units of their own. The vocabulary's
     rules (normal form, lower case, split, special tokens) never look across these borders. A unit is known by 64 bits
-    of hash and encoded when it is first met; of a million units, two share a hash once in 30 million times.
+    of hash and encoded when it is first met; of a million units, two share a hash in one of 30 million cases.
     """
 
     def __init__(self, path: str):
