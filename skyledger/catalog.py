@@ -14,6 +14,7 @@ from skyledger.functions import text as X
 from skyledger.operators.rows import metric_rows
 from skyledger.plans import cleaning as C
 from skyledger.plans import geo, insights, kpis, metrics, model, pipeline, quality, reports
+from skyledger.plans.cube import Cube
 from skyledger.session import fresh_path, stage, stage_all
 from skyledger.sources import bridge, feed, outputs
 
@@ -458,12 +459,50 @@ def top_delayed_routes_from_20(spark, sf):
 # --- metric layer and panels ------------------------------------------------------------
 
 
+def _new_cube(spark, sf) -> Cube:
+    return Cube.of(bridge.flights(spark, sf), bridge.sales(spark, sf))
+
+
+_CUBES: dict[tuple[str, str], Cube] = {}
+
+
+def _cube(spark, sf) -> Cube:
+    """The stored cube of these tables: built by the first panel of a session, read by all of them."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _CUBES:
+        folder = fresh_path(spark, "cube")
+        _new_cube(spark, sf).write(folder)
+        _CUBES[key] = Cube.read(spark, folder)
+    return _CUBES[key]
+
+
+@register()
+def cube_flights(spark, sf):
+    return _new_cube(spark, sf).flights
+
+
+@register()
+def cube_sales(spark, sf):
+    return _new_cube(spark, sf).sales
+
+
+@register()
+def cube_by_month_folders(spark, sf):
+    """A cube stored without the last year, whose months are then written once more with all of that year's rows."""
+    flights, sales = bridge.flights(spark, sf), bridge.sales(spark, sf)
+    folder = fresh_path(spark, "cube")
+    early, late = metrics.Slice(last_month="1997-12"), metrics.Slice(first_month="1997-07")
+    Cube.of(*early.apply(flights, sales)).write(folder)
+    Cube.of(*late.apply(flights, sales)).write(folder, only_its_months=True)
+    return metrics.monthly_flights(Cube.read(spark, folder).flights)
+
+
 def _on_flights(build, *args) -> Query:
-    return lambda spark, sf: build(bridge.flights(spark, sf), *args)
+    return lambda spark, sf: build(_cube(spark, sf).flights, *args)
 
 
 def _on_bookings(build, *args) -> Query:
-    return lambda spark, sf: build(bridge.sales(spark, sf), *args)
+    return lambda spark, sf: build(_cube(spark, sf).sales, *args)
 
 
 for _name, _query in {
@@ -495,35 +534,46 @@ for _name, _query in {
 
 @register()
 def metric_executive(spark, sf):
-    return metrics.executive_metrics(bridge.flights(spark, sf), bridge.bookings(spark, sf))
+    cube = _cube(spark, sf)
+    return metrics.executive_metrics(cube.flights, cube.sales)
 
 
 @register()
 def slice_filter(spark, sf):
-    _, chosen = SLICE.apply(bridge.flights(spark, sf), bridge.sales(spark, sf))
+    """The chosen sales themselves, so rows and not cells."""
+    _, chosen = SLICE.chosen(bridge.flights(spark, sf), bridge.sales(spark, sf))
     return chosen.drop("is_cancelled")
 
 
+@register()
+def slice_flights(spark, sf):
+    chosen, _ = SLICE.chosen(bridge.flights(spark, sf), bridge.sales(spark, sf))
+    return chosen
+
+
 @register()
 def slice_vs_network(spark, sf):
-    return metrics.slice_vs_network(bridge.flights(spark, sf), bridge.sales(spark, sf), SLICE)
+    cube = _cube(spark, sf)
+    return metrics.slice_vs_network(*[metrics.guarded(c, *SLICE.apply(cube.flights, cube.sales)) for c in (cube.flights, cube.sales)], SLICE)
 
 
 def _on_slice(build) -> Query:
-    """A panel on the chosen flights and sales, with the month labels of the whole network."""
+    """A panel on the chosen cells, with the month labels of the whole network."""
 
     def sliced(spark, sf):
-        flights = bridge.flights(spark, sf)
-        return build(*SLICE.apply(flights, bridge.sales(spark, sf)), metrics.month_labels(flights))
+        cube = _cube(spark, sf)
+        chosen = SLICE.of(cube)
+        return build(chosen.flights, chosen.sales, metrics.month_labels(cube.flights))
 
     return sliced
 
 
 for _name, _query in {
-    "slice_flights": _on_slice(lambda flights, sales, labels: flights),
     "panel_airline_delay_on_slice": _on_slice(lambda flights, sales, labels: metrics.airline_delay(flights)),
     "panel_fare_airline_cabin_on_slice": _on_slice(lambda flights, sales, labels: metrics.fare_by_airline_and_cabin(sales)),
     "panel_monthly_passengers_on_slice": _on_slice(lambda flights, sales, labels: metrics.monthly_passengers(sales, labels)),
+    "panel_delayed_routes_on_slice": _on_slice(lambda flights, sales, labels: metrics.delayed_routes(flights)),
+    "panel_top_routes_revenue_on_slice": _on_slice(lambda flights, sales, labels: metrics.top_routes_by_revenue(sales)),
 }.items():
     register(_name)(_query)
 

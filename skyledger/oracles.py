@@ -578,6 +578,15 @@ for _name, _sql in {
     "filter_values": """
         SELECT DISTINCT 'airline' AS field, airline AS value FROM flights UNION SELECT 'origin', origin FROM flights
         UNION SELECT 'destination', destination FROM flights UNION SELECT 'month', month FROM flights""",
+    "cube_flights": f"""
+        SELECT departure_hour, delay_category, airline, origin, destination, route, month, count(*) AS flights,
+               CAST(sum(is_cancelled) AS BIGINT) AS cancelled, count(is_cancelled) AS cancelled_known,
+               CAST(coalesce(sum(is_on_time), 0) AS BIGINT) AS on_time, count(is_on_time) AS operated,
+               CAST(coalesce(sum(delay_minutes), 0) AS DOUBLE) AS delay, count(delay_minutes) AS delay_known,
+               count(*) FILTER (WHERE is_cancelled = 1 OR delay_minutes >= 60) AS disrupted, {PAX}, {REVENUE}
+        FROM flights GROUP BY ALL""",
+    "cube_sales": f"SELECT cabin_class, airline, origin, destination, route, month, {PAX}, {REVENUE} FROM enriched GROUP BY ALL",
+    "cube_by_month_folders": f"SELECT * FROM ({flight_metrics('month')}) JOIN ({LABELS}) USING (month)",
     "panel_monthly_flights": f"SELECT * FROM ({flight_metrics('month')}) JOIN ({LABELS}) USING (month)",
     "panel_monthly_passengers": f"SELECT * FROM ({sales('month')}) JOIN ({LABELS}) USING (month)",
     "panel_airline_on_time": flight_metrics("airline"),
@@ -617,6 +626,13 @@ for _name, _sql in {
     "panel_fare_airline_cabin_on_slice": f"SELECT airline, cabin_class, {SALES} FROM enriched WHERE {CHOSEN_SALES} GROUP BY airline, cabin_class",
     "panel_monthly_passengers_on_slice": f"""
         SELECT * FROM (SELECT month, {SALES} FROM enriched WHERE {CHOSEN_SALES} GROUP BY month) JOIN ({LABELS}) USING (month)""",
+    "panel_delayed_routes_on_slice": f"""
+        SELECT * FROM (SELECT *, greatest(20, CAST(floor(quantile_cont(flights, 0.25) OVER ()) AS BIGINT)) AS min_flights
+                       FROM (SELECT route, {FLIGHT_METRICS} FROM flights WHERE {CHOSEN} GROUP BY route))
+        WHERE flights >= min_flights ORDER BY avg_delay_minutes DESC NULLS LAST, route LIMIT 10""",
+    "panel_top_routes_revenue_on_slice": f"""
+        SELECT route, {SALES}, {div('sum(revenue)', 'sum(sum(revenue)) OVER ()')} AS revenue_share
+        FROM enriched WHERE {CHOSEN_SALES} GROUP BY route ORDER BY revenue DESC, route LIMIT 15""",
     "reconcile_headline": """
         SELECT position, metric, metric_value, kpi_value, tolerance, abs(metric_value - kpi_value) <= tolerance AS agrees FROM (
         SELECT 1 AS position, 'total_flights' AS metric, CAST(count(*) AS DOUBLE) AS metric_value, CAST(count(*) AS DOUBLE) AS kpi_value, 0.0::DOUBLE AS tolerance FROM flights

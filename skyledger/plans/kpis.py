@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyledger import constants as K
 from skyledger.functions.numeric import money, rate, ratio
-
+from skyledger.operators.ranks import numbered, ranked
 
 
 def whole(*order: Column) -> WindowSpec:
@@ -295,7 +295,10 @@ def top_revenue_routes(flights: DataFrame, bookings: DataFrame, top: int = 10) -
 
 
 def route_performance(flights: DataFrame, bookings: DataFrame) -> DataFrame:
-    """Airlines per route come from a (route, airline) pre-aggregate, not a distinct count of rows."""
+    """Airlines per route come from a (route, airline) pre-aggregate, not a distinct count of rows.
+
+    Routes are ranked after a range sort, so no task holds all of them.
+    """
     per_airline = flights.groupBy("route", "origin", "destination", "airline").agg(
         F.max("distance_miles").alias("distance_miles"),
         flight_count(),
@@ -314,11 +317,8 @@ def route_performance(flights: DataFrame, bookings: DataFrame) -> DataFrame:
         rate(mean("is_on_time")).alias("on_time_rate"),
         rate(mean("is_cancelled")).alias("cancellation_rate"),
     )
-    return (
-        per_route.withColumn("revenue_rank", _ranked(F.desc("revenue")))
-        .withColumn("passenger_rank", _ranked(F.desc("passengers")))
-        .orderBy(F.desc("revenue"), "route")
-    )
+    by_revenue = ranked(per_route, "revenue", F.asc("route"), name="revenue_rank")
+    return ranked(by_revenue, "passengers", F.asc("route"), name="passenger_rank").orderBy(F.desc("revenue"), "route")
 
 
 def top_delayed_routes(flights: DataFrame, bookings: DataFrame, min_flights: int = 100, top: int = 10) -> DataFrame:
@@ -334,7 +334,8 @@ def top_delayed_routes(flights: DataFrame, bookings: DataFrame, min_flights: int
 def high_demand_poor_performance(flights: DataFrame, bookings: DataFrame) -> DataFrame:
     """Routes in the top passenger quartile that run below the network's on-time rate.
 
-    The network rate is summed up from the route rows, so flights are read once.
+    Routes are numbered after a range sort and written; the network rate is summed
+    up from them, so flights are read once.
     """
     routes = flights.groupBy("route").agg(
         passengers(),
@@ -345,12 +346,13 @@ def high_demand_poor_performance(flights: DataFrame, bookings: DataFrame) -> Dat
         delay(),
         cancellation(),
     )
-    network = ratio(F.sum("on_time_flights").over(whole()), F.sum("operated").over(whole()))
-    quartile = F.ntile(4).over(whole(F.desc("passengers"), F.asc("route")))
+    placed = numbered(routes, F.desc("passengers"), F.asc("route"), total="routes")
+    network = placed.agg(ratio(F.sum("on_time_flights"), F.sum("operated")).alias("rate")).scalar()
+    # The first of four parts is one longer where the routes don't divide evenly.
+    first_quarter = F.ceil(F.col("routes") / 4)
     return (
-        routes.withColumn("network", network)
-        .withColumn("quartile", quartile)
-        .where((F.col("quartile") == 1) & (F.col("punctuality") < F.col("network")))
+        placed.withColumn("network", network)
+        .where((F.col("row_no") <= first_quarter) & (F.col("punctuality") < F.col("network")))
         .select(
             "route",
             "passengers",

@@ -1,4 +1,7 @@
-"""Metrics recomputed on any slice of the model, and the panels built on them."""
+"""Metrics recomputed on any slice, and the panels built on them.
+
+Flights and sales may be cells of a cube or rows of the model: rows count as cells of one.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +14,10 @@ from pyspark.sql import functions as F
 from skyledger import constants as K
 from skyledger.functions.numeric import ratio
 from skyledger.functions.text import cabin_rank, month_date
+from skyledger.operators.medians import quantile
 from skyledger.operators.rows import side_by_side
-from skyledger.plans.kpis import disrupted, whole
+from skyledger.plans.cube import Cube, flight_cells
+from skyledger.plans.kpis import whole
 
 
 def _with_keys(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -20,13 +25,17 @@ def _with_keys(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return reduce(lambda d, k: d.where(F.col(k).isNotNull()), keys, df)
 
 
+def _mean(part: str, of: str) -> Column:
+    return ratio(F.sum(part), F.sum(of))
+
+
 def _flight_measures() -> list[Column]:
     return [
-        F.count(F.lit(1)).alias("flights"),
-        F.avg("is_on_time").alias("on_time_rate"),
-        F.avg("delay_minutes").alias("avg_delay_minutes"),
-        F.avg("is_cancelled").alias("cancellation_rate"),
-        F.avg(disrupted()).alias("disruption_rate"),
+        F.sum("flights").alias("flights"),
+        _mean("on_time", "operated").alias("on_time_rate"),
+        _mean("delay", "delay_known").alias("avg_delay_minutes"),
+        _mean("cancelled", "cancelled_known").alias("cancellation_rate"),
+        _mean("disrupted", "flights").alias("disruption_rate"),
         F.sum("passengers").alias("passengers"),
         F.sum("revenue").cast("double").alias("revenue"),
     ]
@@ -34,9 +43,8 @@ def _flight_measures() -> list[Column]:
 
 def flight_metrics(flights: DataFrame, *keys: str) -> DataFrame:
     """Unrounded operational metrics by any keys; one row, null when empty, without keys."""
-    if keys:
-        return _with_keys(flights, keys).groupBy(*keys).agg(*_flight_measures())
-    return flights.agg(*_flight_measures()).withColumn("flights", F.nullif("flights", F.lit(0)))
+    cells = flight_cells(flights)
+    return _with_keys(cells, keys).groupBy(*keys).agg(*_flight_measures()) if keys else cells.agg(*_flight_measures())
 
 
 def _sold(bookings: DataFrame, *keys: str) -> DataFrame:
@@ -104,6 +112,22 @@ class Slice:
     def apply(self, flights: DataFrame, enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
         return flights.where(self.of_flights()), enriched.where(self.of_bookings())
 
+    def chosen(self, flights: DataFrame, enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The selection with a guard in its plan: whatever is computed from it stops if either table is empty.
+
+        Months are folders of a stored cube, so the guard reads no more than the selection itself.
+        """
+        some = self.apply(flights, enriched)
+        return tuple(guarded(df, *some) for df in some)
+
+    def of(self, cube: Cube) -> Cube:
+        return Cube(*self.chosen(cube.flights, cube.sales))
+
+
+EMPTY = "no flights match the selection"
+# Any value of each type.
+SOME = {"string": "", "date": "2000-01-01", "double": 0.0, **dict.fromkeys(("integer", "long", "decimal"), 0)}
+
 
 class EmptySlice(ValueError):
     """No flights match the selection."""
@@ -111,7 +135,25 @@ class EmptySlice(ValueError):
 
 def require_rows(flights: DataFrame, bookings: DataFrame) -> None:
     if flights.isEmpty() or bookings.isEmpty():
-        raise EmptySlice("no flights match the selection")
+        raise EmptySlice(EMPTY)
+
+
+def guarded(df: DataFrame, *needed: DataFrame) -> DataFrame:
+    """The same rows, or an error when they are computed and one of the ``needed`` frames has none.
+
+    Each needed frame adds the row of a count without keys, which no plan can leave out; a filter raises the error or
+    takes the row away again. The limit keeps later filters from going before that one, and its columns hold values
+    of which the planner cannot tell that they are null.
+    """
+
+    def guard(n: DataFrame) -> DataFrame:
+        rows = n.limit(1).agg(F.count(F.lit(1)).alias("_rows"))
+        error = F.raise_error(F.lit(EMPTY)).cast("boolean")
+        checked = rows.where(F.when(F.col("_rows") == 0, error).otherwise(F.lit(False))).limit(1)
+        unknown = [F.when(F.col("_rows") < 0, F.lit(SOME[f.dataType.typeName()])).cast(f.dataType) for f in df.schema.fields]
+        return checked.select(*[u.alias(f.name) for u, f in zip(unknown, df.schema.fields)])
+
+    return reduce(DataFrame.unionByName, map(guard, needed), df)
 
 
 def slice_vs_network(flights: DataFrame, enriched: DataFrame, chosen: Slice) -> DataFrame:
@@ -119,15 +161,21 @@ def slice_vs_network(flights: DataFrame, enriched: DataFrame, chosen: Slice) ->
 
     Both sides come out of one conditional aggregate per table.
     """
-    mine = lambda c: F.when(chosen.of_flights(), F.col(c))
     sold = lambda c: F.when(chosen.of_bookings(), F.col(c))
-    ops = flights.agg(
-        F.count_if(chosen.of_flights()).alias("flights"),
-        F.count(F.lit(1)).alias("network_flights"),
+    here = lambda c: F.sum(F.when(chosen.of_flights(), F.col(c)))
+    cells = flight_cells(flights)
+    rates = {
+        "on_time_rate": ("on_time", "operated"),
+        "cancellation_rate": ("cancelled", "cancelled_known"),
+        "avg_delay_minutes": ("delay", "delay_known"),
+    }
+    ops = cells.agg(
+        F.coalesce(here("flights"), F.lit(0)).alias("flights"),
+        F.coalesce(F.sum("flights"), F.lit(0)).alias("network_flights"),
         *[
-            f.alias(name)
-            for c, name in (("is_on_time", "on_time_rate"), ("is_cancelled", "cancellation_rate"), ("delay_minutes", "avg_delay_minutes"))
-            for f, name in ((F.avg(mine(c)), name), (F.avg(c), f"network_{name}"))
+            f.alias(label)
+            for name, (part, of) in rates.items()
+            for f, label in ((ratio(here(part), here(of)), name), (_mean(part, of), f"network_{name}"))
         ],
     )
     money = enriched.agg(
@@ -204,7 +252,7 @@ def airline_delay(flights: DataFrame) -> DataFrame:
 def delayed_routes(flights: DataFrame, floor: int = 20, top: int = 10) -> DataFrame:
     """Most delayed routes among those with enough flights: the lower quartile, but at least ``floor``."""
     routes = flight_metrics(flights, "route")
-    quartile = F.floor(F.percentile("flights", 0.25).over(whole())).cast("bigint")
+    quartile = F.floor(quantile(routes.select("flights"), "flights", 0.25)).cast("bigint")
     return (
         routes.withColumn("min_flights", F.greatest(F.lit(floor).cast("bigint"), quartile))
         .where(F.col("flights") >= F.col("min_flights"))
@@ -215,12 +263,12 @@ def delayed_routes(flights: DataFrame, floor: int = 20, top: int = 10) -> DataFr
 
 def cancellations(flights: DataFrame) -> DataFrame:
     return (
-        _with_keys(flights, ("origin",))
+        _with_keys(flight_cells(flights), ("origin",))
         .groupBy("origin")
         .agg(
-            F.count(F.lit(1)).alias("flights"),
-            F.sum("is_cancelled").alias("cancelled"),
-            F.avg("is_cancelled").alias("cancellation_rate"),
+            F.sum("flights").alias("flights"),
+            F.when(F.sum("cancelled_known") > 0, F.sum("cancelled")).alias("cancelled"),
+            _mean("cancelled", "cancelled_known").alias("cancellation_rate"),
         )
         .orderBy(F.desc_nulls_last("cancellation_rate"), "origin")
     )
@@ -228,9 +276,8 @@ def cancellations(flights: DataFrame) -> DataFrame:
 
 def delay_distribution(flights: DataFrame) -> DataFrame:
     """Flights per category over the fixed list of categories; absent ones show zero."""
-    counts = flights.agg(
-        *[F.count_if(F.col("delay_category") == label).alias(label) for label in K.DELAY_CATEGORIES]
-    )
+    of = lambda label: F.sum(F.when(F.col("delay_category") == label, F.col("flights")))
+    counts = flight_cells(flights).agg(*[F.coalesce(of(label), F.lit(0)).alias(label) for label in K.DELAY_CATEGORIES])
     cells = [
         F.struct(F.lit(i).cast("bigint").alias("position"), F.lit(label).alias("delay_category"), F.col(f"`{label}`").alias("flights"))
         for i, label in enumerate(K.DELAY_CATEGORIES, 1)
@@ -248,17 +295,18 @@ def demand_vs_punctuality(flights: DataFrame, floor: int = 20, at_least: int = 4
     """Busy routes (upper quartile of passengers) that run below the slice's on-time rate.
 
     Empty when fewer than ``at_least`` routes have ``floor`` flights. The slice's
-    rate counts every flight, so it is summed before the floor applies.
+    rate counts every flight, also of routes below the floor. The three values of
+    the whole slice are scalars, so no window holds all routes.
     """
-    routes = _with_keys(flights, ("route",)).groupBy("route").agg(
-        *_flight_measures(), F.sum("is_on_time").alias("on_time_flights"), F.count("is_on_time").alias("operated")
-    )
-    overall = ratio(F.sum("on_time_flights").over(whole()), F.sum("operated").over(whole()))
-    eligible = routes.withColumn("slice_on_time_rate", overall).where(F.col("flights") >= floor)
+    cells = flight_cells(flights)
+    overall = cells.agg(_mean("on_time", "operated").alias("rate")).scalar()
+    eligible = flight_metrics(cells, "route").where(F.col("flights") >= floor)
+    listed = eligible.agg(F.count(F.lit(1)).alias("n")).scalar()
+    late = F.coalesce(F.col("on_time_rate") < F.col("slice_on_time_rate"), F.lit(False))
     return (
-        eligible.withColumn("busy_from", F.percentile("passengers", 0.75).over(whole()))
-        .withColumn("listed", F.count(F.lit(1)).over(whole()))
-        .where(F.col("listed") >= at_least)
+        eligible.where(listed >= at_least)
+        .withColumn("slice_on_time_rate", overall)
+        .withColumn("busy_from", quantile(eligible.select("passengers"), "passengers", 0.75))
         .select(
             "route",
             "flights",
@@ -268,10 +316,7 @@ def demand_vs_punctuality(flights: DataFrame, floor: int = 20, at_least: int = 4
             "cancellation_rate",
             "slice_on_time_rate",
             "busy_from",
-            (
-                (F.col("passengers") >= F.col("busy_from"))
-                & F.coalesce(F.col("on_time_rate") < F.col("slice_on_time_rate"), F.lit(False))
-            ).alias("flagged"),
+            ((F.col("passengers") >= F.col("busy_from")) & late).alias("flagged"),
         )
         .orderBy(F.desc("flagged"), F.desc("passengers"), "route")
     )
@@ -313,7 +358,7 @@ def monthly_cabins(enriched: DataFrame, labels: DataFrame | None = None) -> Data
 def top_routes_by_revenue(enriched: DataFrame, top: int = 15) -> DataFrame:
     """Shares are of the whole slice, rows without a route included."""
     by_route = enriched.groupBy("route").agg(F.sum("passengers").alias("passengers"), F.sum("revenue").alias("money"))
-    share = ratio(F.col("money"), F.sum("money").over(whole()))
+    share = ratio(F.col("money"), enriched.agg(F.sum("revenue").alias("money")).scalar())
     return (
         by_route.select("route", *_sales_columns(), share.alias("revenue_share"))
         .where(F.col("route").isNotNull())

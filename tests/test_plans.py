@@ -25,7 +25,7 @@ def test_no_cross_join_and_no_python(spark, name):
         assert unwanted not in text
 
 
-@pytest.mark.parametrize("name", ["executive_kpis", "airport_performance", "route_performance", "high_demand_poor_performance", "airline_revenue", "panel_monthly_flights", "panel_monthly_passengers", "panel_monthly_cabin"])
+@pytest.mark.parametrize("name", ["executive_kpis", "airport_performance", "airline_revenue", "cube_flights", "cube_sales", "route_airline_breakdown"])
 def test_source_is_read_once_and_pruned(spark, name):
     text = plan(QUERIES[name](spark, SF))
     scans = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\]", text) if "l_orderkey" in s]
@@ -34,6 +34,25 @@ def test_source_is_read_once_and_pruned(spark, name):
     assert read <= {"l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"}
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith(("panel_", "metric_")) or n in ("slice_vs_network", "month_labels", "filter_values")])
+def test_panels_read_the_cube_and_no_rows(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "l_orderkey" not in text and "o_orderkey" not in text
+    assert "/cube-" in text
+    # No window over all routes, months or cabins beyond what is shown of them.
+    if "route" in name or "demand" in name:
+        assert "Window" not in re.sub(r"Subquery[\s\S]*", "", text)
+
+
+@pytest.mark.parametrize("name", ["route_performance", "high_demand_poor_performance"])
+def test_routes_are_ranked_without_one_task_for_all(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "/numbered-" in text and "l_orderkey" not in text
+    # What comes together in one task are the sizes of the sort's parts.
+    for window in re.findall(r"Window \[[^\]]*\], \[[^\]]*\]", text):
+        assert "_size" in window
+
+
 def staged(spark):
     return cleaning.Cleaned(stage(cleaning.prepare(bridge.dirty_feed(spark, SF)), "prepared", "state"))
 
