@@ -22,23 +22,24 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm import words as W
-from skyledger.llm.encoders import BytePairs, Pieces, ragged
+from skyledger.llm.encoders import BytePairs, Pieces, TokenBytes, ragged
 from skyledger.session import stage
 
 # Pairs of ids with more than 1 / HOT of all links are looked up in a broadcast table of at most HOT rows (2 MB).
 HOT = 100_000
-# Windows that a worker remembers, besides those of the piece at hand, and the most characters of their groups.
-REMEMBERED = 200_000
-HELD = 1 << 25
+# Windows that a worker remembers, besides those of the piece at hand: some 60 MB.
+REMEMBERED = 1_000_000
+# Bytes of text aligned at once.
+PIECE = 1 << 20
 
 DIGEST = "doc_id long, row long, n_a long, n_b long, n_groups long, n_links long, groups string"
 ALIGNED = f"{DIGEST}, pairs array<long>, times array<long>"
@@ -57,18 +58,21 @@ class Encoded:
 
 
 class Aligner:
-    """Encodes and aligns texts, and remembers windows."""
+    """Encodes and aligns texts, and remembers windows.
+
+    A window is known by 64 bits of hash of both id tuples; of a million windows, two share one in 30 million cases.
+    Remembered are the ends of its groups, as numbers of A and of B tokens from its start.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         self.of_a, self.of_b = BytePairs(path_a), Pieces(path_b)
+        self.digits = TokenBytes([str(i).encode() for i in range(max(len(self.of_a.bytes.length), len(self.of_b.bytes.length)))])
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
-        self.held = 0
-        self.links = np.zeros(0, np.int64)
+        self.known, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)
+        self.ends_a, self.ends_b = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def encoded(self, texts: list[str | None]) -> Encoded:
         whole = [f" {t}" if t else "" for t in texts]
@@ -80,10 +84,12 @@ class Aligner:
         for vocabulary, given in ((self.of_a, whole), (self.of_b, [t or "" for t in texts])):
             ids = vocabulary.encode(given)
             n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum()))
+            flat = np.concatenate([*ids, np.zeros(0, np.int32)])
             good &= _gives_back(vocabulary.bytes, flat, n, wanted, size)
             found.append((flat, n))
-        (a, n_a), (b, n_b) = [(flat[np.repeat(good, n)], np.where(good, n, 0)) for flat, n in found]
+        if not good.all():
+            found = [(flat[np.repeat(good, n)], np.where(good, n, 0)) for flat, n in found]
+        (a, n_a), (b, n_b) = found
         return Encoded(a, b, n_a, n_b, np.cumsum(np.where(good, size, 0)))
 
     def windows(self, e: Encoded) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,64 +97,88 @@ class Aligner:
         bytes_a, bytes_b = self.of_a.bytes, self.of_b.bytes
         start_a = np.cumsum(bytes_a.length[e.a]) - bytes_a.length[e.a]
         start_b = np.cumsum(bytes_b.length[e.b]) - bytes_b.length[e.b]
-        anchors = np.intersect1d(start_a[bytes_a.spaced[e.a]], start_b[bytes_b.spaced[e.b]], assume_unique=True)
-        at_a = np.append(np.searchsorted(start_a, anchors), len(e.a))
-        at_b = np.append(np.searchsorted(start_b, anchors), len(e.b))
-        return at_a, at_b, np.searchsorted(e.ends, anchors, side="right")
-
-    def _align(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
-        """The groups of one window as text, and its links."""
-        long_a, long_b = self.of_a.bytes.length[a].tolist(), self.of_b.bytes.length[b].tolist()
-        groups, links, i, j, end_a, end_b, from_i, from_j = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += long_a[i]
-                i += 1
-            else:
-                end_b += long_b[j]
-                j += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-                links.append(a[i - 1] << 32 | b[j - 1])
-                from_i, from_j = i, j
-        return ";".join(groups), links
-
-    def _learn(self, keys: list[tuple[bytes, bytes]]) -> None:
-        found = [
-            self._align(np.frombuffer(a, np.int32).tolist(), np.frombuffer(b, np.int32).tolist()) for a, b in keys
-        ]
-        self.known.update(zip(keys, range(len(self.text), len(self.text) + len(keys))))
-        self.text += [text for text, _ in found]
-        self.held += sum(len(text) for text, _ in found)
-        size = np.fromiter((len(links) for _, links in found), np.int64, len(found))
-        self.links = np.concatenate([self.links, np.fromiter(chain.from_iterable(p for _, p in found), np.int64, int(size.sum()))])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
+        marked_a, marked_b = np.flatnonzero(bytes_a.spaced[e.a]), np.flatnonzero(bytes_b.spaced[e.b])
+        _, of_a, of_b = np.intersect1d(start_a[marked_a], start_b[marked_b], assume_unique=True, return_indices=True)
+        first_a, first_b = marked_a[of_a], marked_b[of_b]
+        row = np.searchsorted(e.ends, start_a[first_a], side="right")
+        return np.append(first_a, len(e.a)), np.append(first_b, len(e.b)), row
+
+    def _align(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The number of groups of each window, and the ends of all groups, in tokens from their window's start."""
+        end_a, end_b = np.cumsum(self.of_a.bytes.length[a]), np.cumsum(self.of_b.bytes.length[b])
+        # Windows are as long in A as in B, so bytes before a window are the same in both.
+        _, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
+        upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
+        window = np.searchsorted(upto_a, at_a, side="right")
+        return (
+            np.bincount(window, minlength=len(n_a)),
+            (at_a + 1 - (upto_a - n_a)[window]).astype(np.int32),
+            (at_b + 1 - (upto_b - n_b)[window]).astype(np.int32),
+        )
+
+    def _learn(self, keys: np.ndarray, *window: np.ndarray) -> None:
+        n, ends_a, ends_b = self._align(*window)
+        at = np.append(self.at, np.arange(len(self.first) - 1, len(self.first) - 1 + len(n)))
+        known = np.append(self.known, keys)
+        order = np.argsort(known, kind="stable")
+        self.known, self.at = known[order], at[order]
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+        self.ends_a, self.ends_b = np.concatenate([self.ends_a, ends_a]), np.concatenate([self.ends_b, ends_b])
 
     def places(self, e: Encoded, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
-        """Where the alignment of each window lies."""
-        a, b = e.a.tobytes(), e.b.tobytes()
-        cut_a, cut_b = (4 * at_a).tolist(), (4 * at_b).tolist()
-        keys = [(a[i:j], b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        new = [k for k in dict.fromkeys(keys) if k not in self.known]
-        if len(self.known) + len(new) > REMEMBERED or self.held > HELD:
+        """Where the alignment of each window lies; windows that are not known yet are aligned."""
+        hashes = (W.range_hashes(ids, at[:-1], at[1:]) for ids, at in ((e.a, at_a), (e.b, at_b)))
+        codes, keys = pd.factorize(W.mix(next(hashes)) + next(hashes))
+        if len(self.known):
+            is_known = self.known[np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)] == keys
+        else:
+            is_known = np.zeros(len(keys), bool)
+        new = np.flatnonzero(~is_known)
+        if len(self.known) + len(new) > REMEMBERED:
             self._forget()
-            new = list(dict.fromkeys(keys))
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+            new = np.arange(len(keys))
+        if len(new):
+            some = np.zeros(len(keys), np.int64)
+            some[codes] = np.arange(len(codes))
+            some = some[new]
+            n_a, n_b = np.diff(at_a)[some], np.diff(at_b)[some]
+            self._learn(keys[new], e.a[ragged(at_a[some], n_a)], n_a, e.b[ragged(at_b[some], n_b)], n_b)
+        return self.at[np.searchsorted(self.known, keys)][codes]
+
+    def _shown(self, e: Encoded, end_a: np.ndarray, end_b: np.ndarray, n: np.ndarray) -> list[bytes]:
+        """``a1,a2|b1;a3|b2`` of each text; a text has the next n groups, which end before the given tokens."""
+        n_a, n_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+        # Places of the tokens in the text: each group's A tokens, then its B tokens.
+        group_start = np.cumsum(n_a + n_b) - n_a - n_b
+        place_a, place_b = ragged(group_start, n_a), ragged(group_start + n_a, n_b)
+        ids = np.empty(len(e.a) + len(e.b), np.int32)
+        ids[place_a], ids[place_b] = e.a, e.b
+        mark = np.full(len(ids), ord(","), np.uint8)
+        mark[group_start + n_a - 1], mark[group_start + n_a + n_b - 1] = ord("|"), ord(";")
+        length = self.digits.length[ids]
+        upto = np.cumsum(length + 1)
+        out = np.empty(int(upto[-1]) if len(upto) else 0, np.uint8)
+        out[upto - 1] = mark
+        written = np.ones(len(out), bool)
+        written[upto - 1] = False
+        out[written] = self.digits.joined(ids)
+        tokens = np.concatenate([[0], np.cumsum(n_a + n_b)])[np.concatenate([[0], np.cumsum(n)])]
+        cuts = np.concatenate([[0], upto])[tokens].tolist()
+        raw = out.tobytes()
+        return [raw[i : j - 1] if j > i else b"" for i, j in zip(cuts, cuts[1:])]
 
     def aligned(self, texts: list[str | None]) -> dict[str, list | np.ndarray]:
         """What each text has: numbers of tokens, groups and links, its groups as text, distinct links and their times."""
         e = self.encoded(texts)
         at_a, at_b, row = self.windows(e)
         at = self.places(e, at_a, at_b)
-        cuts = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
-        names = [self.text[i] for i in at.tolist()]
-        groups = [";".join(names[i:j]) for i, j in zip(cuts, cuts[1:])]
-        size = self.first[at + 1] - self.first[at]
-        links = self.links[ragged(self.first[at], size)]
-        of = np.repeat(row, size)
+        groups = self.first[at + 1] - self.first[at]
+        place = ragged(self.first[at], groups)
+        end_a = np.repeat(at_a[:-1], groups) + self.ends_a[place]
+        end_b = np.repeat(at_b[:-1], groups) + self.ends_b[place]
+        of = np.repeat(row, groups)
         n = np.bincount(of, minlength=len(texts))
+        links = e.a[end_a - 1].astype(np.int64) << 32 | e.b[end_b - 1]
         order = np.lexsort((links, of))
         links, of = links[order], of[order]
         fresh = np.flatnonzero(np.append(True, (links[1:] != links[:-1]) | (of[1:] != of[:-1]))[: len(links)])
@@ -156,7 +186,7 @@ class Aligner:
             "n_a": e.n_a,
             "n_b": e.n_b,
             "n_links": n,
-            "groups": groups,
+            "groups": self._shown(e, end_a, end_b, n),
             "pairs": links[fresh],
             "times": np.diff(np.append(fresh, len(links))),
             "distinct": np.bincount(of[fresh], minlength=len(texts)),
@@ -192,13 +222,13 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) ->
     in the upper and B's in the lower 32 bits, ``times`` how often each occurs, ``row`` a number of its own.
     """
 
-    def shown(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest() if digest and text else text
+    def shown(groups: bytes) -> str:
+        return hashlib.sha256(groups).hexdigest() if digest and groups else groups.decode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, row = aligner(path_a, path_b), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for piece in W.pieces(batch, "text"):
+            for piece in W.pieces(batch, "text", PIECE):
                 found = both.aligned(piece.column("text").to_pylist())
                 n = len(piece)
                 columns = [
@@ -208,7 +238,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) ->
                     found["n_b"],
                     found["n_links"],
                     found["n_links"],
-                    pa.array([shown(text) for text in found["groups"]], pa.string()),
+                    pa.array([shown(groups) for groups in found["groups"]], pa.string()),
                     _lists(found["pairs"], found["distinct"]),
                     _lists(found["times"], found["distinct"]),
                 ]

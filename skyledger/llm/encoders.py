@@ -169,9 +169,11 @@ class BytePairs:
         self.fast = tiktoken.Encoding("pairs", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.bytes = TokenBytes(tokens)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [
-            self.slow.encode(t, add_special_tokens=False).ids if LONG_SPACE.search(t) else self.fast.encode_ordinary(t)
+            np.array(self.slow.encode(t, add_special_tokens=False).ids, np.int32)
+            if LONG_SPACE.search(t)
+            else self.fast.encode_to_numpy(t, disallowed_special=()).astype(np.int32)
             for t in texts
         ]
 
@@ -194,5 +196,5 @@ class Pieces:
                 tokens.append(piece.replace("▁", " ").encode())
         self.bytes = TokenBytes(tokens)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int32) for ids in self.model.encode(texts, num_threads=1)]

@@ -101,7 +101,7 @@ def test_whole_table_as_by_brute_force(spark):
 def test_any_texts_are_aligned(texts):
     found = BOTH.aligned(texts)
     wanted = brute(texts)
-    assert found["groups"] == [w[-1] for w in wanted]
+    assert [g.decode() for g in found["groups"]] == [w[-1] for w in wanted]
     assert found["n_links"].tolist() == [w[3] for w in wanted]
     assert found["n_a"].tolist() == [w[0] for w in wanted]
     assert found["times"].sum() == sum(w[3] for w in wanted)
@@ -112,13 +112,12 @@ BOTH = alignment.Aligner(A, B)
 
 def test_windows_are_learnt_again_when_forgotten(monkeypatch):
     monkeypatch.setattr(alignment, "REMEMBERED", 3)
-    monkeypatch.setattr(alignment, "HELD", 100)
     both = alignment.Aligner(A, B)
     for texts in (["one two three"], ["three four five " * 9, "one"], ["x" * 200 + " one two"], ["one two three"]):
-        assert both.aligned(texts)["groups"] == [w[-1] for w in brute(texts)]
+        assert [g.decode() for g in both.aligned(texts)["groups"]] == [w[-1] for w in brute(texts)]
 
 
 def test_long_white_space_is_encoded_alike():
     pairs = encoders.BytePairs(A)
     for text in (" a" + " " * 2500 + "b", " " + "\n" * 2000, " a  b" + " " * 1999 + "c"):
-        assert pairs.encode([text])[0] == CODER.encode(text, add_special_tokens=False).ids
+        assert pairs.encode([text])[0].tolist() == CODER.encode(text, add_special_tokens=False).ids
