@@ -90,6 +90,28 @@ def src_bookings_enriched(spark, sf):
     return model.enrich_bookings(bridge.bookings(spark, sf), bridge.flights(spark, sf))
 
 
+@register()
+def src_bookings_enriched_in_buckets(spark, sf):
+    flights, bookings = model.co_located(bridge.flights(spark, sf), bridge.bookings(spark, sf), 4)
+    return model.enrich_bookings(bookings, flights)
+
+
+@register()
+def src_csv_malformed(spark, sf):
+    """Counts of malformed rows of a feed whose lines were cut short or carried on, as a read that goes on finds them."""
+    path = fresh_path(spark, "raw")
+    names = [f"`{c}`" for c in K.SOURCE_COLUMNS]
+    rows = bridge.dirty_feed(spark, sf)
+    line = F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in names])
+    few = F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in names[:3]])
+    lines = rows.select(F.when(F.col("src_row") % 97 == 5, few).when(F.col("src_row") % 89 == 3, F.concat(line, F.lit(",more"))).otherwise(line))
+    # One column whose name is the header line; nothing is quoted.
+    plain = {"header": True, "sep": "\x01", "quote": "\0", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.toDF(",".join(K.SOURCE_COLUMNS)).write.options(**plain).csv(path)
+    raw = feed.read_feed(spark, path, strict=False)
+    return raw.groupBy("problem").agg(F.count(F.lit(1)).alias("rows"), F.count("Airline").alias("airlines"), F.count("`Ticket Price`").alias("prices"))
+
+
 def _text_id(df: DataFrame) -> DataFrame:
     return df.withColumn("flight_id", F.col("flight_id").cast("string"))
 
@@ -181,7 +203,7 @@ def _typed(spark, sf):
 
 
 def _first(spark, sf):
-    return _chain(_stripped(spark, sf), C.drop_exact_copies, C.standardise_case, C.parse_types, C.keep_first_per_key)
+    return _stripped(spark, sf).transform(C.keep_first)
 
 
 def _repaired(spark, sf):
@@ -393,6 +415,7 @@ for _name, _check in {
     "check_cancelled_zero": quality.cancelled_with_passengers,
     "check_consistent_attrs": quality.inconsistent_flights,
     "check_all": quality.all_checks,
+    "check_all_while_writing": lambda rows: quality.written_with_checks(rows, "checked")[1],
 }.items():
     register(_name)(_before_and_after(_check))
 
@@ -411,6 +434,14 @@ def check_fk_orphans(spark, sf):
     return quality.orphan_bookings(model.split_flights(C.clean(raw).rows), delivered)
 
 
+@register()
+def check_orphans_in_buckets(spark, sf):
+    """The same orphans from tables that are stored in the same buckets: no shuffle in the check."""
+    raw = _raw(spark, sf)
+    flights, delivered = model.split_flights(C.clean(raw).rows), model.split_bookings(_delivered(raw))
+    return quality.orphan_bookings(*model.co_located(flights, delivered, 4))
+
+
 @register()
 def check_check01(spark, sf):
     return quality.flight_constraints(model.split_flights(_cleaned(spark, sf).rows))

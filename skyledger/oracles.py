@@ -274,6 +274,13 @@ on_model(
     "SELECT airline, count(*) AS flights, CAST(sum(passengers) AS BIGINT) AS passengers FROM flights "
     "WHERE month BETWEEN '1996-01' AND '1997-12' GROUP BY airline",
 )
+on_feed(
+    "src_csv_malformed",
+    """SELECT problem, count(*) AS rows, count(NULLIF("Airline", '')) AS airlines,
+              count(CASE WHEN problem = 'short' THEN NULL ELSE NULLIF("Ticket Price", '') END) AS prices
+       FROM (SELECT *, CASE WHEN src_row % 97 = 5 THEN 'short' WHEN src_row % 89 = 3 THEN 'long' END AS problem FROM feed) GROUP BY problem""",
+)
+on_model("src_bookings_enriched_in_buckets", "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM enriched")
 on_model("src_bookings_enriched", "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM enriched")
 on_model(
     "sink_star_model",
@@ -420,6 +427,7 @@ ALL_COUNTS = {
     "WHERE flight_id IS NOT NULL) GROUP BY flight_id HAVING count(*) > 1)",
 }
 on_both("check_all", lambda s, t: listed(s, t, ALL_COUNTS))
+on_both("check_all_while_writing", lambda s, t: listed(s, t, ALL_COUNTS))
 on_clean(
     "check_pk",
     """SELECT 'flights' AS table_name, (SELECT count(*) FROM (SELECT flight_id FROM model_flights GROUP BY flight_id HAVING count(*) > 1)) AS duplicate_keys,
@@ -432,8 +440,9 @@ on_clean(
 on_clean(
     "check_fk_orphans",
     """SELECT flight_id, cabin_class, passengers, CAST(CAST(ticket_price AS DECIMAL(18,2)) AS DOUBLE) AS ticket_price, CAST(revenue AS DOUBLE) AS revenue
-       FROM delivered ANTI JOIN (SELECT flight_id FROM model_flights) USING (flight_id)""",
+       FROM delivered WHERE flight_id IS NULL OR flight_id NOT IN (SELECT flight_id FROM model_flights WHERE flight_id IS NOT NULL)""",
 )
+ORACLES["check_orphans_in_buckets"] = ORACLES["check_fk_orphans"]
 FLIGHT_NOT_NULL = (
     "flight_id", "flight_number", "flight_date", "month", "day_of_week", "airline", "origin", "destination", "route",
     "scheduled_departure", "departure_hour", "time_of_day", "delay_category", "is_cancelled", "distance_miles",

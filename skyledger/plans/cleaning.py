@@ -2,10 +2,10 @@
 
 Shape of the full job (``clean``):
 
-1. ``prepare``  strip, drop copies, standardise, parse, drop key copies, repair
-   the times a row can repair by itself. Two shuffles, both combined on the map
-   side, so a group of copies of any size leaves each map task as one row.
-   The result is staged: everything after reads it more than once.
+1. ``prepare``  strip and stage the text, find the positions to keep (copies and
+   key copies by two narrow hash aggregates, combined on the map side), fetch
+   those rows by position, standardise, parse, repair the times a row can repair
+   by itself. The result is staged: everything after reads it more than once.
 2. ``settle_departures``, ``impute``  only the few rows with a gap meet a join
    (donor of the same flight, medians); whole rows pass through without a shuffle.
    The staged table is laid out by that state, so each row is read once.
@@ -68,27 +68,53 @@ def parse_types(df: DataFrame, date_patterns: tuple[str, ...] = K.DATE_PATTERNS)
     )
 
 
-def keep_first_per_key(df: DataFrame) -> DataFrame:
-    """The first row, in file order, of each flight number, date and cabin.
+def _fingerprints(columns: tuple[str, ...]) -> list[Column]:
+    """Two independent 64-bit hashes of all values; rows that are equal in both count as copies."""
+    marked = [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(seed), *marked).alias(f"print_{seed}") for seed in ("a", "b")]
 
-    An aggregate rather than a window: map tasks send one row per key, however
-    many copies a key has. The sizes of the dropped copies ride along. A row whose
-    date could not be read has no key, so it is nobody's copy: it stays, and the checks report it.
+
+def winners(rows: DataFrame) -> DataFrame:
+    """(src_row, raw_rows, distinct_rows, symbol_rows) of the row to keep of each flight number, date and cabin.
+
+    Copies collapse to their first position, then distinct rows of a key to theirs. Both aggregates hold the key, two
+    fingerprints, a position and counters, never a row, and are combined on the map side: a key with any number of
+    copies leaves each map task once. A row whose date could not be read has no key, so it is nobody's copy: it stays,
+    and the checks report it.
     """
-    kept = [c for c in df.columns if c not in {*ROW_KEY, "copies", "had_symbol", "bad_date"}]
+    keyed = (
+        rows.select("*", *_fingerprints(K.FEED_COLUMNS))
+        .transform(standardise_case)
+        .transform(parse_types)
+        .select(*ROW_KEY, "bad_date", "had_symbol", "print_a", "print_b", "src_row")
+    )
+    distinct = keyed.groupBy(*ROW_KEY, "bad_date", "had_symbol", "print_a", "print_b").agg(
+        F.min("src_row").alias("src_row"), F.count(F.lit(1)).alias("copies")
+    )
     return (
-        df.withColumn("keyless", F.when(F.col("bad_date"), F.to_json(F.struct("src_row"))))
+        distinct.withColumn("keyless", F.when(F.col("bad_date"), F.col("src_row")))
         .groupBy(*ROW_KEY, "keyless")
         .agg(
-            F.min_by(F.struct(*kept), "src_row").alias("first"),
+            F.min("src_row").alias("src_row"),
             F.sum("copies").alias("raw_rows"),
             F.count(F.lit(1)).alias("distinct_rows"),
             F.count_if("had_symbol").alias("symbol_rows"),
         )
-        .select(*ROW_KEY, "first.*", "raw_rows", "distinct_rows", "symbol_rows")
+        .select("src_row", "raw_rows", "distinct_rows", "symbol_rows")
     )
 
 
+def keep_first(text_rows: DataFrame) -> DataFrame:
+    """Typed rows, the first in file order of each key, with the sizes of what they replace.
+
+    The stripped rows are written once with their positions; whole rows then meet only the winners' positions, which
+    are unique, so no key can be hot.
+    """
+    rows = stage(text_rows.select(*K.FEED_COLUMNS, "src_row"), "text")
+    kept = rows.join(winners(rows), "src_row")
+    return kept.transform(standardise_case).transform(parse_types).drop("had_symbol", "bad_date")
+
+
 def flag_invalid(df: DataFrame) -> DataFrame:
     """Null impossible prices; mark rows that cannot be used.
 
@@ -148,10 +174,7 @@ def prepare(raw: DataFrame) -> DataFrame:
     steps = (
         rename,
         strip_text,
-        drop_exact_copies,
-        standardise_case,
-        parse_types,
-        keep_first_per_key,
+        keep_first,
         flag_invalid,
         repair_times,
         mark_state,

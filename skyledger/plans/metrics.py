@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skyledger import constants as K
 from skyledger.functions.numeric import ratio
 from skyledger.functions.text import cabin_rank, month_date
+from skyledger.operators.guards import stop_if
 from skyledger.operators.medians import quantile
 from skyledger.operators.rows import side_by_side
 from skyledger.plans.cube import Cube, flight_cells
@@ -125,8 +126,6 @@ class Slice:
 
 
 EMPTY = "no flights match the selection"
-# Any value of each type.
-SOME = {"string": "", "date": "2000-01-01", "double": 0.0, **dict.fromkeys(("integer", "long", "decimal"), 0)}
 
 
 class EmptySlice(ValueError):
@@ -139,21 +138,9 @@ def require_rows(flights: DataFrame, bookings: DataFrame) -> None:
 
 
 def guarded(df: DataFrame, *needed: DataFrame) -> DataFrame:
-    """The same rows, or an error when they are computed and one of the ``needed`` frames has none.
-
-    Each needed frame adds the row of a count without keys, which no plan can leave out; a filter raises the error or
-    takes the row away again. The limit keeps later filters from going before that one, and its columns hold values
-    of which the planner cannot tell that they are null.
-    """
-
-    def guard(n: DataFrame) -> DataFrame:
-        rows = n.limit(1).agg(F.count(F.lit(1)).alias("_rows"))
-        error = F.raise_error(F.lit(EMPTY)).cast("boolean")
-        checked = rows.where(F.when(F.col("_rows") == 0, error).otherwise(F.lit(False))).limit(1)
-        unknown = [F.when(F.col("_rows") < 0, F.lit(SOME[f.dataType.typeName()])).cast(f.dataType) for f in df.schema.fields]
-        return checked.select(*[u.alias(f.name) for u, f in zip(unknown, df.schema.fields)])
-
-    return reduce(DataFrame.unionByName, map(guard, needed), df)
+    """The same rows, or an error when they are computed and one of the ``needed`` frames has none."""
+    counts = [n.limit(1).agg(F.count(F.lit(1)).alias("rows")) for n in needed]
+    return reduce(lambda d, c: stop_if(d, c, F.col("rows") == 0, F.lit(EMPTY)), counts, df)
 
 
 def slice_vs_network(flights: DataFrame, enriched: DataFrame, chosen: Slice) -> DataFrame:

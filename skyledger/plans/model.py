@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.session import fresh_path
+
 CENTS = T.DecimalType(18, 2)
 
 # Fixed table layouts: (name, type, nullable).
@@ -107,21 +110,97 @@ def sales_of_rows(clean_rows: DataFrame, *more: str) -> DataFrame:
     return clean_rows.where(F.col("flight_id").isNotNull()).select(*[F.col(c).cast(types[c]).alias(c) for c in names])
 
 
-def write_model(flights: DataFrame, bookings: DataFrame, folder: str) -> None:
-    """Replace both tables. Flights are laid out by month for partition pruning.
+SLOTS = ("a", "b")
+RELEASES = "release long, slot string, flights long, bookings long"
+
+
+def _releases(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(RELEASES).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/releases")
+
 
-    The rebalance hint evens out file sizes: a month that holds most rows is
-    split over many tasks, small months share one.
+def current_release(spark: SparkSession, folder: str) -> tuple[int, str] | None:
+    """(number, slot) of the model that readers see; None before the first one."""
+    try:
+        last = _releases(spark, folder).agg(F.max(F.struct("release", "slot")).alias("last")).first().last
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return (last.release, last.slot) if last else None
+
+
+def _slot(spark: SparkSession, folder: str, slot: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables with declared types; ``month`` stays text although it is a folder name."""
+    path = f"{folder}/{slot}"
+    flights = spark.read.schema(schema(FLIGHT_LAYOUT)).parquet(f"{path}/flights").select(*FLIGHT_COLUMNS)
+    return flights, spark.read.schema(schema(BOOKING_LAYOUT)).parquet(f"{path}/bookings")
+
+
+def write_candidate(flights: DataFrame, bookings: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Write both tables beside the current model, which readers go on to see; they are read from where they lie.
+
+    Two slots take turns, so nothing has to be deleted. Flights are laid out by month for partition pruning. The
+    rebalance hint evens out file sizes: a month that holds most rows is split over many tasks, small months share one.
     """
-    flights.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(f"{folder}/flights")
-    bookings.hint("rebalance").write.mode("overwrite").parquet(f"{folder}/bookings")
+    spark = flights.sparkSession
+    path = f"{folder}/{_free_slot(spark, folder)}"
+    flights.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(f"{path}/flights")
+    bookings.hint("rebalance").write.mode("overwrite").parquet(f"{path}/bookings")
+    return _slot(spark, folder, _free_slot(spark, folder))
+
+
+def _free_slot(spark: SparkSession, folder: str) -> str:
+    now = current_release(spark, folder)
+    return SLOTS[0] if now is None or now[1] == SLOTS[1] else SLOTS[1]
+
+
+def release(spark: SparkSession, folder: str) -> int:
+    """Make the written candidate the model: one appended row, written whole or not at all."""
+    now, slot = current_release(spark, folder), _free_slot(spark, folder)
+    number = now[0] + 1 if now else 1
+    flights, bookings = _slot(spark, folder, slot)
+    row = spark.createDataFrame([(number, slot, flights.count(), bookings.count())], RELEASES)
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/releases")
+    return number
+
+
+def write_model(flights: DataFrame, bookings: DataFrame, folder: str) -> int:
+    """Replace the stored model at once: the number of its release."""
+    write_candidate(flights, bookings, folder)
+    return release(flights.sparkSession, folder)
 
 
 def read_model(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Both tables with declared types; ``month`` stays text although it is a folder name."""
-    flights = spark.read.schema(schema(FLIGHT_LAYOUT)).parquet(f"{folder}/flights").select(*FLIGHT_COLUMNS)
-    bookings = spark.read.schema(schema(BOOKING_LAYOUT)).parquet(f"{folder}/bookings")
-    return flights, bookings
+    """Both tables of the current release.
+
+    Frames read before a release stay whole until the second release after it overwrites their slot.
+    """
+    now = current_release(spark, folder)
+    if now is None:
+        raise FileNotFoundError(f"no model has been released in {folder}")
+    return _slot(spark, folder, now[1])
+
+
+# Rows of a bucket at most, where the number of buckets is not given.
+BUCKET_ROWS = 5_000_000
+
+
+def co_located(flights: DataFrame, bookings: DataFrame, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both tables stored in the same buckets of ``flight_id``, sorted in each: they join without a shuffle.
+
+    A flight has one row and a booking for each cabin, so buckets are even. Each table is shuffled once, when it is
+    written; bookings without a flight id lie together in one bucket and join nothing.
+    """
+    spark = flights.sparkSession
+    buckets = buckets or max(1, bookings.count() // BUCKET_ROWS + 1)
+    stored = []
+    for df, kind in ((flights, "flights"), (bookings, "bookings")):
+        path = fresh_path(spark, kind)
+        name = f"{kind}_{path.rsplit('-', 1)[1]}"
+        writer = df.repartition(buckets, "flight_id").write.format("parquet").option("path", path)
+        writer.bucketBy(buckets, "flight_id").sortBy("flight_id").saveAsTable(name)
+        stored.append(spark.table(name).select(*df.columns))
+    return tuple(stored)
 
 
 def cached(*tables: DataFrame) -> tuple[DataFrame, ...]:

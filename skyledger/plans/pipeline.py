@@ -13,7 +13,7 @@ from skyledger.plans import kpis, metrics, model, quality, reports
 from skyledger.plans.cleaning import Cleaned, clean
 from skyledger.session import overlapping, stage, stage_all
 from skyledger.sources import outputs
-from skyledger.sources.feed import read_feed
+from skyledger.sources.feed import MALFORMED, malformed, read_feed
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ def run_sql(spark: SparkSession, sql: str, params: dict | None = None, **tables:
 
 
 def checked(rows: DataFrame) -> DataFrame:
-    """The same rows, or an error that names every broken assumption."""
+    """The same rows, or an error at once that names every broken assumption."""
     quality.raise_if_any(quality.all_checks(rows))
     return rows
 
@@ -42,19 +42,26 @@ def run(spark: SparkSession, raw_path: str, folder: str, strict: bool = True, **
     """Read a raw CSV, write every output below ``folder``.
 
     Checks of the clean rows, the constraints of the stored tables and the reconciliation always run and are
-    written to ``checks``; ``strict`` stops at what they find.
+    written to ``checks``; ``strict`` stops at what they find. The model is written beside the one that is there and
+    takes its place when the constraints hold, so a run that stops leaves the old model to its readers.
 
     Large tables are written once each: prepared rows, clean rows and the two model
     tables. Sales, which four KPI queries and the panels share, are columns of the clean
     rows if the rows of each flight agree; only if some don't are bookings and flights joined.
     """
-    cleaned = clean(read_feed(spark, raw_path))
-    rows = stage(cleaned.rows, "clean")
-    checks = stage(quality.all_checks(rows).withColumn("stage", F.lit("clean")), "checks")
+    raw, seen = read_feed(spark, raw_path, strict=strict), None
+    if not strict:
+        raw, seen = malformed(raw)
+    cleaned = clean(raw)
+    rows, found = quality.written_with_checks(cleaned.rows, "clean")
+    found = found.withColumn("stage", F.lit("clean"))
+    if seen:
+        lines = [(i, f"{kind}_rows", int(seen.get[f"{kind}_rows"]), "feed") for i, kind in enumerate(MALFORMED, 1)]
+        found = found.unionByName(spark.createDataFrame(lines, found.schema))
+    checks = stage(found, "checks")
     if strict:
         quality.raise_if_any(checks)
-    model.write_model(model.split_flights(rows), model.split_bookings(rows), f"{folder}/model")
-    flights, bookings = model.read_model(spark, f"{folder}/model")
+    flights, bookings = model.write_candidate(model.split_flights(rows), model.split_bookings(rows), f"{folder}/model")
     stored = {
         "not_null": quality.flight_constraints(flights),
         "keys": quality.keys_as_checks(quality.primary_key_violations(flights, bookings)),
@@ -63,6 +70,7 @@ def run(spark: SparkSession, raw_path: str, folder: str, strict: bool = True, **
     if strict:
         for found in constraints.values():
             quality.raise_if_any(found)
+    model.release(spark, f"{folder}/model")
     if checks.where("metric = 'inconsistent_flights' AND value > 0").isEmpty():
         sales = model.sales_of_rows(rows, "is_cancelled")
     else:

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyledger import constants as K
+from skyledger.operators.guards import stop_if
 from skyledger.operators.rows import metric_rows, side_by_side
 from skyledger.plans.model import NOT_NULL_FLIGHT
+from skyledger.session import stage
 
 SHARED_ATTRIBUTES = ("airline", "origin", "destination", "is_cancelled", "delay_minutes")
 
 
+BROKEN = "clean rows break"
+
+
 class DataQualityError(ValueError):
     """Clean data breaks an assumption of the analysis."""
 
@@ -38,8 +43,7 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
 
 
 def unknown_cabins(rows: DataFrame) -> DataFrame:
-    known = F.coalesce(F.col("cabin_class").isin(*K.CABINS), F.lit(False))
-    return rows.agg(F.count_if(~known).alias("unknown_cabins"))
+    return rows.agg(F.count_if(~_known()).alias("unknown_cabins"))
 
 
 def out_of_range(rows: DataFrame) -> DataFrame:
@@ -61,30 +65,33 @@ def cancelled_with_passengers(rows: DataFrame) -> DataFrame:
     return rows.agg(_count((F.col("is_cancelled") != 0) & ~empty).alias("cancelled_with_passengers"))
 
 
-def _varies(low: Column, high: Column, present: Column, rows: Column) -> Column:
-    """More than one value, null counted as one: the ends differ or only some rows have it."""
-    return F.coalesce(low != high, F.lit(False)) | ((present > 0) & (present < rows))
+def _fingerprints(*columns: str) -> list[Column]:
+    """Two independent 64-bit hashes of values, in which null is a value of its own."""
+    marked = [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit("first"), *marked), F.xxhash64(F.lit("second"), *marked)]
+
+
+def _ends(name: str, *columns: str) -> list[Column]:
+    """Least and greatest of both fingerprints: numbers of fixed width, which a hash aggregate can hold."""
+    return [f(h).alias(f"{name}_{end}_{i}") for i, h in enumerate(_fingerprints(*columns)) for end, f in (("low", F.min), ("high", F.max))]
+
+
+def _differ(name: str) -> Column:
+    """Rows that differ would have to agree by chance in both fingerprints to be missed."""
+    return reduce(lambda a, b: a | b, [F.col(f"{name}_low_{i}") != F.col(f"{name}_high_{i}") for i in (0, 1)])
 
 
 def inconsistent_flights(rows: DataFrame) -> DataFrame:
     """Flights whose attributes differ between their rows, counted per attribute.
 
-    Least, greatest and count of each attribute decide it, so nothing distinct is gathered.
+    Fingerprints decide it, so nothing distinct is gathered and no text is compared or sorted.
     """
     per_flight = (
         rows.where(F.col("flight_id").isNotNull())
         .groupBy("flight_id")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[
-                f(c).alias(f"{c}_{name}")
-                for c in SHARED_ATTRIBUTES
-                for name, f in (("low", F.min), ("high", F.max), ("n", F.count))
-            ],
-        )
+        .agg(*[end for c in SHARED_ATTRIBUTES for end in _ends(c, c)])
     )
-    varies = lambda c: _varies(F.col(f"{c}_low"), F.col(f"{c}_high"), F.col(f"{c}_n"), F.col("rows"))
-    counts = per_flight.agg(*[F.count_if(varies(c)).alias(c) for c in SHARED_ATTRIBUTES])
+    counts = per_flight.agg(*[F.count_if(_differ(c)).alias(c) for c in SHARED_ATTRIBUTES])
     return metric_rows(counts, SHARED_ATTRIBUTES, "bigint")
 
 
@@ -99,40 +106,81 @@ ALL_CHECKS = (
 )
 
 
-def all_checks(rows: DataFrame) -> DataFrame:
-    """Every check in one result, (position, metric = check, value = violations).
+def _known() -> Column:
+    return F.coalesce(F.col("cabin_class").isin(*K.CABINS), F.lit(False))
 
-    One aggregate by (flight, cabin) with counters only, which hashes, and one
-    by flight for the attributes; both are combined on the map side.
-    """
+
+def row_counters() -> dict[str, Column]:
+    """The checks that a row breaks by itself, as counters over any rows."""
     nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in K.REQUIRED_COLUMNS])
     out = ~F.coalesce(F.col("passengers") >= 0, F.lit(False)) | ~F.coalesce(F.col("ticket_price") > 0, F.lit(False))
     sold = ~F.coalesce(F.col("passengers") == 0, F.lit(False))
-    counted = {
-        "required_nulls": F.sum(nulls),
+    return {
+        "required_nulls": F.coalesce(F.sum(nulls), F.lit(0)),
+        "unknown_cabins": F.count_if(~_known()),
         "out_of_range": F.count_if(out),
         "operated_without_delay": _count((F.col("is_cancelled") == 0) & F.col("delay_minutes").isNull()),
         "cancelled_with_passengers": _count((F.col("is_cancelled") != 0) & sold),
     }
-    per_cabin = rows.groupBy("flight_id", "cabin_class").agg(
-        F.count(F.lit(1)).alias("rows"), *[value.alias(name) for name, value in counted.items()]
-    )
-    known = F.coalesce(F.col("cabin_class").isin(*K.CABINS), F.lit(False))
+
+
+def _by_flight(rows: DataFrame, **more: Column) -> DataFrame:
+    """One row: repeated keys and inconsistent flights, with what else is counted on the way.
+
+    One aggregate by flight, of counters and fingerprints only, which hashes. The known cabins are counted side by
+    side in it; rows of other cabins, mostly none, are grouped by themselves.
+    """
+    per_cabin = [F.count_if(F.col("cabin_class") == cabin).alias(f"cabin_{i}") for i, cabin in enumerate(K.CABINS)]
+    per_flight = rows.groupBy("flight_id").agg(*per_cabin, *_ends("all", *SHARED_ATTRIBUTES), *[c.alias(n) for n, c in more.items()])
+    repeated = [F.count_if(F.col(f"cabin_{i}") > 1) for i in range(len(K.CABINS))]
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    by_row = per_cabin.agg(
-        F.count_if(F.col("rows") > 1).alias("duplicate_keys"),
-        total(F.when(known, 0).otherwise(F.col("rows"))).alias("unknown_cabins"),
-        *[total(name).alias(name) for name in counted],
+    one = per_flight.agg(
+        reduce(lambda a, b: a + b, repeated).alias("repeated_known"),
+        F.count_if(F.col("flight_id").isNotNull() & _differ("all")).alias("inconsistent_flights"),
+        *[total(n).alias(n) for n in more],
     )
-    # Struct comparison counts null as a value, so unequal ends mean a difference.
-    shared = F.struct(*SHARED_ATTRIBUTES)
-    by_flight = (
-        rows.where(F.col("flight_id").isNotNull())
-        .groupBy("flight_id")
-        .agg(F.min(shared).alias("low"), F.max(shared).alias("high"))
-        .agg(F.count_if(~F.col("low").eqNullSafe(F.col("high"))).alias("inconsistent_flights"))
+    other = duplicate_keys(rows.where(~_known())).agg(F.count(F.lit(1)).alias("repeated_other"))
+    return side_by_side(one, other).withColumn("duplicate_keys", F.col("repeated_known") + F.col("repeated_other"))
+
+
+def all_checks(rows: DataFrame) -> DataFrame:
+    """Every check in one result, (position, metric = check, value = violations)."""
+    return metric_rows(_by_flight(rows, **row_counters()), ALL_CHECKS, "bigint")
+
+
+def written_with_checks(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Write the rows and count what they break on the way; (stored rows, checks as ``all_checks`` gives them).
+
+    The counters are observed in the tasks that write, above all shuffles, and Spark takes them from the one attempt
+    of a task that it accepts: tasks that fail or run twice don't count twice. Only repeated keys and inconsistent
+    flights need rows to meet; they read the few columns they need of the stored rows.
+    """
+    seen = Observation(f"{label}_checks")
+    stored = stage(rows.observe(seen, *[c.alias(n) for n, c in row_counters().items()]), label)
+    counted = {name: int(seen.get.get(name) or 0) for name in row_counters()}
+    found = _by_flight(stored).withColumns({name: F.lit(value) for name, value in counted.items()})
+    return stored, metric_rows(found, ALL_CHECKS, "bigint")
+
+
+def guarded(rows: DataFrame) -> DataFrame:
+    """The same rows, or an error when they are computed that names a check they break; no action of its own.
+
+    A row that breaks a check by itself stops its task at once; the checks between rows are a guard in the plan.
+    """
+    sold = ~F.coalesce(F.col("passengers") == 0, F.lit(False))
+    in_range = F.coalesce(F.col("passengers") >= 0, F.lit(False)) & F.coalesce(F.col("ticket_price") > 0, F.lit(False))
+    broken = (
+        F.when(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in K.REQUIRED_COLUMNS]), "required_nulls")
+        .when(~_known(), "unknown_cabins")
+        .when(~in_range, "out_of_range")
+        .when((F.col("is_cancelled") == 0) & F.col("delay_minutes").isNull(), "operated_without_delay")
+        .when((F.col("is_cancelled") != 0) & sold, "cancelled_with_passengers")
     )
-    return metric_rows(side_by_side(by_row, by_flight), ALL_CHECKS, "bigint")
+    error = F.raise_error(F.concat(F.lit(f"{BROKEN}: "), broken)).cast("boolean")
+    alone = rows.where(F.when(broken.isNotNull(), error).otherwise(F.lit(True)))
+    both = ("duplicate_keys", "inconsistent_flights")
+    names = F.concat_ws(", ", *[F.when(F.col(c) > 0, F.lit(c)) for c in both])
+    return stop_if(alone, _by_flight(rows), names != "", F.concat(F.lit(f"{BROKEN}: "), names))
 
 
 def keys_as_checks(violations: DataFrame) -> DataFrame:

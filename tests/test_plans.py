@@ -7,7 +7,8 @@ import pytest
 from skyledger.catalog import QUERIES
 from skyledger.plans import cleaning
 from skyledger.session import stage
-from skyledger.sources import bridge
+from skyledger.sources import bridge, outputs
+from skyledger.sources.feed import read_feed, rename
 
 SF = "/root/testdata/sf0.001"
 # Queries that write and read back are covered by their oracles.
@@ -67,7 +68,33 @@ def test_bulk_of_the_rows_is_imputed_without_a_shuffle(spark):
 
 def test_dedup_combines_on_the_map_side(spark):
     text = plan(cleaning.prepare(bridge.dirty_feed(spark, SF)))
-    assert "partial_min_by" in text and "partial_min(src_row" in text
+    assert "partial_min(src_row" in text and "partial_sum(copies" in text
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_csv_path_has_no_sort_aggregate(spark, tmp_path):
+    outputs.write_csv(bridge.dirty_feed(spark, SF).drop("src_row"), str(tmp_path / "raw"))
+    raw = read_feed(spark, str(tmp_path / "raw"))
+    assert dict(raw.dtypes)["src_row"] == "bigint"
+    for df in (cleaning.prepare(raw), cleaning.drop_exact_copies(raw.transform(rename).transform(cleaning.strip_text))):
+        assert "SortAggregate" not in plan(df) and "ObjectHashAggregate" not in plan(df)
+
+
+@pytest.mark.parametrize("name", ["check_all", "check_all_while_writing", "check_consistent_attrs"])
+def test_checks_hash(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_tables_in_buckets_join_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for name in ("check_orphans_in_buckets", "src_bookings_enriched_in_buckets"):
+            text = plan(QUERIES[name](spark, SF))
+            assert "SortMergeJoin" in text and "Exchange" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_columns_reach_the_staged_scan(spark):
