@@ -7,14 +7,16 @@ distribution. Counts come from all learnt texts, as sums of what each piece of t
 from the distinct n-grams above, so text is gone through once.
 
 A model is stored per order as two sorted arrays of hashes: n-grams with their discounted probability, contexts with
-their back-off weight. Hashes have ``hash_bits`` bits, which bounds a model's size whatever the input; of n-grams
-with one hash the most probable stays. The language with the lowest cross-entropy per character wins. A text shorter
-than ``order`` is judged by the lower orders, each character after the first given those before it.
+their back-off weight. Hashes have 64 bits, so a model holds every n-gram that was seen and grows with the input.
+The language with the lowest cross-entropy per character wins. A text shorter than ``order`` is judged by the lower
+orders, each character after the first given those before it.
 
-Rejection: a first model counts all learnt documents but one in ``calibration``. On those, the gap in cross-entropy between the best two languages, times
-the root of the length, is fitted to whether the best is right (a logistic curve, from counts in fixed bins). The
-curve's value is the score; below ``reject`` the answer is marked as not accepted. The model that is returned counts
-all learnt documents. Documents of a language that the first model lacks don't take part in the fit.
+Rejection: a first model counts all learnt documents but one in ``calibration``. On those, the gap in cross-entropy
+between the best two languages, times the root of the length, is fitted to whether the best is right (a logistic
+curve, from counts in fixed bins). The curve's value is the score; below ``reject`` the answer is marked as not
+accepted. The model that is returned counts all learnt documents. Documents of a language that the first model lacks
+don't take part in the fit. Both models come from one pass over the texts and one table for each order, written
+before the next order reads it; what goes to the driver are numbers: hashes, values and indexes of languages.
 
 Null texts and texts without letters are ``und`` with score 0. Null languages or ids are not learnt from. Without a
 learnt language all texts are ``und``; with only one the score of texts with letters is the curve's at a gap of 0.
@@ -42,7 +44,7 @@ BINS, WIDEST = 400, 40.0
 @dataclass(frozen=True)
 class Setting:
     order: int = 4
-    hash_bits: int = 22
+    hash_bits: int = 64
     calibration: int = 16  # one in so many learnt documents calibrates
     reject: float = 0.5
 
@@ -89,55 +91,68 @@ def pieces(texts: list[str | None], order: int) -> Iterator[tuple[np.ndarray, np
 
 
 def gram_counts(docs: DataFrame, conf: Setting) -> DataFrame:
-    """(lang, gram, n): n-grams of the top order over all rows of (text, lang)."""
+    """(lang, gram, n, n_first): n-grams of the top order over all rows of (text, lang, first), and over the first ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, langs = pd.factorize(np.array(batch.column("lang").to_pylist(), dtype=object))[::-1]
+            first = batch.column("first").to_numpy(zero_copy_only=False)
             for row, codes in pieces(batch.column("text").to_pylist(), conf.order):
                 at = np.flatnonzero(row >= 0)
                 keys, distinct = pd.factorize(_grams(codes, conf.order)[at])
-                both, n = np.unique(keys * len(names) + langs[row[at]], return_counts=True)
+                both, place, n = np.unique(keys * len(names) + langs[row[at]], return_inverse=True, return_counts=True)
+                n_first = np.bincount(place, first[row[at]], minlength=len(both)).astype(np.int64)
                 some = np.zeros(len(distinct), np.int64)
                 some[keys] = at
                 text = [codes[a : a + conf.order].tobytes().decode("utf-32-le") for a in some]
                 gram, lang = both // len(names), both % len(names)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in lang], pa.string()), pa.array([text[g] for g in gram], pa.string()), pa.array(n)],
-                    ["lang", "gram", "n"],
+                    [
+                        pa.array([names[i] for i in lang], pa.string()),
+                        pa.array([text[g] for g in gram], pa.string()),
+                        pa.array(n),
+                        pa.array(n_first),
+                    ],
+                    ["lang", "gram", "n", "n_first"],
                 )
 
     text = letters_only(F.col("text"))
-    rows = docs.select(text.alias("text"), F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL")
-    return rows.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = docs.select(text.alias("text"), F.col("lang").cast("string").alias("lang"), "first").where("text IS NOT NULL")
+    found = rows.mapInArrow(run, "lang string, gram string, n long, n_first long")
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("n_first").alias("n_first"))
 
 
-def levels(counts: DataFrame, order: int) -> DataFrame:
-    """(lang, size, kind, gram, value): discounted probabilities (p) of n-grams, back-off weights (b) of contexts."""
-    found, now = [], counts
+FINAL, FIRST = 0, 1
+
+
+def levels(grams: DataFrame, order: int) -> list[DataFrame]:
+    """(model, lang, size, is_context, gram, value) by size: discounted probabilities of n-grams, weights of contexts.
+
+    Each order's counts and values are written before the next order reads them.
+    """
+    tagged = [F.struct(F.lit(FINAL).alias("model"), F.col("n")), F.struct(F.lit(FIRST).alias("model"), F.col("n_first").alias("n"))]
+    now = grams.select("lang", "gram", F.inline(F.array(*tagged))).where("n > 0")
+    found = []
     for size in range(order, 0, -1):
-        stats = now.groupBy("lang").agg(
+        stats = now.groupBy("model", "lang").agg(
             F.count(F.when(F.col("n") == 1, 1)).alias("once"), F.count(F.when(F.col("n") == 2, 1)).alias("twice")
         )
         discount = (F.col("once") + 0.5) / (F.col("once") + 2 * F.col("twice") + 1)
-        stats = stats.select("lang", discount.alias("d"))
-        contexts = now.groupBy("lang", F.substring("gram", 1, size - 1).alias("context")).agg(
-            F.sum("n").alias("total"), F.count("*").alias("kinds")
-        )
-        weighed = contexts.join(F.broadcast(stats), "lang")
-        p = now.withColumn("context", F.substring("gram", 1, size - 1)).join(weighed, ["lang", "context"])
+        stats = stats.select("model", "lang", discount.alias("d"))
+        context = F.substring("gram", 1, size - 1).alias("context")
+        contexts = now.groupBy("model", "lang", context).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        weighed = stage(contexts.join(stats, ["model", "lang"]), "contexts")
+        p = now.withColumn("context", context).join(weighed, ["model", "lang", "context"])
         value = (F.col("n") - F.col("d")) / F.col("total")
-        found.append(p.select("lang", F.lit(size).alias("size"), F.lit("p").alias("kind"), "gram", value.alias("value")))
         back = F.col("d") * F.col("kinds") / F.col("total")
-        found.append(
-            weighed.select("lang", F.lit(size).alias("size"), F.lit("b").alias("kind"), F.col("context").alias("gram"), back.alias("value"))
-        )
+        one = lambda is_context, gram, v: ("model", "lang", F.lit(is_context).alias("is_context"), gram, v.alias("value"))
+        both = p.select(*one(False, "gram", value)).union(weighed.select(*one(True, F.col("context").alias("gram"), back)))
+        found.append(stage(both, "level").withColumn("size", F.lit(size)))
         # How many different characters go before each shorter n-gram.
-        now = now.groupBy("lang", F.substring("gram", 2, size - 1).alias("gram")).agg(F.count("*").alias("n"))
-    out = found[0]
-    for df in found[1:]:
-        out = out.union(df)
-    return out
+        if size > 1:
+            fewer = now.groupBy("model", "lang", F.substring("gram", 2, size - 1).alias("gram")).agg(F.count("*").alias("n"))
+            now = stage(fewer, "grams")
+    return found
 
 
 @dataclass
@@ -217,62 +232,70 @@ def _hash_rows(codes: np.ndarray, bits: int) -> np.ndarray:
     out = np.zeros(len(codes), np.uint64)
     for j in range(codes.shape[1]):
         out = (out + codes[:, j].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return (W.mix(out) >> np.uint64(64 - bits)).astype(np.uint32)
+    return W.mix(out) >> np.uint64(64 - bits)
 
 
-def hashed(table: DataFrame, bits: int) -> DataFrame:
-    """(lang, size, kind, key, value): the largest value for each hash, so 2**bits rows at most for each list."""
+def _numbers(table: DataFrame, languages: list[str], bits: int) -> pa.Table:
+    """(model, lang, is_context, key, value) of one size, all of them numbers."""
+    place = {name: i for i, name in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("gram").to_pylist()
-            length = np.array([len(t) for t in texts])
-            key = np.zeros(len(texts), np.int64)
-            for n in np.unique(length):
-                at = np.flatnonzero(length == n)
-                codes = np.frombuffer("".join(texts[i] for i in at).encode("utf-32-le"), np.uint32)
-                key[at] = _hash_rows(codes.reshape(len(at), n), bits)
+            n = len(texts[0]) if texts else 0
+            codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(len(texts), n)
+            lang = [place[name] for name in batch.column("lang").to_pylist()]
+            key = _hash_rows(codes, bits).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(["lang", "size", "kind"]).columns, pa.array(key), batch.column("value")],
-                ["lang", "size", "kind", "key", "value"],
+                [batch.column("model"), pa.array(lang, pa.int32()), batch.column("is_context"), pa.array(key), batch.column("value")],
+                ["model", "lang", "is_context", "key", "value"],
             )
 
-    rows = table.mapInArrow(run, "lang string, size int, kind string, key long, value double")
-    return rows.groupBy("lang", "size", "kind", "key").agg(F.max("value").alias("value"))
+    rows = table.select("model", "lang", "is_context", "gram", "value")
+    # N-grams and contexts differ in length, so each batch is of one kind.
+    kinds = [rows.where("NOT is_context"), rows.where("is_context")]
+    schema = "model int, lang int, is_context boolean, key long, value double"
+    return pa.concat_tables([kind.mapInArrow(run, schema).toArrow() for kind in kinds])
 
 
 def learn(docs: DataFrame, conf: Setting = Setting()) -> Model:
     """A model of every non-null language of (doc_id, text, lang)."""
     learnt = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL")
     kept = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(conf.calibration)) == 0
-    most = stage(gram_counts(learnt.where(~kept), conf), "grams")
-    rest = stage(gram_counts(learnt.where(kept), conf), "grams")
-    model = _fitted(most.union(rest).groupBy("lang", "gram").agg(F.sum("n").alias("n")), conf)
-    first = _fitted(most, conf)
+    grams = stage(gram_counts(learnt.withColumn("first", (~kept).cast("int")), conf), "grams")
+    model, first = _fitted(grams, conf)
     if len(first.languages) > 1:
         model.curve = _calibrated(learnt.where(kept & F.col("lang").cast("string").isin(first.languages)), first)
     return model
 
 
-def _fitted(counts: DataFrame, conf: Setting) -> Model:
-    """The model of (lang, gram, n), without a curve."""
-    # Bounded by the hashes: 2**hash_bits rows at most for each language, size and kind.
-    table = hashed(levels(counts, conf.order), conf.hash_bits).toArrow().to_pandas()
-    table = table.sort_values(["lang", "kind", "size", "key"])
-    languages = sorted(table["lang"].unique())
-    letters = max(int(table[table["size"].eq(1) & table["kind"].eq("p")]["key"].nunique()), 1) + 1
-    parts = {key: part for key, part in table.groupby(["lang", "kind", "size"])}
-
-    def arrays(lang: str, kind: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-        part = parts.get((lang, kind, size))
-        if part is None:
-            return np.zeros(0, np.uint32), np.zeros(0)
-        return part["key"].to_numpy().astype(np.uint32), part["value"].to_numpy()
-
-    grams, contexts = (
-        [[arrays(lang, kind, size) for size in range(1, conf.order + 1)] for lang in languages] for kind in "pb"
-    )
-    return Model(languages, conf.order, conf.hash_bits, grams, contexts, letters, reject=conf.reject)
+def _fitted(grams: DataFrame, conf: Setting) -> tuple[Model, Model]:
+    """The final and the first model of (lang, gram, n, n_first), without a curve."""
+    seen = grams.groupBy("lang").agg(F.sum("n_first").alias("first")).orderBy("lang").collect()
+    languages = [r.lang for r in seen]
+    empty = lambda: [[(np.zeros(0, np.uint64), np.zeros(0))] * conf.order for _ in languages]
+    grams_of, contexts_of = [empty(), empty()], [empty(), empty()]
+    letters = [1, 1]
+    for table, size in zip(levels(grams, conf.order), range(conf.order, 0, -1)):
+        found = _numbers(table, languages, conf.hash_bits)
+        model, lang, is_context, key, value = (c.to_numpy() for c in found.columns)
+        key = key.view(np.uint64)
+        order = np.lexsort((key, is_context, lang, model))
+        group = ((model * len(languages) + lang) * 2 + is_context)[order]
+        cuts = np.searchsorted(group, np.arange(4 * len(languages) + 1))
+        for m in (FINAL, FIRST):
+            for k in range(len(languages)):
+                for kind, tables in enumerate((grams_of, contexts_of)):
+                    at = order[slice(*cuts[2 * (m * len(languages) + k) + kind :][:2])]
+                    tables[m][k][size - 1] = key[at], value[at]
+            if size == 1:
+                letters[m] = max(len(np.unique(key[(model == m) & ~is_context])), 1) + 1
+    first = [k for k, r in enumerate(seen) if r.first]
+    return tuple(
+        Model([languages[k] for k in of], conf.order, conf.hash_bits, [grams_of[m][k] for k in of], [contexts_of[m][k] for k in of],
+              letters[m], reject=conf.reject)
+        for m, of in ((FINAL, range(len(languages))), (FIRST, first))
+    )
 
 
 def _calibrated(docs: DataFrame, model: Model) -> tuple[float, float]:
