@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import words as W
 from skyledger.llm.components import components
-from skyledger.llm.tables import drop_ids, keep_ids
+from skyledger.llm.tables import drop_ids, keep_ids, rows_per_batch
 from skyledger.session import stage
 
 # Summed list lengths from which a prefix grows by one more match, for l = 2, 3 and 4.
@@ -52,6 +52,8 @@ MOST_MATCHES = len(COSTS) + 1
 # The listed part of the hash range, as a multiple of 1 - t.
 LISTED = 1.5
 PARITIES = ("p0", "p1", "p2", "p3")
+# Rows in a batch for the workers, which hold two whole texts of a pair.
+BATCH = 500
 
 
 @dataclass(frozen=True)
@@ -257,6 +259,11 @@ def _repeated(ids: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """(doc_id, n_shingles, component_id): the documents and the smallest doc_id each is linked with, by any path."""
+    with rows_per_batch(docs.sparkSession, BATCH):
+        return _joined(docs, like)
+
+
+def _joined(docs: DataFrame, like: Similarity) -> DataFrame:
     sets = stage(signatures(docs, like), "sets")
     real = sets.where("n > 0 AND doc_id IS NOT NULL")
     marks = [F.min(p).alias(p) for p in PARITIES]
