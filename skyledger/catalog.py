@@ -613,7 +613,15 @@ for _name, _query in {
 
 
 def _insight(build, *names: str, drop: tuple[str, ...] = ()) -> Query:
-    return lambda spark, sf: build(*[_result(spark, sf, n) for n in names]).drop(*drop)
+    """A finding from named results; where it takes several, their flights are built once and written."""
+
+    def found(spark, sf):
+        if len(names) == 1:
+            return build(_result(spark, sf, *names)).drop(*drop)
+        flights = stage(bridge.flights(spark, sf), "flights")
+        return build(*[kpis.KPI_QUERIES[n](flights, None) for n in names]).drop(*drop)
+
+    return found
 
 
 for _name, _query in {
@@ -658,6 +666,20 @@ def calendar_spine(spark, sf):
     return geo.airline_calendar(bridge.flights(spark, sf))
 
 
+@register()
+def calendar_of_period(spark, sf):
+    """The calendar of a given period, in which a flight of a wrong year has no part."""
+    flights = bridge.flights(spark, sf)
+    wrong = flights.where("month = '1996-02'").withColumn("flight_date", F.lit("9025-01-01").cast("date"))
+    return geo.airline_calendar(flights.unionByName(wrong), "1995-06-01", "1997-05-31")
+
+
+@register()
+def check_calendar_dates(spark, sf):
+    """Flights outside of a period, by airline, as they would be missing in its calendar."""
+    return geo.outside_period(bridge.flights(spark, sf), "1995-06-01", "1997-05-31")
+
+
 @register()
 def cabin_fanout(spark, sf):
     flights = bridge.flights(spark, sf)

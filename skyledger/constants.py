@@ -87,3 +87,7 @@ REQUIRED_COLUMNS = (
 
 # Fixed value: the first line of the insights text.
 INSIGHTS_HEADING = "# Key Insights"
+
+# Dates of flights that are believed where no period is given.
+FIRST_PLAUSIBLE_DATE = "1970-01-01"
+LAST_PLAUSIBLE_DATE = "2099-12-31"

@@ -889,6 +889,18 @@ on_model(
              FROM flights GROUP BY airline) s
        LEFT JOIN flights f ON f.airline = s.airline AND f.flight_date = s.day GROUP BY s.airline, s.day""",
 )
+on_model(
+    "calendar_of_period",
+    """SELECT s.airline, strftime(s.day, '%Y-%m-%d') AS flight_date, count(f.flight_id) AS flights
+       FROM (SELECT airline, CAST(unnest(generate_series(min(flight_date), max(flight_date), INTERVAL 1 DAY)) AS DATE) AS day
+             FROM flights WHERE flight_date BETWEEN '1995-06-01' AND '1997-05-31' GROUP BY airline) s
+       LEFT JOIN flights f ON f.airline = s.airline AND f.flight_date = s.day GROUP BY s.airline, s.day""",
+)
+on_model(
+    "check_calendar_dates",
+    """SELECT airline, count(*) AS flights FROM flights
+       WHERE flight_date IS NULL OR flight_date NOT BETWEEN '1995-06-01' AND '1997-05-31' GROUP BY airline""",
+)
 on_model(
     "cabin_fanout",
     """SELECT flight_id, aircraft, cabin_class, seats FROM flights

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from skyledger import constants as K
 from skyledger.functions import text as X
 from skyledger.functions.numeric import floored_at_zero, half_even, to_number
+from skyledger.operators.joins import spread_left_join
 from skyledger.operators.medians import grouped_median
 from skyledger.operators.rows import metric_rows, side_by_side
 from skyledger.session import stage
@@ -260,14 +261,22 @@ def typical_values(settled: DataFrame, measures: tuple[str, ...] = MEASURES) ->
     return grouped_median(long, ["measure", *KEY_SLOTS], "value", "typical")
 
 
-def fill(gaps: DataFrame, medians: DataFrame, measure: str) -> DataFrame:
-    """Put the group's median into the gaps of one measure; passengers are whole."""
+# Medians that Spark may broadcast by their size; beyond these a hot route would meet them in one task.
+FEW_MEDIANS = 200_000
+
+
+def fill(gaps: DataFrame, medians: DataFrame, measure: str, spread: bool = False) -> DataFrame:
+    """Put the group's median into the gaps of one measure; passengers are whole.
+
+    ``spread`` deals the gaps of frequent groups over many tasks.
+    """
     keys = list(MEDIAN_KEYS[measure])
     typical = half_even(F.col("typical")) if measure == "passengers" else F.col("typical")
     own = medians.where(F.col("measure") == measure).select(
         *[F.col(slot).alias(key) for slot, key in zip(KEY_SLOTS, keys)], "typical"
     )
-    return gaps.join(own, keys, "left").withColumn(measure, F.coalesce(F.col(measure), typical)).drop("typical")
+    met = spread_left_join(gaps, own, keys, "src_row") if spread else gaps.join(own, keys, "left")
+    return met.withColumn(measure, F.coalesce(F.col(measure), typical)).select(*gaps.columns)
 
 
 def finish_amounts(df: DataFrame) -> DataFrame:
@@ -279,11 +288,12 @@ def finish_amounts(df: DataFrame) -> DataFrame:
     )
 
 
-def impute(settled: DataFrame, medians: DataFrame, measures: tuple[str, ...] = MEASURES) -> DataFrame:
-    """Fill the measures; rows stored as whole bypass every join."""
+def impute(settled: DataFrame, medians: DataFrame, measures: tuple[str, ...] = MEASURES, few: int = FEW_MEDIANS) -> DataFrame:
+    """Fill the measures; rows stored as whole bypass every join, and many medians meet the gaps spread."""
+    spread = medians.count() > few
     marked = _with_month(_replace(settled, **{f"{m}_missing": F.col(m).isNull() for m in measures}))
     gaps = marked.where(F.col("state") == GAP)
-    filled = reduce(lambda df, m: fill(df, medians, m), measures, gaps)
+    filled = reduce(lambda df, m: fill(df, medians, m, spread), measures, gaps)
     return finish_amounts(marked.where(F.col("state") == WHOLE).unionByName(filled))
 
 

@@ -39,10 +39,18 @@ def expand_calendar(services: DataFrame, first: Column, last: Column) -> DataFra
     return services.withColumn("flight_date", F.explode(F.sequence(first, last)))
 
 
-def airline_calendar(flights: DataFrame) -> DataFrame:
-    """Flights of each airline on each date of its period, zero where it did not fly."""
+def _within(first: str, last: str) -> Column:
+    return F.col("flight_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
+def airline_calendar(flights: DataFrame, first: str = K.FIRST_PLAUSIBLE_DATE, last: str = K.LAST_PLAUSIBLE_DATE) -> DataFrame:
+    """Flights of each airline on each date of its period, zero where it did not fly.
+
+    Only dates from ``first`` to ``last`` count, so one wrong year does not stretch an airline's period over
+    thousands of years; ``outside_period`` counts what that leaves out.
+    """
     daily = (
-        flights.where(F.col("airline").isNotNull() & F.col("flight_date").isNotNull())
+        flights.where(F.col("airline").isNotNull() & _within(first, last))
         .groupBy("airline", "flight_date")
         .agg(F.count(F.lit(1)).alias("flights"))
     )
@@ -53,6 +61,14 @@ def airline_calendar(flights: DataFrame) -> DataFrame:
     )
 
 
+def outside_period(
+    flights: DataFrame, first: str = K.FIRST_PLAUSIBLE_DATE, last: str = K.LAST_PLAUSIBLE_DATE
+) -> DataFrame:
+    """(airline, flights) whose date is missing or not in the period."""
+    within = F.coalesce(_within(first, last), F.lit(False))
+    return flights.where(~within).groupBy("airline").agg(F.count(F.lit(1)).alias("flights"))
+
+
 def cabin_fanout(flights: DataFrame, seats: DataFrame) -> DataFrame:
     """One row per flight and cabin of its aircraft, by a table (aircraft, cabin_class, seats)."""
     return flights.select("flight_id", "aircraft").join(seats, "aircraft")

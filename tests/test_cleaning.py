@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.operators import joins
 from skyledger.plans import cleaning as C
 from skyledger.session import stage
 
@@ -234,3 +235,28 @@ def test_values_out_of_range_become_null(feed_of):
     found = {r.flight_number: r for r in rows}
     assert len(found) == 5 and found["NS0"].distance_miles is None and found["NS2"].departure_hour is None
     assert found["NS4"].revenue is None
+
+
+def test_gaps_of_a_hot_route_are_dealt_over_many_parts(spark, feed_of):
+    gaps = spark.createDataFrame([("A" if i % 3 else f"R{i}" if i % 2 else None, i) for i in range(3000)], "k string, src_row long")
+    lookup = spark.createDataFrame([("A", 1.0), ("R3", 2.0), ("none", 3.0)], "k string, v double")
+    plain = gaps.join(lookup, "k", "left")
+    for key_rows in (100, 7, 10**6):
+        spread = joins.spread_left_join(gaps, lookup, ["k"], "src_row", key_rows)
+        assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+    # No part of the hot key, which has two thirds of the rows, has more than a few times the asked rows.
+    parts = gaps.where("k = 'A'").groupBy(F.pmod(F.xxhash64("src_row"), F.lit(20))).count()
+    assert parts.agg(F.max("count")).first()[0] < 200
+    feed = noisy(feed_of)
+    cleaned = C.clean(feed)
+    spread = C.impute(cleaned.settled, cleaned.medians, few=0)
+    assert sorted(map(str, spread.collect())) == sorted(map(str, C.impute(cleaned.settled, cleaned.medians).collect()))
+
+
+def test_copies_meet_by_fingerprint_and_keep_their_counts(spark, feed_of):
+    """Null and empty, and values that move between columns, are different rows."""
+    rows = [{"Aircraft": "A320", "Airline": "B"}, {"Aircraft": "A320", "Airline": "B"}, {"Aircraft": "B", "Airline": "A320"}]
+    feed = feed_of(*rows, *rows, {"Date": "soon"}, {"Date": "soon"}, {"Date": "later"}, {"Date": ""}).repartition(3)
+    kept = C.keep_first(feed.transform(C.rename).transform(C.strip_text))
+    found = sorted((r.src_row, r.raw_rows, r.distinct_rows) for r in kept.collect())
+    assert found == [(0, 6, 2), (6, 2, 1), (8, 1, 1), (9, 1, 1)]
