@@ -12,8 +12,10 @@ sum in its subtree, until it lies in a marked one itself; so the main text can b
 If the node with the largest sum lies inside an ``article`` or ``main``, the page says itself where its main text is:
 those tags that hold a marked node are taken as a whole, so headings are not lost, and marks outside of them are not.
 
-Left out beforehand: scripts, styles, the head, menus, page headers, footers, asides, forms, and elements whose class,
-id or role says they are navigation, advert, notice, comment or the like, unless they hold the article. A class or id
+Left out beforehand: scripts, styles, the head, menus, page headers, footers, asides, forms, elements with the attribute
+``hidden``, and elements whose class, id or role says they are navigation, advert, notice, comment or the like, unless
+they hold the article. An ``article`` in an aside, in another ``article`` or ``main``, or with the name of a comment
+does not say where the main text is; the last kind is left out with the other comments. A class or id
 says so if all words of one of its names are of that kind or say nothing but the place (``cookie-notice``,
 ``sidebar-left``, but not ``has-sidebar``). On pages without ``article`` and ``main``, class, id and role don't remove an
 element with more than half of the page's characters outside of links.
@@ -28,6 +30,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,17 +67,42 @@ NOISE_WORDS = frozenset(
 )
 PLACE_WORDS = frozenset(
     "container box wrapper wrap inner outer left right top bottom primary secondary area block section list bar panel "
-    "unit slot site page item group links buttons".split()
+    "unit slot site page item group links buttons posts tools articles stories icons form count".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 HOLDERS = frozenset(("article", "main"))
 NAME = re.compile(r"[a-z]+")
-# Comments, declarations, tags, and at last what looks like a tag but has a quote left open.
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*>",
-    re.S,
-)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# Where a comment, a declaration or a tag begins.
+START = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile("[>\"']")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+
+
+class TagEnds:
+    """The end of a tag from any place in it: the first > outside of quotes, or the first one if a quote stays open.
+
+    Found for all places at once, from the end of the page to its beginning, so broken pages take no longer.
+    """
+
+    def __init__(self, source: str):
+        self.places = [m.start() for m in SPECIAL.finditer(source)]
+        count = len(self.places)
+        self.outside, self.first = [-1] * (count + 1), [-1] * (count + 1)
+        nearest = {}
+        for k in range(count - 1, -1, -1):
+            at = self.places[k]
+            mark = source[at]
+            self.first[k] = at if mark == ">" else self.first[k + 1]
+            if mark == ">":
+                self.outside[k] = at
+            elif mark in nearest:
+                self.outside[k] = self.outside[nearest[mark] + 1]
+            nearest[mark] = k
+
+    def after(self, at: int) -> int:
+        """The place of the > that ends the tag, or -1."""
+        k = bisect_left(self.places, at)
+        return self.outside[k] if self.outside[k] >= 0 else self.first[k]
 
 
 @dataclass
@@ -82,12 +111,14 @@ class Page:
 
     tag: list[str] = field(default_factory=lambda: ["html"])
     parent: list[int] = field(default_factory=lambda: [-1])
-    attributes: list[str] = field(default_factory=lambda: [""])
+    attributes: list[dict[str, str]] = field(default_factory=lambda: [{}])
     pieces: list[tuple[int, str]] = field(default_factory=list)  # (node, text), and (node, '') where it begins or ends
 
 
 def parse(source: str) -> Page:
-    page, open_nodes, at = Page(), [0], 0
+    page, open_nodes, at, ends_at = Page(), [0], 0, TagEnds(source)
+    # How many elements of each name are open, so that an end tag without any is passed over at once.
+    opened = Counter()
 
     def text(a: int, b: int) -> None:
         if b > a:
@@ -96,34 +127,47 @@ def parse(source: str) -> Page:
     def close(k: int) -> None:
         for node in reversed(open_nodes[k:]):
             page.pieces.append((node, ""))
+            opened[page.tag[node]] -= 1
         del open_nodes[k:]
 
     while True:
-        m = TOKEN.search(source, at)
+        m = START.search(source, at)
         if m is None:
             text(at, len(source))
             break
+        if m[0] == "<!--":
+            end = source.find("-->", m.end())
+            text(at, m.start())
+            at = end + 3 if end >= 0 else len(source)
+            continue
+        end = ends_at.after(m.end()) if m[2] else source.find(">", m.end())
+        if end < 0:
+            # A tag that does not end is text, a declaration is not.
+            text(at, len(source) if m[2] else m.start())
+            break
         text(at, m.start())
-        at = m.end()
+        at = end + 1
         if m[2] is None:
             continue
-        name = m[2].lower()
+        name, written = m[2].lower(), source[m.end() : end]
         if m[1]:
-            for k in range(len(open_nodes) - 1, 0, -1):
-                if page.tag[open_nodes[k]] == name:
-                    close(k)
-                    break
+            if opened[name]:
+                k = len(open_nodes) - 1
+                while page.tag[open_nodes[k]] != name:
+                    k -= 1
+                close(k)
             continue
         if name in ("html",):
             continue
         ends = CLOSES.get(name, ())
-        if ends or name in CLOSES_P:
-            k = len(open_nodes) - 1
-            lowest = None
-            while k > 0:
+        # Elements that this one may end; the way up is over with the last of them.
+        left = sum(opened[tag] for tag in ends) + (opened["p"] if name in CLOSES_P else 0)
+        if left:
+            k, lowest = len(open_nodes) - 1, None
+            while k > 0 and left:
                 tag = page.tag[open_nodes[k]]
                 if tag in ends or (tag == "p" and name in CLOSES_P):
-                    lowest = k
+                    lowest, left = k, left - 1
                 elif tag in SCOPE:
                     break
                 k -= 1
@@ -132,39 +176,60 @@ def parse(source: str) -> Page:
         node = len(page.tag)
         page.tag.append(name)
         page.parent.append(open_nodes[-1])
-        page.attributes.append(m[3])
+        page.attributes.append({k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(written)} if written else {})
         page.pieces.append((node, ""))
-        if name in VOID or m[3].endswith("/") and name not in ("p", "div", "a", "b", "span"):
+        if name in VOID or written.endswith("/") and name not in ("p", "div", "a", "b", "span"):
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = end.end() if end else len(source)
             continue
         open_nodes.append(node)
+        opened[name] += 1
     return page
 
 
-def _is_noise(page: Page, node: int, holds: list[bool], inside: list[bool]) -> bool:
+def _has_noise_name(page: Page, node: int) -> bool:
+    attributes = page.attributes[node]
+    if NOISE_ROLES.intersection(NAME.findall(attributes.get("role", ""))):
+        return True
+    for name in [*attributes.get("class", "").split(), *attributes.get("id", "").split()]:
+        parts = NAME.findall(name)
+        if NOISE_WORDS.intersection(parts) and all(x in NOISE_WORDS or x in PLACE_WORDS for x in parts):
+            return True
+    return False
+
+
+def _holders(page: Page) -> list[bool]:
+    """The ``article`` and ``main`` tags by which a page says where its main text is.
+
+    Not those inside of an aside, a menu, a footer or the like, inside of another one, or with the name of comments.
+    """
+    n = len(page.tag)
+    holder, beside = [False] * n, [False] * n
+    within = [False] * n
+    for v in range(1, n):
+        p, tag = page.parent[v], page.tag[v]
+        beside[v] = beside[p] or tag in NOISE_TAGS
+        within[v] = within[p] or holder[p]
+        holder[v] = tag in HOLDERS and not beside[v] and not within[v] and not _has_noise_name(page, v)
+    # What stands beside an aside's article is no holder; a main may hold articles, which are part of it.
+    return holder
+
+
+def _is_noise(page: Page, node: int, holds: list[bool], inside: list[bool], holder: list[bool]) -> bool:
     tag = page.tag[node]
-    if tag in ("html", "body") or tag in HOLDERS:
+    if tag in ("html", "body") or holder[node]:
         return False
     if tag in NOISE_TAGS or (tag == "header" and not inside[node]):
         return not (holds[node] and tag not in ("head", "script", "style"))
-    return not holds[node] and any(m[1].lower() == "hidden" and not m[2] for m in ATTRIBUTE.finditer(page.attributes[node]))
+    return not holds[node] and "hidden" in page.attributes[node]
 
 
-def _is_named_noise(page: Page, node: int, holds: list[bool]) -> bool:
-    if page.tag[node] in ("html", "body") or page.tag[node] in HOLDERS or holds[node] or not page.attributes[node]:
+def _is_named_noise(page: Page, node: int, holds: list[bool], holder: list[bool]) -> bool:
+    if page.tag[node] in ("html", "body") or holder[node] or holds[node] or not page.attributes[node]:
         return False
-    for m in ATTRIBUTE.finditer(page.attributes[node]):
-        key, value = m[1].lower(), (m[2] or "").lower()
-        if key == "role" and NOISE_ROLES.intersection(NAME.findall(value)):
-            return True
-        for name in value.strip("\"'").split() if key in ("class", "id") else ():
-            parts = NAME.findall(name)
-            if NOISE_WORDS.intersection(parts) and all(x in NOISE_WORDS or x in PLACE_WORDS for x in parts):
-                return True
-    return False
+    return _has_noise_name(page, node)
 
 
 def density(c: int, t: int, lc: int, lt: int, body_links: float) -> float:
@@ -181,16 +246,17 @@ def main_text(source: str | None) -> str:
         return ""
     page = parse(source)
     n = len(page.tag)
+    holder_tag = _holders(page)
     holds, inside, link = [False] * n, [False] * n, [False] * n
     for v in range(n - 1, 0, -1):
-        if page.tag[v] in HOLDERS or holds[v]:
+        if holder_tag[v] or holds[v]:
             holds[page.parent[v]] = True
     for v in range(1, n):
-        inside[v] = inside[page.parent[v]] or page.tag[page.parent[v]] in HOLDERS
+        inside[v] = inside[page.parent[v]] or holder_tag[page.parent[v]]
         link[v] = link[page.parent[v]] or page.tag[v] == "a"
     gone = [False] * n
     for v in range(1, n):
-        gone[v] = gone[page.parent[v]] or _is_noise(page, v, holds, inside)
+        gone[v] = gone[page.parent[v]] or _is_noise(page, v, holds, inside, holder_tag)
     plain = [0] * n
     for v, text in page.pieces:
         if text and not gone[v] and not link[v]:
@@ -199,7 +265,7 @@ def main_text(source: str | None) -> str:
         plain[page.parent[v]] += plain[v]
     for v in range(1, n):
         most = not holds[0] and 2 * plain[v] > plain[0]
-        gone[v] = gone[v] or gone[page.parent[v]] or not most and _is_named_noise(page, v, holds)
+        gone[v] = gone[v] or gone[page.parent[v]] or not most and _is_named_noise(page, v, holds, holder_tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for v, text in page.pieces:
         if text and not gone[v]:
@@ -245,7 +311,7 @@ def main_text(source: str | None) -> str:
                 covered[v] = marked[v]
     holder = [-1] * n
     for v in range(1, n):
-        holder[v] = v if page.tag[v] in HOLDERS else holder[page.parent[v]]
+        holder[v] = v if holder_tag[v] else holder[page.parent[v]]
     tops = [v for v in range(n) if marked[v]]
     if holder[best] != -1:
         tops = [holder[v] for v in tops if holder[v] != -1]
