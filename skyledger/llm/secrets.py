@@ -262,9 +262,11 @@ def as_text(spans_: Column) -> Column:
 def masked(docs: DataFrame, battery: Battery = Battery(), mark: str = "[secret]") -> DataFrame:
     """The documents, with all columns, with each span replaced by a mark; overlapping spans by one.
 
-    n_chars, if there, is counted anew for changed texts. Texts without a span are kept as they are, null too.
+    n_chars, if there, is counted anew for changed texts. Texts without a span are kept as they are, null too. A column
+    named secret_spans is kept like any other.
     """
-    found = scanned(docs, battery)
+    own = "_llm_secret_spans"
+    found = scanned(docs.withColumnRenamed("secret_spans", own), battery)
     pieces = F.aggregate(
         F.col("secret_spans"),
         F.expr("named_struct('at', 0, 'out', '')"),
@@ -281,4 +283,4 @@ def masked(docs: DataFrame, battery: Battery = Battery(), mark: str = "[secret]"
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return out.drop("secret_spans")
+    return out.drop("secret_spans").withColumnRenamed(own, "secret_spans").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -116,17 +116,18 @@ def sample(docs: DataFrame, labels: DataFrame, conf: Training) -> list[tuple[int
                 lists = pa.array(sets, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*piece.select(["_llm_id", "toxic"]).columns, lists], ["id", "toxic", "words"])
 
-    found = texts.mapInArrow(run, "id long, toxic int, words array<long>").toArrow()
+    rows = stage(texts.mapInArrow(run, "id long, toxic int, words array<long>"), "words")
+    # Ids and sizes first, a row for each sampled label; then only the texts that stay below the bound on words.
+    sizes = rows.groupBy("id").agg(F.sum(F.size("words")).alias("n")).orderBy("id").toArrow()
+    within = np.cumsum(sizes["n"].to_numpy()) <= conf.most_words
+    last = int(sizes["id"].to_numpy()[within].max()) if within.any() else None
+    found = rows.where(F.col("id") <= last if last is not None else F.lit(False)).toArrow()
     order = np.argsort(found["id"].to_numpy(), kind="stable")
-    lists, out, total = found["words"].combine_chunks(), [], 0
+    lists, out = found["words"].combine_chunks(), []
     offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
     toxic = found["toxic"].to_numpy()
     for i in order:
-        words = values[offsets[i] : offsets[i + 1]].view(np.uint64)
-        total += len(words)
-        if total > conf.most_words:
-            break
-        out.append((int(toxic[i]), words))
+        out.append((int(toxic[i]), values[offsets[i] : offsets[i + 1]].view(np.uint64)))
     return out
 
 
