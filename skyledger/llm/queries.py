@@ -122,6 +122,28 @@ def op6_substring_dedup(spark, sf):
     return substrings.digests(table(spark, sf, "documents"))
 
 
+# Words of every text, null texts none.
+WORDS_SQL = "list_filter(string_split_regex(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+ORACLES["op6_substring_dedup"] = f"""
+WITH w AS (SELECT doc_id, {WORDS_SQL.format(text="text")} AS words FROM documents),
+windows AS (
+  SELECT doc_id, place, array_to_string(words[place : place + 49], ' ') AS body
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS place FROM w WHERE len(words) >= 50)
+), least AS (SELECT body, min(doc_id) AS first FROM windows GROUP BY body),
+hits AS (SELECT doc_id, place FROM windows JOIN least USING (body) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + 50)) AS place FROM hits),
+lost AS (SELECT doc_id, list(place) AS lost FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(len(lost), 0) AS n_removed,
+    CASE WHEN lost IS NULL THEN words
+         ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda p: NOT list_contains(lost, p[2])), lambda p: p[1]) END AS words
+  FROM w LEFT JOIN lost USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) AS kept_sha256 FROM kept
+"""
+
+
 @register
 def op7_benchmark_overlap(spark, sf):
     return decontamination.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -153,6 +175,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+ORACLES["op10_ngram_jaccard"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS_SQL.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, shingle FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i : i + 2], ' ')) END) AS shingle FROM w)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * m >= 90 * (a.n + b.n - m)),
+ends AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (SELECT x, y FROM ends UNION SELECT r.x, e.y FROM reached r JOIN ends e ON r.y = e.x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(min(r.y), w.doc_id), w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reached r ON r.x = w.doc_id GROUP BY w.doc_id, n.n
+"""
+
+
 @register
 def op11_packing(spark, sf):
     return packing.packed(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json")).select(
