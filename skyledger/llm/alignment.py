@@ -179,17 +179,17 @@ class Aligner:
         of = np.repeat(row, groups)
         n = np.bincount(of, minlength=len(texts))
         links = e.a[end_a - 1].astype(np.int64) << 32 | e.b[end_b - 1]
-        order = np.lexsort((links, of))
-        links, of = links[order], of[order]
-        fresh = np.flatnonzero(np.append(True, (links[1:] != links[:-1]) | (of[1:] != of[:-1]))[: len(links)])
+        codes, distinct = pd.factorize(links)
+        both, times = np.unique(of * max(len(distinct), 1) + codes, return_counts=True)
+        of, codes = both // max(len(distinct), 1), both % max(len(distinct), 1)
         return {
             "n_a": e.n_a,
             "n_b": e.n_b,
             "n_links": n,
             "groups": self._shown(e, end_a, end_b, n),
-            "pairs": links[fresh],
-            "times": np.diff(np.append(fresh, len(links))),
-            "distinct": np.bincount(of[fresh], minlength=len(texts)),
+            "pairs": distinct[codes],
+            "times": times,
+            "distinct": np.bincount(of, minlength=len(texts)),
         }
 
 

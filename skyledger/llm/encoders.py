@@ -109,15 +109,15 @@ def _without_marks(words: W.Words) -> W.Words:
 
 def _same_case(words: W.Words) -> W.Words:
     """Words of ASCII in lower case, unless a special token may be near, which has a case."""
-    data = words.data
-    if not len(words.start) or b"<|" in data.tobytes():
+    if not len(words.start) or b"<|" in words.data.tobytes():
         return words
-    wide = np.concatenate([[0], np.cumsum(data >= 128)])
-    ascii_ = wide[words.end] == wide[words.start]
-    inside = np.zeros(len(data) + 1, np.int8)
-    inside[words.start[ascii_]] += 1
-    inside[words.end[ascii_]] -= 1
-    data = np.where(np.cumsum(inside[:-1], dtype=np.int8) > 0, W.LOWER[data], data)
+    data = W.LOWER[words.data]
+    wide = words.data >= 128
+    if wide.any():
+        # A word and the ASCII after it, up to the next word.
+        some = np.logical_or.reduceat(wide, words.start)
+        at = ragged(words.start[some], (words.end - words.start)[some])
+        data[at] = words.data[at]
     return W.Words(data, words.start, words.end, words.row, words.offsets)
 
 
@@ -173,7 +173,7 @@ class BytePairs:
         return [
             np.array(self.slow.encode(t, add_special_tokens=False).ids, np.int32)
             if LONG_SPACE.search(t)
-            else self.fast.encode_to_numpy(t, disallowed_special=()).astype(np.int32)
+            else np.array(self.fast.encode_ordinary(t), np.int32)
             for t in texts
         ]
 
