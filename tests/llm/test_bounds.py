@@ -1,6 +1,8 @@
 """Bounds of what learning takes, and columns that clash."""
 
-from skyledger.llm import secrets, toxicity
+import random
+
+from skyledger.llm import components, secrets, toxicity
 
 
 def test_words_of_the_sample_are_bounded_before_they_are_collected(spark):
@@ -17,3 +19,24 @@ def test_masking_keeps_a_column_of_the_same_name(spark):
     rows = secrets.masked(docs).orderBy("doc_id").collect()
     assert [(r.secret_spans, r.n) for r in rows] == [("own", 3), (None, 4)]
     assert rows[0].asDict().keys() == dict.fromkeys(docs.columns).keys() and "[secret]" in rows[0].text
+
+
+def test_links_of_large_nodes_are_dealt_over_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(components, "NODE_LINKS", 5)
+    rng = random.Random(4)
+    links = [(0, i) for i in range(1, 60)] + [(100 + i, 200) for i in range(30)] + [(rng.randint(300, 420), rng.randint(300, 420)) for _ in range(70)]
+    links += [(1000 + i, 1001 + i) for i in range(70)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    alone = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+    found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.component_id for r in found} == {x: find(x) for x in root if x not in alone}
+    assert len(found) == len(root) - len(alone)
