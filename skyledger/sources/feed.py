@@ -10,6 +10,8 @@ from skyledger import constants as K
 
 
 CORRUPT = "_corrupt_line"
+# Files whose names are sent to every task: some 20 MB.
+FEW_FILES = 100_000
 # A position is the file's rank, then 43 bits for the place in it.
 IN_FILE, IN_PART = 1 << 43, (1 << 33) - 1
 
@@ -41,7 +43,8 @@ def read_feed(spark: SparkSession, path: str, multi_line: bool = False, strict:
     raw = raw.withColumn("_nth", F.monotonically_increasing_id().bitwiseAND(IN_PART))
     if len(files) > 1:
         ranks = spark.createDataFrame(list(enumerate(files)), "_rank long, _file string")
-        raw = raw.join(F.broadcast(ranks), "_file", "left")
+        ranks = F.broadcast(ranks) if len(files) <= FEW_FILES else ranks
+        raw = raw.join(ranks, "_file", "left")
         missing = F.raise_error(F.concat(F.lit("a file that was not listed: "), "_file")).cast("long")
         raw = raw.withColumn("_rank", F.coalesce("_rank", missing))
     else:
