@@ -83,11 +83,8 @@ def winners(rows: DataFrame) -> DataFrame:
     copies leaves each map task once. A row whose date could not be read has no key, so it is nobody's copy: it stays,
     and the checks report it.
     """
-    keyed = (
-        rows.select("*", *_fingerprints(K.FEED_COLUMNS))
-        .transform(standardise_case)
-        .transform(parse_types)
-        .select(*ROW_KEY, "bad_date", "had_symbol", "print_a", "print_b", "src_row")
+    keyed = rows.transform(standardise_case).transform(parse_types).select(
+        *ROW_KEY, "bad_date", "had_symbol", "print_a", "print_b", "src_row"
     )
     distinct = keyed.groupBy(*ROW_KEY, "bad_date", "had_symbol", "print_a", "print_b").agg(
         F.min("src_row").alias("src_row"), F.count(F.lit(1)).alias("copies")
@@ -108,11 +105,12 @@ def winners(rows: DataFrame) -> DataFrame:
 def keep_first(text_rows: DataFrame) -> DataFrame:
     """Typed rows, the first in file order of each key, with the sizes of what they replace.
 
-    The stripped rows are written once with their positions; whole rows then meet only the winners' positions, which
-    are unique, so no key can be hot.
+    The stripped rows are written once with their positions and fingerprints; the winners come from the columns of
+    the key alone. Whole rows then meet only the winners' positions, which are unique, so no key can be hot. The
+    winners, a few numbers a row, are the hashed side: whole rows are not sorted.
     """
-    rows = stage(text_rows.select(*K.FEED_COLUMNS, "src_row"), "text")
-    kept = rows.join(winners(rows), "src_row")
+    rows = stage(text_rows.select(*K.FEED_COLUMNS, "src_row", *_fingerprints(K.FEED_COLUMNS)), "text")
+    kept = rows.drop("print_a", "print_b").join(winners(rows).hint("shuffle_hash"), "src_row")
     return kept.transform(standardise_case).transform(parse_types).drop("had_symbol", "bad_date")
 
 
