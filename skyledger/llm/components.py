@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from skyledger.session import stage
 
-# Links of one node that one task takes; a node with more has them dealt over several.
-NODE_LINKS = 100_000
-
-
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Tie the larger (large) or the smaller neighbours of every node, and it, to the smallest of them."""
     ends = links.select("u", "v")
@@ -18,13 +14,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         ends = ends.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         ends = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    parts = F.greatest(F.ceil(F.count("*") / NODE_LINKS), F.lit(1)).cast("int")
-    least = ends.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), parts.alias("parts"))
-    # At most one node for each NODE_LINKS links.
-    hubs = F.broadcast(least.where("parts > 1").select("u", F.col("parts").alias("over")))
-    dealt = ends.join(hubs, "u", "left").withColumn("part", F.pmod(F.xxhash64("v"), F.coalesce("over", F.lit(1))).cast("int"))
-    copies = least.select("u", "m", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    tied = dealt.join(copies, ["u", "part"])
+    least = ends.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    tied = ends.join(least, "u")
     if large:
         out = tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -49,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
     )
     mark = F.struct(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
     seen = now.select(mark).first()[0]
-    # Each round brings nodes nearer to the smallest one; the number of rounds grows with the logarithm of a component.
+    # Each round brings nodes nearer to the smallest one, so they settle without a bound on the rounds.
     was = None
     while was != seen:
         now = stage(_star(_star(now, True), False), "links")

@@ -21,8 +21,7 @@ def test_masking_keeps_a_column_of_the_same_name(spark):
     assert rows[0].asDict().keys() == dict.fromkeys(docs.columns).keys() and "[secret]" in rows[0].text
 
 
-def test_links_of_large_nodes_are_dealt_over_several_tasks(spark, monkeypatch):
-    monkeypatch.setattr(components, "NODE_LINKS", 5)
+def test_components_of_stars_chains_and_loops(spark):
     rng = random.Random(4)
     links = [(0, i) for i in range(1, 60)] + [(100 + i, 200) for i in range(30)] + [(rng.randint(300, 420), rng.randint(300, 420)) for _ in range(70)]
     links += [(1000 + i, 1001 + i) for i in range(70)]
