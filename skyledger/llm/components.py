@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.session import stage
 
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Tie the larger (large) or the smaller neighbours of every node, and it, to the smallest of them."""
     ends = links.select("u", "v")
