@@ -260,3 +260,27 @@ def test_copies_meet_by_fingerprint_and_keep_their_counts(spark, feed_of):
     kept = C.keep_first(feed.transform(C.rename).transform(C.strip_text))
     found = sorted((r.src_row, r.raw_rows, r.distinct_rows) for r in kept.collect())
     assert found == [(0, 6, 2), (6, 2, 1), (8, 1, 1), (9, 1, 1)]
+
+
+def test_medians_are_found_for_groups_with_a_gap_only(monkeypatch, feed_of):
+    feed = feed_of(
+        {"Flight": "A", "Date": "2025-03-01", "Passengers": ""},
+        {"Flight": "A", "Date": "2025-03-02", "Passengers": "30"},
+        *[{"Flight": f"B{i}", "Passengers": "10"} for i in range(5)],
+    )
+    cleaned = C.clean(feed)
+    assert [(m["measure"], m["key_1"], m["typical"]) for m in cleaned.medians.collect()] == [("passengers", "A", 30)]
+    filled = sorted(map(str, cleaned.rows.collect()))
+    # Groups that are too many to be sent to every task are not narrowed; the rows are the same.
+    monkeypatch.setattr(C, "FEW_GROUPS", 0)
+    whole = C.clean(feed)
+    assert whole.medians.count() > 1 and sorted(map(str, whole.rows.collect())) == filled
+
+
+def test_rows_are_typed_once(feed_of):
+    """The feed as it came, the winners and the kept rows all read the typed table."""
+    cleaned = C.clean(feed_of({"Ticket Price": "$5"}, {"Ticket Price": "$5"}, {"Date": "never"}))
+    assert cleaned.delivered.count() == 3 and cleaned.rows.count() == 2
+    plan = cleaned.delivered._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" in plan or "FileScan" in plan
+    assert "btrim" not in plan and "initcap" not in plan and "gettimestamp" not in plan

@@ -32,6 +32,21 @@ def test_numbers_refuse_what_a_bare_cast_accepts(column):
     assert column(N.to_number, values) == [12, -7, 3.5, 0.5, 5, 1000] + [None] * 8
 
 
+def test_calendar_texts_are_those_of_the_formatter(column):
+    values = ["2025-03-04", "0999-12-31", "0001-01-01", "9999-12-31", "0000-02-03", "12025-03-04", None]
+    date = lambda v: v.try_cast("date")
+    for ours, pattern in ((X.iso_date, "yyyy-MM-dd"), (X.month_text, "yyyy-MM"), (X.compact_date, "yyyyMMdd"), (X.weekday, "EEEE")):
+        assert column(lambda v: ours(date(v)), values) == column(lambda v: F.date_format(date(v), pattern), values)
+
+
+def test_usual_spellings_read_as_the_general_path_reads_them(column):
+    dates = ["2025-03-04", "2025-3-4", "2025-02-30", "2024-02-29", "0000-01-01", "2025-13-01", "2025-00-10", "2025-3-4x", "12025-03-04"]
+    general = lambda v: F.coalesce(*[F.try_to_date(v, p) for p in ("yyyy-M-d", "M/d/yyyy")]).cast("string")
+    assert column(lambda v: X.parsed_date(v).cast("string"), dates) == column(general, dates)
+    assert column(X.clock_minutes, ["10:05", "99:99", " 7: 5 ", "1e1:05", "+1:05"]) == [605, 6039, 425, 605, 65]
+    assert column(N.to_number, ["1e400", "9" * 400, "123456789012345", "-12.50"]) == [None, None, 123456789012345, -12.5]
+
+
 def test_clock_minutes(column):
     values = ["10:05", "00:00", "7:5", "ab:cd", "10", "10:", "12:30:45", None]
     assert column(X.clock_minutes, values) == [605, 0, 425, None, None, None, 750, None]
