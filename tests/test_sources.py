@@ -196,3 +196,18 @@ def test_cached_tables(spark):
     (kept,) = model.cached(spark.range(3).toDF("id"))
     assert kept.is_cached
     kept.unpersist()
+
+
+def test_lines_and_orders_meet_once_for_several_tables(spark, monkeypatch):
+    from skyledger import catalog
+
+    made = []
+    departures = bridge.departures
+    monkeypatch.setattr(bridge, "departures", lambda *args: made.append(args) or departures(*args))
+    monkeypatch.setattr(catalog, "_CUBES", {})
+    for query in ("panel_monthly_passengers", "src_bookings_enriched"):
+        made.clear()
+        assert catalog.QUERIES[query](spark, SF).count() > 0 and len(made) == 1
+    made.clear()
+    catalog._written_report(spark, SF)
+    assert len(made) == 1
