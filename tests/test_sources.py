@@ -211,3 +211,12 @@ def test_lines_and_orders_meet_once_for_several_tables(spark, monkeypatch):
     made.clear()
     catalog._written_report(spark, SF)
     assert len(made) == 1
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    from skyledger import catalog
+
+    monkeypatch.setattr(model, "BUCKET_ROWS", 500)
+    for query in ("src_bookings_enriched_in_buckets", "check_orphans_in_buckets"):
+        plan = catalog.QUERIES[query](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 7 out of 7" in plan and "Exchange" not in plan
