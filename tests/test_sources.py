@@ -217,6 +217,13 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     from skyledger import catalog
 
     monkeypatch.setattr(model, "BUCKET_ROWS", 500)
-    for query in ("src_bookings_enriched_in_buckets", "check_orphans_in_buckets"):
-        plan = catalog.QUERIES[query](spark, SF)._jdf.queryExecution().executedPlan().toString()
-        assert "SelectedBucketsCount: 7 out of 7" in plan and "Exchange" not in plan
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(threshold)
+    # Tables as small as these would be broadcast.
+    spark.conf.set(threshold, "-1")
+    try:
+        for query in ("src_bookings_enriched_in_buckets", "check_orphans_in_buckets"):
+            plan = catalog.QUERIES[query](spark, SF)._jdf.queryExecution().executedPlan().toString()
+            assert "SelectedBucketsCount: 7 out of 7" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set(threshold, was)
