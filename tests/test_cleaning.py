@@ -284,3 +284,38 @@ def test_rows_are_typed_once(feed_of):
     plan = cleaned.delivered._jdf.queryExecution().executedPlan().toString()
     assert "BatchScan" in plan or "FileScan" in plan
     assert "btrim" not in plan and "initcap" not in plan and "gettimestamp" not in plan
+
+
+def _some_repeated(feed_of):
+    """Copies, copies of a key, unreadable dates and missing parts of a key, beside rows of their own."""
+    return feed_of(
+        {"Flight": "A1"}, {"Flight": "A1"}, {"Flight": "a1", "Ticket Price": "$7"}, {"Flight": "A1", "Date": "03/14/2025"},
+        {"Flight": "A2", "Ticket Price": "$8"}, {"Flight": "A3"}, {"Flight": ""}, {"Flight": "", "Cabin Class": "Business"},
+        {"Flight": "", "Airline": "Red Air"}, {"Flight": "A4", "Date": "never"}, {"Flight": "A4", "Date": "never"},
+        {"Flight": "A4", "Date": "later"}, {"Flight": "A5", "Date": "never", "Ticket Price": "$9"}, {"Flight": "A6"},
+    )
+
+
+def test_rows_of_unrepeated_keys_are_their_own_winners(monkeypatch, feed_of):
+    sent, whole = [], C._won
+    monkeypatch.setattr(C, "_won", lambda typed: sent.append(typed.count()) or whole(typed))
+    typed = C._type_feed(_some_repeated(feed_of))
+    columns = typed.drop("print_a", "print_b", "had_symbol", "bad_date").columns + ["raw_rows", "distinct_rows", "symbol_rows"]
+    quick, long = (sorted(map(repr, C.first_of(typed, few).select(*columns).collect())) for few in (C.FEW_REPEATED, 0))
+    assert quick == long and len(quick) == 9
+    assert sent == [9, 14]
+
+
+def test_a_feed_row_and_its_copies_come_without_a_lambda(spark):
+    from skyledger.sources import bridge
+
+    plan = bridge.dirty_feed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "lambda" not in plan
+
+
+def test_folders_of_a_staged_table_leave_the_setting_as_it_was(spark, tmp_path):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    rows = spark.range(100).select("id", (F.col("id") % 7).cast("string").alias("kind"))
+    assert sorted(map(tuple, stage(rows, "kinds", "kind").collect())) == [(i, str(i % 7)) for i in range(100)]
+    assert spark.conf.get(key, None) == before
