@@ -15,8 +15,12 @@ Steps:
    order is: shingles of that part by frequency, then the others by hash. It is the same for all documents.
 3. Stars: in each list one member, another for each list, is the hub; the others are checked against it. A group
    of many near copies becomes connected here by as many checks as its lists are long, not by all pairs.
-4. Pairs: members of one list that are still in different components are checked if they share the number of
-   prefix shingles asked for. Nothing is capped, so no link between different components is lost.
+4. Pairs: sets with a member of another component in one of their lists are listed again, now with all their
+   shingles. Those that only one component has come first in a new order, the others by the pairs they would make.
+   The places up to which two sets must meet follow from both sizes, so sets with enough shingles outside any other
+   component meet nobody, however many share the rest. Members of one list that are in different components are
+   checked if they share the number of prefix shingles asked for. Nothing is capped, so no link between different
+   components is lost.
 
 Before a check, sizes and 256 parity bits of both sets give an upper bound of their similarity; pairs below the
 threshold by that bound go no further.
@@ -32,6 +36,7 @@ that repeat a doc_id are linked like other documents and share the id. Empty tab
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -52,6 +57,8 @@ MOST_MATCHES = len(COSTS) + 1
 # The listed part of the hash range, as a multiple of 1 - t.
 LISTED = 1.5
 PARITIES = ("p0", "p1", "p2", "p3")
+# Sizes that differ by less than this factor share a band, in which sets of other components meet.
+BAND = 1.05
 # Rows in a batch for the workers, which hold two whole texts of a pair.
 BATCH = 500
 
@@ -119,12 +126,13 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def listings(docs: DataFrame, like: Similarity) -> DataFrame:
+def listings(docs: DataFrame, like: Similarity, whole: bool = False) -> DataFrame:
     """(s1, n, token, listed, rank): the shingles that may be in a prefix, of 48 bits each; s1 and n name the set.
 
-    ``listed`` is the number of the document's shingles in the listed part; the first so many of its hashes, by
-    ``rank``, are in it.
+    For a ``whole`` listing the listed part is the whole hash range. ``listed`` is the number of the document's
+    shingles in the listed part; the first so many of its hashes, by ``rank``, are in it.
     """
+    below = 2**48 if whole else like.part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,7 +141,7 @@ def listings(docs: DataFrame, like: Similarity) -> DataFrame:
                 s1, _ = _sums(row, key, n)
                 key = (key >> np.uint64(16)).astype(np.int64)
                 rank = np.arange(len(key)) - (np.cumsum(n) - n)[row]
-                inside = key < like.part
+                inside = key < below
                 listed = np.bincount(row[inside], minlength=len(n))
                 longest = np.minimum(n - like.needed(n) + MOST_MATCHES, n)
                 take = inside | (rank < longest[row])
@@ -155,20 +163,29 @@ def prefixes(listed: DataFrame, like: Similarity) -> DataFrame:
     inside = F.col("rank") < F.col("listed")
     whole = Window.partitionBy("s1", "n")
     order = whole.orderBy(F.when(inside, 0).otherwise(1), "df", "token")
-    shortest = F.col("n") - F.ceil(F.col("n") * like.at_least / like.over)
-    needed = F.col("n") - shortest
-    matches = sum((F.when(F.col("cost") >= c, 1).otherwise(0) for c in COSTS), F.lit(1))
+    shortest, matches = _shortest(like), _matches(like)
     return (
         listed.join(frequent, "token")
         .withColumn("alone", F.col("listed") - F.sum(F.when(inside, 1).otherwise(0)).over(whole))
         .withColumn("nth", F.when(inside, F.col("alone") + F.row_number().over(order)).otherwise(F.col("rank") + 1))
         .withColumn("cost", F.sum(F.when(F.col("nth") <= shortest + 1, F.col("df"))).over(whole))
-        .withColumn("matches", F.least(matches, needed))
+        .withColumn("matches", matches)
         .where(F.col("nth") <= shortest + F.col("matches"))
         .select("token", "s1", "n", "matches")
     )
 
 
+def _shortest(like: Similarity):
+    """Places of a set that a similar one may lack."""
+    return F.col("n") - F.ceil(F.col("n") * like.at_least / like.over)
+
+
+def _matches(like: Similarity):
+    """The matches a prefix is made for, by its cost; never more than a similar set must share."""
+    by_cost = sum((F.when(F.col("cost") >= c, 1).otherwise(0) for c in COSTS), F.lit(1))
+    return F.least(by_cost, F.col("n") - _shortest(like))
+
+
 def _may_be_alike(like: Similarity, x: str, y: str):
     """False only for sets that can't be similar, by their sizes and by the shingles that just one of them has.
 
@@ -195,25 +212,84 @@ def stars(prefix: DataFrame, like: Similarity) -> DataFrame:
     )
 
 
-def pairs_between(prefix: DataFrame, labels: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs (a, b) of different components that share as many prefix shingles as similar documents must."""
+def parted(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, part): the documents that meet another component in a list, and their own component."""
     labels = labels.select(F.col("node").alias("doc_id"), "component_id")
-    placed = (
-        prefix.join(labels, "doc_id", "left")
-        .withColumn("part", F.coalesce("component_id", "doc_id"))
-        .drop("component_id")
+    part = F.coalesce("component_id", "doc_id").alias("part")
+    placed = prefix.select("token", "doc_id").join(labels, "doc_id", "left").select("token", "doc_id", part)
+    return placed.join(_mixed(placed), "token", "left_semi").select("doc_id", "part").distinct()
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The shingles that more than one component has."""
+    ends = placed.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most"))
+    return ends.where("least < most").select("token")
+
+
+def prefixes_between(whole: DataFrame, like: Similarity) -> DataFrame:
+    """The rows of ``whole`` in each set's adaptive prefix that another component lists as well.
+
+    ``whole`` has all shingles of the sets as (token, s1, n, part) and more columns; ``matches``, ``after``, the
+    shingles of the set behind this one, and ``common``, whether the set's component is the one that lists it most,
+    are added. Shingles of one component only come first in the order and just count as places. The prefix is for similar sets of any size, its cost that of meeting larger ones.
+    """
+    shared = stage(whole.join(_mixed(whole), "token", "left_semi"), "shared")
+    held = shared.groupBy("token", "part").agg(F.count("*").alias("rows"))
+    df, own = F.sum("rows"), F.sum(F.col("rows") * F.col("rows"))
+    largest = F.max(F.struct("rows", "part"))["part"].alias("largest")
+    frequent = stage(held.groupBy("token").agg(df.alias("df"), (df * df - own).alias("meets"), largest), "frequent")
+    one = Window.partitionBy("s1", "n")
+    nth = F.col("n") - F.count("*").over(one) + F.row_number().over(one.orderBy("meets", "token"))
+    early = _leaves_room(like, F.col("n"), F.col("n"), F.col("after") + 1)
+    return (
+        shared.join(frequent, "token")
+        .withColumn("after", F.col("n") - nth)
+        .withColumn("cost", F.coalesce(F.sum(F.when(early, F.col("df"))).over(one), F.lit(0)))
+        .withColumn("matches", _matches(like))
+        .where(F.col("n") - F.col("after") <= _shortest(like) + F.col("matches"))
+        .select(*whole.columns, "matches", "after", (F.col("part") == F.col("largest")).alias("common"))
     )
-    mixed = placed.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most")
-    placed = stage(placed.join(mixed.select("token"), "token", "left_semi"), "mixed")
+
+
+def _leaves_room(like: Similarity, n, m, room):
+    """Whether ``room`` common shingles are enough for similar sets of n and m."""
+    return (n + m) * like.at_least <= room * (like.over + like.at_least)
+
+
+def _band(size):
+    return F.floor(F.log(size.cast("double")) / math.log(BAND))
+
+
+def pairs_between(placed: DataFrame, like: Similarity) -> DataFrame:
+    """Pairs (a, b) of different components that share as many prefix shingles as similar documents must.
+
+    The last shared one asked for stands where both sets still have as many as two sets of their sizes must share.
+    The smaller set of a pair thus meets by its first places only, those that suffice for two sets of its size; a
+    place of the larger one suffices for smaller sets up to some size. They meet in bands of the smaller size. Members
+    of the component that lists a shingle most don't meet each other.
+    """
+    no = F.lit(False)
+    n, room = F.col("n"), F.col("after") + F.col("matches")
+    least = F.ceil(n * like.at_least / like.over)
+    most = F.least(n, F.floor(room * (like.over + like.at_least) / like.at_least) - n)
+    early = placed.where(_leaves_room(like, n, n, room)).withColumn("band", _band(n))
+    larger = (
+        placed.where(most >= least)
+        .withColumn("band", F.explode(F.sequence(_band(least), _band(most))))
+        .withColumn("with", F.explode(F.when(F.col("common"), F.array(no)).otherwise(F.array(no, F.lit(True)))))
+    )
+    asked = F.least("x.matches", "y.matches")
     meet = (
-        placed.alias("x")
-        .join(placed.alias("y"), "token")
-        .where("x.doc_id < y.doc_id AND x.part <> y.part")
+        early.withColumn("with", F.col("common"))
+        .alias("x")
+        .join(larger.alias("y"), ["token", "band", "with"])
+        .where("(x.n < y.n OR x.n = y.n AND x.doc_id < y.doc_id) AND x.part <> y.part")
+        .where(_leaves_room(like, F.col("x.n"), F.col("y.n"), F.least("x.after", "y.after") + asked))
         .where(_may_be_alike(like, "x", "y"))
     )
     return (
-        meet.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .agg(F.count("*").alias("met"), F.min(F.least("x.matches", "y.matches")).alias("asked"))
+        meet.groupBy(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+        .agg(F.count("*").alias("met"), F.min(asked).alias("asked"))
         .where("met >= asked")
         .select("a", "b")
     )
@@ -272,14 +348,22 @@ def _joined(docs: DataFrame, like: Similarity) -> DataFrame:
     copies = stage(members.where("doc_id <> first").select("doc_id", "first").distinct(), "copies")
     others = copies.select("doc_id").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_anti")
     useful = docs.where("doc_id IS NOT NULL")
-    listed = listings(drop_ids(useful, stage(others.distinct(), "others")), like)
-    if not _repeated(sets).isEmpty():
-        listed = listed.dropDuplicates(["s1", "n", "token"])
+    firsts = drop_ids(useful, stage(others.distinct(), "others"))
+    repeated = not _repeated(sets).isEmpty()
+
+    def listed(some: DataFrame, whole: bool = False) -> DataFrame:
+        found = listings(some, like, whole)
+        return found.dropDuplicates(["s1", "n", "token"]) if repeated else found
+
     named = classes.withColumnRenamed("first", "doc_id").drop("s2")
-    prefix = stage(prefixes(listed, like).join(named, ["s1", "n"]).drop("s1"), "prefix")
+    prefix = stage(prefixes(listed(firsts), like).join(named, ["s1", "n"]).drop("s1"), "prefix")
     checked = stage(stars(prefix, like), "pairs")
     links = stage(verified(checked, useful, like), "links")
-    rest = pairs_between(prefix, components(links), like).join(checked, ["a", "b"], "left_anti")
+    apart = stage(parted(prefix, components(links)), "parted")
+    again = listed(keep_ids(firsts, apart.select("doc_id")), True).select("token", "s1", "n")
+    whole = stage(again.join(named.join(apart, "doc_id"), ["s1", "n"]), "whole")
+    between = stage(prefixes_between(whole, like), "between")
+    rest = pairs_between(between, like).join(checked, ["a", "b"], "left_anti")
     more = stage(verified(stage(rest, "pairs"), useful, like), "links")
     labels = components(links.union(more).union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
     return sets.join(labels, sets["doc_id"] == labels["node"], "left").select(

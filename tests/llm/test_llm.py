@@ -612,6 +612,48 @@ def variants(rng):
         yield " ".join(passage + rng.choices(vocabulary, k=rng.randint(0, 12)))
 
 
+def join_rows(df):
+    """Rows that the joins of a collected frame made."""
+    nodes, found = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if "Join" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert found
+    return sum(found)
+
+
+def test_jaccard_family_of_unlike_texts_meets_nobody(spark, monkeypatch):
+    """Texts with five sixths of one text and a stretch of their own are less than 0.8 alike, so no pair is made."""
+    rng = random.Random(7)
+    base, texts = [f"b{i}" for i in range(700)], []
+    for i in range(60):
+        at = rng.randrange(580)
+        texts.append(base[:at] + [f"own{i}x{j}" for j in range(120)] + base[at + 120 :])
+        if i % 4 == 0:
+            texts.append(["other", *texts[-1][1:]])
+    docs = spark.createDataFrame([doc_row(i, " ".join(t)) for i, t in enumerate(texts)], DOCS).repartition(4).cache()
+    made, between = [], jaccard_join.pairs_between
+
+    def counted(*args):
+        pairs = between(*args)
+        pairs.collect()
+        made.append(join_rows(pairs))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "pairs_between", counted)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = Counter(map(tuple, jaccard_join.joined(docs).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert found == brute_components([(r.doc_id, r.text) for r in docs.collect()], 5, 80)
+    assert len({root for _, _, root in found}) == 60
+    assert made and max(made) < len(texts)
+
+
 def test_one_of_each(spark, odd):
     kept = jaccard_join.one_of_each(odd)
     assert kept.columns == odd.columns
