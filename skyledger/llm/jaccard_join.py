@@ -231,7 +231,8 @@ def prefixes_between(whole: DataFrame, like: Similarity) -> DataFrame:
 
     ``whole`` has all shingles of the sets as (token, s1, n, part) and more columns; ``matches``, ``after``, the
     shingles of the set behind this one, and ``common``, whether the set's component is the one that lists it most,
-    are added. Shingles of one component only come first in the order and just count as places. The prefix is for similar sets of any size, its cost that of meeting larger ones.
+    are added. Shingles of one component only come first in the order and just count as places. The prefix is for
+    similar sets of any size, its cost that of meeting larger ones.
     """
     shared = stage(whole.join(_mixed(whole), "token", "left_semi"), "shared")
     held = shared.groupBy("token", "part").agg(F.count("*").alias("rows"))
