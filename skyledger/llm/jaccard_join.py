@@ -15,12 +15,13 @@ Steps:
    order is: shingles of that part by frequency, then the others by hash. It is the same for all documents.
 3. Stars: in each list one member, another for each list, is the hub; the others are checked against it. A group
    of many near copies becomes connected here by as many checks as its lists are long, not by all pairs.
-4. Pairs: sets with a member of another component in one of their lists are listed again, now with all their
-   shingles. Those that only one component has come first in a new order, the others by the pairs they would make.
-   The places up to which two sets must meet follow from both sizes, so sets with enough shingles outside any other
-   component meet nobody, however many share the rest. Members of one list that are in different components are
-   checked if they share the number of prefix shingles asked for. Nothing is capped, so no link between different
-   components is lost.
+4. Pairs: members of one list that are in different components are checked if they share the number of prefix
+   shingles asked for. A set whose lists have few members of other components (by its size) meets them there, so the
+   meetings of all these sets are in proportion to their shingles. The other, crowded sets are listed again, now with
+   all their shingles, and meet each other by these. Shingles that only one component has come first in a new order,
+   the others by the pairs they would make. The places up to which two sets must meet follow from both sizes, so sets
+   with enough shingles outside any other component meet nobody, however many share the rest. Nothing is capped, so
+   no link between different components is lost.
 
 Before a check, sizes and 256 parity bits of both sets give an upper bound of their similarity; pairs below the
 threshold by that bound go no further.
@@ -57,6 +58,8 @@ MOST_MATCHES = len(COSTS) + 1
 # The listed part of the hash range, as a multiple of 1 - t.
 LISTED = 1.5
 PARITIES = ("p0", "p1", "p2", "p3")
+# A set is crowded if the members of other components in its lists are more than so many times its shingles.
+CROWDED = 4
 # Sizes that differ by less than this factor share a band, in which sets of other components meet.
 BAND = 1.05
 # Rows in a batch for the workers, which hold two whole texts of a pair.
@@ -212,12 +215,53 @@ def stars(prefix: DataFrame, like: Similarity) -> DataFrame:
     )
 
 
-def parted(prefix: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, part): the documents that meet another component in a list, and their own component."""
+def met(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``prefix`` whose shingle another component lists as well.
+
+    Added are ``part``, the component, ``common``, whether it is the one that lists the shingle most, and ``crowded``,
+    of a set as a whole.
+    """
     labels = labels.select(F.col("node").alias("doc_id"), "component_id")
     part = F.coalesce("component_id", "doc_id").alias("part")
-    placed = prefix.select("token", "doc_id").join(labels, "doc_id", "left").select("token", "doc_id", part)
-    return placed.join(_mixed(placed), "token", "left_semi").select("doc_id", "part").distinct()
+    placed = prefix.join(labels, "doc_id", "left").select(*prefix.columns, part)
+    held = placed.groupBy("token", "part").agg(F.count("*").alias("rows"))
+    df, largest = F.sum("rows").alias("df"), F.max(F.struct("rows", "part"))["part"].alias("largest")
+    mixed = held.groupBy("token").agg(df, largest, F.count("*").alias("parts")).where("parts > 1")
+    others = held.join(mixed, "token").select(
+        "token", "part", (F.col("df") - F.col("rows")).alias("others"), (F.col("part") == F.col("largest")).alias("common")
+    )
+    meetings = F.sum("others").over(Window.partitionBy("doc_id", "n"))
+    return placed.join(others, ["token", "part"]).select(
+        *placed.columns, "common", (meetings > CROWDED * F.col("n")).alias("crowded")
+    )
+
+
+def pairs_met(placed: DataFrame, like: Similarity) -> DataFrame:
+    """Pairs (a, b) of different components, crowded ones with others only, that share as many prefix shingles as asked.
+
+    Members of the component that lists a shingle most don't meet each other.
+    """
+    no = F.lit(False)
+    all_sets = placed.withColumn("with", F.explode(F.when(F.col("common"), F.array(no)).otherwise(F.array(no, F.lit(True)))))
+    meet = (
+        placed.where("NOT crowded")
+        .withColumn("with", F.col("common"))
+        .alias("x")
+        .join(all_sets.alias("y"), ["token", "with"])
+        .where("x.part <> y.part AND x.doc_id <> y.doc_id AND (y.crowded OR x.doc_id < y.doc_id)")
+        .where(_may_be_alike(like, "x", "y"))
+    )
+    return _sharing_enough(meet)
+
+
+def _sharing_enough(meet: DataFrame) -> DataFrame:
+    """Pairs (a, b) of x and y that meet as often as asked."""
+    return (
+        meet.groupBy(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+        .agg(F.count("*").alias("met"), F.min(F.least("x.matches", "y.matches")).alias("asked"))
+        .where("met >= asked")
+        .select("a", "b")
+    )
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
@@ -288,12 +332,7 @@ def pairs_between(placed: DataFrame, like: Similarity) -> DataFrame:
         .where(_leaves_room(like, F.col("x.n"), F.col("y.n"), F.least("x.after", "y.after") + asked))
         .where(_may_be_alike(like, "x", "y"))
     )
-    return (
-        meet.groupBy(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-        .agg(F.count("*").alias("met"), F.min(asked).alias("asked"))
-        .where("met >= asked")
-        .select("a", "b")
-    )
+    return _sharing_enough(meet)
 
 
 def _overlaps(a: W.Words, b: W.Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -360,11 +399,12 @@ def _joined(docs: DataFrame, like: Similarity) -> DataFrame:
     prefix = stage(prefixes(listed(firsts), like).join(named, ["s1", "n"]).drop("s1"), "prefix")
     checked = stage(stars(prefix, like), "pairs")
     links = stage(verified(checked, useful, like), "links")
-    apart = stage(parted(prefix, components(links)), "parted")
-    again = listed(keep_ids(firsts, apart.select("doc_id")), True).select("token", "s1", "n")
-    whole = stage(again.join(named.join(apart, "doc_id"), ["s1", "n"]), "whole")
+    placed = stage(met(prefix, components(links)), "met")
+    crowded = stage(placed.where("crowded").select("doc_id", "part").distinct(), "crowded")
+    again = listed(keep_ids(firsts, crowded.select("doc_id")), True).select("token", "s1", "n")
+    whole = stage(again.join(named.join(crowded, "doc_id"), ["s1", "n"]), "whole")
     between = stage(prefixes_between(whole, like), "between")
-    rest = pairs_between(between, like).join(checked, ["a", "b"], "left_anti")
+    rest = pairs_met(placed, like).union(pairs_between(between, like)).join(checked, ["a", "b"], "left_anti")
     more = stage(verified(stage(rest, "pairs"), useful, like), "links")
     labels = components(links.union(more).union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
     return sets.join(labels, sets["doc_id"] == labels["node"], "left").select(

@@ -654,6 +654,40 @@ def test_jaccard_family_of_unlike_texts_meets_nobody(spark, monkeypatch):
     assert made and max(made) < len(texts)
 
 
+def test_jaccard_lists_again_only_crowded_sets(spark, monkeypatch):
+    """Texts that share a passage with one other text meet it in their first lists; texts that share one with many don't."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    passages = [rng.choices(vocabulary, k=40) for _ in range(20)]
+    texts = [passages[i // 2] + rng.choices(vocabulary, k=160) for i in range(40)]
+    texts += [texts[0][:-1] + ["end"], texts[5][:-2]]
+    common = rng.choices(vocabulary, k=30)
+    crowd = [common + rng.choices(vocabulary, k=rng.randint(1, 3)) for _ in range(80)]
+    seen, listings = [], jaccard_join.listings
+
+    def counted(docs, like, whole=False):
+        if whole:
+            seen.append({r.doc_id for r in docs.select("doc_id").collect()})
+        return listings(docs, like, whole)
+
+    monkeypatch.setattr(jaccard_join, "listings", counted)
+    rows = [doc_row(i, " ".join(t)) for i, t in enumerate(texts + crowd)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    like = jaccard_join.Similarity(3, 90, 100)
+    found = Counter(map(tuple, jaccard_join.joined(docs, like).collect()))
+    assert found == brute_components([(r.doc_id, r.text) for r in docs.collect()], 3, 90)
+    assert len(seen) == 1 and seen[0] and min(seen[0]) >= len(texts)
+
+
+@pytest.mark.parametrize("crowded", [0, 0.2, 10**9])
+def test_jaccard_is_the_same_whoever_is_crowded(spark, odd, monkeypatch, crowded):
+    monkeypatch.setattr(jaccard_join, "CROWDED", crowded)
+    rows = [doc_row(100 + i, t) for i, t in enumerate(variants(random.Random(23)))]
+    both = odd.unionByName(spark.createDataFrame(rows, DOCS)).repartition(4)
+    found = Counter(map(tuple, jaccard_join.joined(both, jaccard_join.Similarity(3, 90, 100)).collect()))
+    assert found == brute_components([(r.doc_id, r.text) for r in both.collect()], 3, 90)
+
+
 def test_one_of_each(spark, odd):
     kept = jaccard_join.one_of_each(odd)
     assert kept.columns == odd.columns
