@@ -16,8 +16,8 @@ Steps:
 3. Stars: in each list one member, another for each list, is the hub; the others are checked against it. A group
    of many near copies becomes connected here by as many checks as its lists are long, not by all pairs.
 4. Pairs: members of one list that are in different components are checked if they share the number of prefix
-   shingles asked for. A set whose lists have few members of other components (by its size) meets them there, so the
-   meetings of all these sets are in proportion to their shingles. The other, crowded sets are listed again, now with
+   shingles asked for. A set with few meetings in its lists (by its size) is met there, so the meetings of all these
+   sets are in proportion to their shingles. The other, crowded sets are listed again, now with
    all their shingles, and meet each other by these. Shingles that only one component has come first in a new order,
    the others by the pairs they would make. The places up to which two sets must meet follow from both sizes, so sets
    with enough shingles outside any other component meet nobody, however many share the rest. Nothing is capped, so
@@ -58,7 +58,7 @@ MOST_MATCHES = len(COSTS) + 1
 # The listed part of the hash range, as a multiple of 1 - t.
 LISTED = 1.5
 PARITIES = ("p0", "p1", "p2", "p3")
-# A set is crowded if the members of other components in its lists are more than so many times its shingles.
+# A set is crowded if the sets it would meet in its lists are more than so many times its shingles.
 CROWDED = 4
 # Sizes that differ by less than this factor share a band, in which sets of other components meet.
 BAND = 1.05
@@ -225,14 +225,13 @@ def met(prefix: DataFrame, labels: DataFrame) -> DataFrame:
     part = F.coalesce("component_id", "doc_id").alias("part")
     placed = prefix.join(labels, "doc_id", "left").select(*prefix.columns, part)
     held = placed.groupBy("token", "part").agg(F.count("*").alias("rows"))
-    df, largest = F.sum("rows").alias("df"), F.max(F.struct("rows", "part"))["part"].alias("largest")
+    df, largest = F.sum("rows").alias("df"), F.max(F.struct("rows", "part")).alias("largest")
     mixed = held.groupBy("token").agg(df, largest, F.count("*").alias("parts")).where("parts > 1")
-    others = held.join(mixed, "token").select(
-        "token", "part", (F.col("df") - F.col("rows")).alias("others"), (F.col("part") == F.col("largest")).alias("common")
-    )
-    meetings = F.sum("others").over(Window.partitionBy("doc_id", "n"))
-    return placed.join(others, ["token", "part"]).select(
-        *placed.columns, "common", (meetings > CROWDED * F.col("n")).alias("crowded")
+    common = F.col("part") == F.col("largest.part")
+    meets = F.col("df") - F.when(common, F.col("largest.rows")).otherwise(0)
+    meetings = F.sum(meets).over(Window.partitionBy("doc_id", "n"))
+    return placed.join(mixed, "token").select(
+        *placed.columns, common.alias("common"), (meetings > CROWDED * F.col("n")).alias("crowded")
     )
 
 
